@@ -1,0 +1,97 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.clean import (
+    bool_detect,
+    cast_all_string,
+    check_identifiers,
+    clean_extract,
+    detect_boolean_columns,
+    encode_booleans,
+    null_token_scrub,
+    rename_for_sink,
+    retype_timestamps,
+)
+
+
+def test_detection_all_values_rule(spark):
+    # columns: {true,false,""}; {true,false,NULL}; {true,"maybe"}; {""}; {NULL}
+    rows = [("true", "true", "true", "", None),
+            ("false", "false", "maybe", "", None),
+            ("", None, "true", "", None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string")
+    assert detect_boolean_columns(df) == ["a", "b"]
+    flags = {r["column_name"]: r["is_boolean"] for r in bool_detect(df).collect()}
+    assert flags == {"a": True, "b": True, "c": False, "d": False, "e": False}
+
+
+def test_detection_is_one_job(spark):
+    df = spark.createDataFrame([("true", "x")], "a string, b string")
+    plan = bool_detect(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 1
+
+
+def test_detection_skips_non_text_columns(spark):
+    df = spark.createDataFrame([(1, "true")], "i int, s string")
+    assert detect_boolean_columns(df) == ["s"]
+
+
+def test_encode_booleans_detects_and_encodes(spark):
+    df = spark.createDataFrame([("true", "x"), ("", "y"), (None, "z")], "a string, b string")
+    out = encode_booleans(df)
+    assert [r["a"] for r in out.collect()] == [1, 0, 1]
+    assert [r["b"] for r in out.collect()] == ["x", "y", "z"]
+
+
+def test_scrub_frame_keeps_names_and_order(spark):
+    df = spark.createDataFrame([("null", 3, "nullify")], "a string, b int, c string")
+    out = null_token_scrub(df)
+    assert out.columns == ["a", "b", "c"]
+    assert tuple(out.first()) == ("", "3", "ify")
+
+
+def test_cast_all_string(spark):
+    df = spark.createDataFrame([(1, 2.5, True)], "a bigint, b double, c boolean")
+    out = cast_all_string(df)
+    assert [f.dataType.simpleString() for f in out.schema] == ["string"] * 3
+    assert tuple(out.first()) == ("1", "2.5", "true")
+
+
+def test_retype_timestamps_tolerates_blank(spark):
+    df = spark.createDataFrame([("2017-11-01T00:00:00.000Z", "x"), ("", "y")], "t string, o string")
+    out = retype_timestamps(df, ["t"])
+    assert out.schema["t"].dataType.simpleString() == "timestamp"
+    assert out.collect()[1]["t"] is None
+
+
+def test_rename_checks_limit_and_collisions(spark):
+    long = "RSVPAlumniCelebrationChildrenAttending__c"
+    df = spark.createDataFrame([(1, 2)], f"{long} int, other int")
+    out = rename_for_sink(df, {long: "RSVPAlumniClbratnChildAtnding"})
+    assert out.columns == ["RSVPAlumniClbratnChildAtnding", "other"]
+    with pytest.raises(ValueError):
+        rename_for_sink(df, {})                      # long name left as is
+    with pytest.raises(ValueError):
+        rename_for_sink(df, {long: "OTHER"})         # collides case-insensitively
+    with pytest.raises(ValueError):
+        check_identifiers(["a" * 31])
+
+
+def test_clean_chain(spark):
+    rows = [("1", "2017-03-31T23:30:00.000-0700", "true", "null note"),
+            ("2", "2017-11-01T00:00:00.000Z", "false", "fine")]
+    df = spark.createDataFrame(rows, "Id string, CreatedDate string, IsDeleted string, Notes string")
+    out, bools = clean_extract(df, created_col="CreatedDate")
+    assert bools == ["IsDeleted"]
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == [("1", "2017-03-31T23:30:00.000-0700", "1", " note", "201703"),
+                   ("2", "2017-11-01T00:00:00.000Z", "0", "fine", "201711")]
+    assert all(f.dataType.simpleString() == "string" for f in out.schema)
+
+
+def test_clean_explicit_bool_columns_win(spark):
+    df = spark.createDataFrame([("true", "")], "a string, b string")
+    out, bools = clean_extract(df, bool_columns=["b"])
+    assert bools == ["b"]
+    assert tuple(out.first()) == ("true", "0")
+    assert F is not None

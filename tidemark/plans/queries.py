@@ -40,7 +40,7 @@ from tidemark.plans.sync import LakePaths, sync
 from tidemark.session import scratch_path
 from tidemark.sinks.table import compact_table, stage_overwrite, upsert_table, write_partitioned
 from tidemark.sources.extract import incremental_extract, is_empty
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import read_partitioned, read_table
 from tidemark.sources.watermark import read_watermark, watermark_literal, watermark_lookup
 
 # Fixed values of the fixtures (also used verbatim in the oracle SQL below).
@@ -158,7 +158,7 @@ def q_full_sync(spark, d):
     cfg = _events_sync_config()
     sync(spark, src.where(F.col("event_id") < cut), cfg, lake)
     sync(spark, src, cfg, lake)
-    return spark.read.parquet(lake.main).select(*src.columns, "ts_yearmonth")
+    return read_partitioned(spark, lake.main, "ts_yearmonth").select(*src.columns, "ts_yearmonth")
 
 
 # ---------------------------------------------------------------- cleaning fixtures

@@ -68,12 +68,26 @@ def _last_logged(log: DataFrame | None, table_name: str) -> str | None:
 
 def sync(spark: SparkSession, source: DataFrame, cfg: SyncConfig, lake: LakePaths,
          publisher=None) -> SyncResult:
+    """One batch run: watermark from the log, extract, then :func:`load_batch`."""
     log = read_log(spark, lake.watermark_log)
     wm = read_watermark(log, cfg.table_name, "last_modified", "table_name", cfg.lookback_seconds)
     extract = incremental_extract(source, cfg.modified_col, wm, cfg.columns,
                                   deleted=cfg.deleted_col, include_deleted=cfg.include_deleted)
     if is_empty(extract):
         return SyncResult(status="empty", watermark=wm)
+    res = load_batch(spark, extract, cfg, lake, publisher=publisher, log=log)
+    res.watermark = wm
+    return res
+
+
+def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: LakePaths,
+               publisher=None, log: DataFrame | None = None) -> SyncResult:
+    """Clean -> stage -> upsert -> publish -> logs, for rows already extracted.
+
+    Used by :func:`sync` and, per micro-batch, by the streaming runner.
+    """
+    if log is None:
+        log = read_log(spark, lake.watermark_log)
     if cfg.dedupe_by is not None:
         extract = dedupe_latest(extract, list(cfg.key_cols), cfg.dedupe_by)
 
@@ -122,5 +136,5 @@ def sync(spark: SparkSession, source: DataFrame, cfg: SyncConfig, lake: LakePath
     append_rows(control_row(stage, cfg.table_name, cfg.modified_col, cfg.zone,
                             inserted=n_stage - updated, updated=updated),
                 lake.control_log)
-    return SyncResult(status="merged", watermark=wm, extracted=n_stage, inserted=n_stage - updated,
+    return SyncResult(status="merged", watermark=None, extracted=n_stage, inserted=n_stage - updated,
                       updated=updated, boolean_columns=bools, touched=res.touched, emptied=res.emptied)

@@ -33,3 +33,19 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
+
+
+def read_partitioned(spark: SparkSession, path: str, partition_col: str,
+                     partition_type: str = "string", fmt: str = "parquet") -> DataFrame:
+    """Read a table whose schema is not at hand, keeping the partition type.
+
+    The data columns come from the files; the partition column gets
+    ``partition_type`` instead of the type guessed from folder names.
+    """
+    from pyspark.sql.types import StructField, _parse_datatype_string
+
+    inferred = spark.read.format(fmt).load(path).schema
+    ptype = _parse_datatype_string(partition_type)
+    fields = [StructField(f.name, ptype if f.name == partition_col else f.dataType, True)
+              for f in inferred.fields]
+    return read_table(spark, path, StructType(fields), fmt)
