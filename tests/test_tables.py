@@ -101,3 +101,21 @@ def test_partition_dir_names():
     assert partition_dir_name("p", None) == "p=__HIVE_DEFAULT_PARTITION__"
     assert partition_dir_name("p", "a/b:c") == "p=a%2Fb%3Ac"
     assert partition_dir_name("p", 202401) == "p=202401"
+
+
+def test_upsert_counts_and_observed_max(spark, tmp_root):
+    p = f"{tmp_root}/main"
+    schema = "id int, v string, part string, m string"
+    tgt = spark.createDataFrame([(1, "a", "202401", "2024-01-05 00:00:00"),
+                                 (2, "b", "202402", "2024-02-05 00:00:00")], schema)
+    first = upsert_table(tgt, p, ["id"], "part", count_changes=True, observe_max_of="m")
+    assert (first.created, first.updated, first.inserted) == (True, 0, 2)
+    assert first.max_modified == "2024-02-05 00:00:00.000000"
+    src = spark.createDataFrame([(2, "B", "202402", "2024-02-06 00:00:00"),
+                                 (3, "c", "202402", "2024-02-07 00:00:00")], schema)
+    res = upsert_table(src, p, ["id"], "part", count_changes=True, observe_max_of="m")
+    assert (res.updated, res.inserted) == (1, 1)
+    assert res.max_modified == "2024-02-07 00:00:00.000000"
+    moved = spark.createDataFrame([(1, "A", "202403", "2024-03-01 00:00:00")], schema)
+    res = upsert_table(moved, p, ["id"], "part", key_only=True, count_changes=True)
+    assert (res.updated, res.inserted, res.emptied) == (1, 0, ["202401"])

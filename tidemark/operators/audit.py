@@ -54,3 +54,22 @@ def control_row(stage: DataFrame, table_name: str, modified_col: str, zone: str
              F.lit(inserted).cast("bigint").alias("inserted_rows"),
              F.lit(updated).cast("bigint").alias("updated_rows")]
     return stage.agg(*cols)
+
+
+def log_row(spark, table_name: str, last_modified: str | None, zone: str = "MST7MDT") -> DataFrame:
+    """Watermark row from a known value (text ``yyyy-MM-dd HH:mm:ss[.SSSSSS]``)."""
+    return spark.range(1).select(F.lit(table_name).alias("table_name"),
+                                 F.lit(last_modified).cast("timestamp").alias("last_modified"),
+                                 run_time(zone).alias("run_time"))
+
+
+def control_row_values(spark, table_name: str, max_date: str | None, zone: str = "MST7MDT", *,
+                       rows: int, inserted: int | None, updated: int | None) -> DataFrame:
+    """Control row from values already known to the run (no rescan of the stage)."""
+    return spark.range(1).select(F.lit(table_name).alias("table_name"),
+                                 F.lit(max_date).cast("timestamp").alias("max_date_check"),
+                                 run_time(zone).alias("run_time"),
+                                 F.lit(rows).cast("bigint").alias("merge_count"),
+                                 F.lit(rows).cast("bigint").alias("source_success_rows"),
+                                 F.lit(inserted).cast("bigint").alias("inserted_rows"),
+                                 F.lit(updated).cast("bigint").alias("updated_rows"))

@@ -25,6 +25,13 @@ def null_token_scrub(df: DataFrame, token: str = "null", whole_value: bool = Fal
                       for c in df.columns])
 
 
+def _is_boolean_text(s):
+    """Aggregate: some value is true/false and every non-NULL value is true/false/''."""
+    has_tf = F.count_if(s.isin(TRUE_TEXT, FALSE_TEXT)) > 0
+    all_ok = F.coalesce(F.bool_and(s.isin(TRUE_TEXT, FALSE_TEXT, "")), F.lit(True))
+    return has_tf & all_ok
+
+
 def boolean_flags(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One-row frame, one boolean per column: does it hold boolean text?
 
@@ -36,13 +43,7 @@ def boolean_flags(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
             if isinstance(df.schema[c].dataType, StringType)]
     if not cols:
         return df.sparkSession.range(1).select()
-    aggs = []
-    for c in cols:
-        s = col(c)
-        has_tf = F.count_if(s.isin(TRUE_TEXT, FALSE_TEXT)) > 0
-        all_ok = F.coalesce(F.bool_and(s.isin(TRUE_TEXT, FALSE_TEXT, "")), F.lit(True))
-        aggs.append((has_tf & all_ok).alias(c))
-    return df.agg(*aggs)
+    return df.agg(*[_is_boolean_text(col(c)).alias(c) for c in cols])
 
 
 def bool_detect(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -136,3 +137,36 @@ def clean_extract(df: DataFrame, *, token: str | None = "null", whole_value: boo
         bools = []
     out = encode_booleans(out, bools, null_bool_as) if bools else out
     return cast_all_string(out), bools
+
+
+def profile_extract(df: DataFrame, keys: list[str], modified_col: str | None = None,
+                    partition_col: str | None = None,
+                    bool_candidates: list[str] | None = None) -> dict:
+    """One aggregate pass with everything a load needs to know up front.
+
+    Returns ``rows``, ``distinct_keys`` (null-safe, over the merge keys),
+    ``max_modified`` (text, cast before the max), ``partitions`` (set of
+    partition values, one per partition) and ``booleans`` (detected among
+    ``bool_candidates``).  The distinct count shuffles one row per key and
+    task after a map-side pre-aggregation, so a hot key stays cheap.
+    """
+    cands = [c for c in (bool_candidates or []) if isinstance(df.schema[c].dataType, StringType)]
+    aggs = [F.count(F.lit(1)).alias("__rows"),
+            F.count_distinct(F.struct(*[col(k) for k in keys])).alias("__keys")]
+    if modified_col is not None:
+        m = col(modified_col)
+        m = to_timestamp_safe(m) if isinstance(df.schema[modified_col].dataType, StringType) else m
+        aggs.append(F.date_format(F.max(m), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("__max"))
+    if partition_col is not None:
+        aggs.append(F.collect_set(col(partition_col)).alias("__parts"))
+        aggs.append(F.bool_or(col(partition_col).isNull()).alias("__null_part"))
+    for c in cands:
+        aggs.append(_is_boolean_text(col(c)).alias(f"__b_{c}"))
+    row = df.agg(*aggs).first()
+    parts = None
+    if partition_col is not None:
+        parts = list(row["__parts"]) + ([None] if row["__null_part"] else [])
+    return {"rows": row["__rows"], "distinct_keys": row["__keys"],
+            "max_modified": row["__max"] if modified_col is not None else None,
+            "partitions": parts,
+            "booleans": [c for c in cands if row[f"__b_{c}"]]}

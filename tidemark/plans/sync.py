@@ -19,11 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import SyncConfig
-from tidemark.functions.columns import col
-from tidemark.operators.audit import control_row, watermark_row
-from tidemark.operators.clean import clean_extract
-from tidemark.operators.upsert import assert_unique_keys, dedupe_latest, matched_target_rows
-from tidemark.sinks.table import append_rows, partition_filter, stage_overwrite, upsert_table
+from tidemark.operators.audit import control_row_values, log_row, watermark_row
+from tidemark.operators.clean import (
+    add_year_month,
+    cast_all_string,
+    encode_booleans,
+    null_token_scrub,
+    profile_extract,
+)
+from tidemark.operators.upsert import dedupe_latest
+from tidemark.sinks.table import append_rows, stage_overwrite, upsert_table
 from tidemark.sources.extract import incremental_extract, is_empty
 from tidemark.sources.tables import read_table, table_exists
 from tidemark.sources.watermark import read_watermark
@@ -84,57 +89,58 @@ def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: L
                publisher=None, log: DataFrame | None = None) -> SyncResult:
     """Clean -> stage -> upsert -> publish -> logs, for rows already extracted.
 
-    Used by :func:`sync` and, per micro-batch, by the streaming runner.
+    Used by :func:`sync` and, per micro-batch, by the streaming runner.  Jobs
+    per run: one profile aggregate over the extract (boolean flags, rows,
+    distinct keys, max modification time, partition set), the stage write,
+    two footer-only counts and the main-table write (which also reports the
+    new maximum), and two one-row log appends.
     """
     if log is None:
         log = read_log(spark, lake.watermark_log)
     if cfg.dedupe_by is not None:
         extract = dedupe_latest(extract, list(cfg.key_cols), cfg.dedupe_by)
+    part = cfg.partition_col
+    keys = cfg.merge_keys
 
-    # Detection and the stage write both read the extract: keep it once.
+    # The profile and the stage write both read the extract: keep it once.
     extract = extract.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cleaned, bools = clean_extract(
-            extract, token=cfg.scrub_token, whole_value=cfg.scrub_whole_value,
-            bool_columns=None if cfg.bool_columns is None else list(cfg.bool_columns),
-            detect=cfg.detect_booleans, null_bool_as=cfg.null_bool_as,
-            created_col=cfg.created_col, partition_col=cfg.partition_col)
-        stage = stage_overwrite(cleaned, lake.stage, cfg.partition_col)
+        base = add_year_month(extract, cfg.created_col, part) if cfg.created_col else extract
+        text_cols = [c for c in base.columns if c != part]
+        scrubbed = (null_token_scrub(base, cfg.scrub_token, cfg.scrub_whole_value, text_cols)
+                    if cfg.scrub_token else base)
+        detect = cfg.bool_columns is None and cfg.detect_booleans
+        prof = profile_extract(scrubbed, keys, cfg.modified_col, part,
+                               bool_candidates=text_cols if detect else None)
+        if prof["distinct_keys"] < prof["rows"]:
+            raise ValueError(f"extract has duplicate keys on {keys}; set dedupe_by to keep the latest")
+        bools = list(cfg.bool_columns) if cfg.bool_columns is not None else prof["booleans"]
+        encoded = encode_booleans(scrubbed, bools, cfg.null_bool_as) if bools else scrubbed
+        stage = stage_overwrite(cast_all_string(encoded), lake.stage, part)
     finally:
         extract.unpersist()
 
-    keys = cfg.merge_keys
-    n_stage = stage.count()
-    if cfg.dedupe_by is None:
-        assert_unique_keys(stage, keys)
-
-    updated = 0
-    if table_exists(spark, lake.main):
-        target = read_table(spark, lake.main, stage.schema)
-        if cfg.merge_on_partition:
-            parts = [r[0] for r in stage.select(col(cfg.partition_col)).distinct().collect()]
-            target = target.where(partition_filter(cfg.partition_col, parts))
-        updated = matched_target_rows(target.select(*[col(k) for k in keys]), stage, keys,
-                                      source_rows=n_stage).count()
-    res = upsert_table(stage, lake.main, list(cfg.key_cols), cfg.partition_col,
-                       key_only=not cfg.merge_on_partition, source_rows=n_stage)
+    n_stage = prof["rows"]
+    res = upsert_table(stage, lake.main, list(cfg.key_cols), part, key_only=not cfg.merge_on_partition,
+                       source_rows=n_stage, source_partitions=prof["partitions"], count_changes=True,
+                       observe_max_of=cfg.modified_col)
 
     if publisher is not None:
         publisher(stage)
 
-    # New mark: the rewritten partitions plus the last logged value cover the
-    # whole main table (untouched partitions cannot hold a later time).
-    main = read_table(spark, lake.main, stage.schema)
+    # New mark: max over the rewritten partitions (seen during the write) and
+    # the last logged value; untouched partitions cannot hold a later time.
+    # Without a logged value the whole main table is read once.
     prev = _last_logged(log, cfg.table_name)
-    if prev is None:
-        scope, prev_col = main, None
+    if prev is None and not res.created:
+        main = read_table(spark, lake.main, stage.schema)
+        append_rows(watermark_row(main, cfg.table_name, cfg.modified_col, cfg.zone), lake.watermark_log)
     else:
-        scope = main.where(partition_filter(cfg.partition_col, res.touched))
-        prev_col = F.lit(prev).cast("timestamp")
-    append_rows(watermark_row(scope, cfg.table_name, cfg.modified_col, cfg.zone, prev_col),
-                lake.watermark_log)
-    append_rows(control_row(stage, cfg.table_name, cfg.modified_col, cfg.zone,
-                            inserted=n_stage - updated, updated=updated),
+        marks = [m for m in (res.max_modified, prev) if m is not None]
+        append_rows(log_row(spark, cfg.table_name, max(marks) if marks else None, cfg.zone),
+                    lake.watermark_log)
+    append_rows(control_row_values(spark, cfg.table_name, prof["max_modified"], cfg.zone,
+                                   rows=n_stage, inserted=res.inserted, updated=res.updated),
                 lake.control_log)
-    return SyncResult(status="merged", watermark=None, extracted=n_stage, inserted=n_stage - updated,
-                      updated=updated, boolean_columns=bools, touched=res.touched, emptied=res.emptied)
+    return SyncResult(status="merged", watermark=None, extracted=n_stage, inserted=res.inserted,
+                      updated=res.updated, boolean_columns=bools, touched=res.touched, emptied=res.emptied)

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import col, to_timestamp_safe
 from tidemark.operators.upsert import (
     DEFAULT_BROADCAST_LIMIT,
     matched_target_rows,
@@ -104,14 +105,34 @@ class UpsertResult:
     touched: list = field(default_factory=list)   # partitions rewritten
     emptied: list = field(default_factory=list)   # partitions removed (all rows moved away)
     created: bool = False                         # the table did not exist before
+    updated: int | None = None                    # target rows replaced (count_changes)
+    inserted: int | None = None                   # source rows with a new key (count_changes)
+    max_modified: str | None = None               # max of ``observe_max_of`` over the rewritten rows
 
 
 def _values(df: DataFrame, name: str) -> list:
     return [r[0] for r in df.select(col(name)).distinct().collect()]
 
 
+def _observed_max(df: DataFrame, name: str | None) -> tuple[DataFrame, Observation | None]:
+    """Watch ``max(name)`` while the write runs (no extra scan).
+
+    Only an idempotent aggregate is observed: a task retried after a lost
+    executor reports the same maximum again.
+    """
+    if name is None:
+        return df, None
+    c = col(name)
+    if isinstance(df.schema[name].dataType, StringType):
+        c = to_timestamp_safe(c)
+    obs = Observation("tidemark_upsert_max")
+    return df.observe(obs, F.date_format(F.max(c), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")), obs
+
+
 def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: str, *,
                  key_only: bool = False, source_rows: int | None = None,
+                 source_partitions: list | None = None, count_changes: bool = False,
+                 observe_max_of: str | None = None,
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                  max_records_per_file: int | None = None) -> UpsertResult:
     """MERGE ``source`` into the partitioned table at ``path``.
@@ -124,36 +145,53 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
     too, and the ones left without rows are removed, so no stale copy stays.
 
     The partition lists are the only values that reach the driver (one per
-    partition, never per row).
+    partition, never per row).  ``count_changes`` adds exact updated /
+    inserted counts from two footer-only row counts of the rewritten
+    partitions (before and after), not from a join.
     """
     spark = source.sparkSession
+    if source_partitions is None:
+        source_partitions = _values(source, partition_col)
+    if count_changes and source_rows is None:
+        source_rows = source.count()
     if not table_exists(spark, path):
-        write_partitioned(source, path, partition_col, dynamic=True,
+        watched, obs = _observed_max(source, observe_max_of)
+        write_partitioned(watched, path, partition_col, dynamic=True,
                           max_records_per_file=max_records_per_file)
-        return UpsertResult(touched=_values(source, partition_col), created=True)
+        return UpsertResult(touched=list(source_partitions), created=True,
+                            updated=0 if count_changes else None,
+                            inserted=source_rows if count_changes else None,
+                            max_modified=obs.get["m"] if obs else None)
 
     target = read_table(spark, path, source.schema)
-    src_parts = _values(source, partition_col)
-    touched = list(src_parts)
+    touched = list(source_partitions)
     if key_only:
         probe = target.select(*[col(k) for k in keys], col(partition_col))
         old = _values(matched_target_rows(probe, source, keys, source_rows=source_rows,
                                           broadcast_limit=broadcast_limit), partition_col)
         touched += [v for v in old if v not in touched]
     scope = target.where(partition_filter(partition_col, touched))
+    before = scope.count() if count_changes else None
     merge_keys = list(keys) if key_only else list(dict.fromkeys([*keys, partition_col]))
     merged = upsert_frames(scope, source, merge_keys, source_rows=source_rows,
                            broadcast_limit=broadcast_limit)
 
     emptied: list = []
-    only_old = [v for v in touched if v not in src_parts]
+    only_old = [v for v in touched if v not in source_partitions]
     if only_old:
         # Partitions that only lost rows: find those with nothing left.
         left = _values(merged.where(partition_filter(partition_col, only_old)), partition_col)
         emptied = [v for v in only_old if v not in left]
 
-    write_partitioned(merged, path, partition_col, dynamic=True,
+    watched, obs = _observed_max(merged, observe_max_of)
+    write_partitioned(watched, path, partition_col, dynamic=True,
                       max_records_per_file=max_records_per_file)
     if emptied:
         delete_partition_dirs(spark, path, partition_col, emptied)
-    return UpsertResult(touched=touched, emptied=emptied)
+    res = UpsertResult(touched=touched, emptied=emptied, max_modified=obs.get["m"] if obs else None)
+    if count_changes:
+        after = read_table(spark, path, source.schema).where(partition_filter(partition_col, touched)).count()
+        kept = after - source_rows
+        res.updated = before - kept
+        res.inserted = source_rows - res.updated
+    return res
