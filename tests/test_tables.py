@@ -119,3 +119,20 @@ def test_upsert_counts_and_observed_max(spark, tmp_root):
     moved = spark.createDataFrame([(1, "A", "202403", "2024-03-01 00:00:00")], schema)
     res = upsert_table(moved, p, ["id"], "part", key_only=True, count_changes=True)
     assert (res.updated, res.inserted, res.emptied) == (1, 0, ["202401"])
+
+
+def test_catalog_table_follows_upserts(spark, tmp_root):
+    from tidemark.sinks.catalog import create_table, create_table_sql
+
+    p = f"{tmp_root}/cat"
+    df = spark.createDataFrame([(1, "a", "202401"), (2, "b", "202402")], SCHEMA)
+    ddl = create_table_sql("tm_cat", df.schema, "part", p)
+    assert ddl.startswith("CREATE TABLE IF NOT EXISTS tm_cat (`id` int, `v` string, `part` string) USING parquet")
+    create_table(spark, "tm_cat", df.schema, "part", p)
+    upsert_table(df, p, ["id"], "part", table="tm_cat")
+    assert spark.table("tm_cat").count() == 2
+    moved = spark.createDataFrame([(1, "a", "202403")], SCHEMA)
+    upsert_table(moved, p, ["id"], "part", key_only=True, table="tm_cat")
+    assert rows(spark.table("tm_cat")) == [(1, "a", "202403"), (2, "b", "202402")]
+    parts = sorted(r[0] for r in spark.sql("SHOW PARTITIONS tm_cat").collect())
+    assert parts == ["part=202402", "part=202403"]

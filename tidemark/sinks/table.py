@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tidemark.functions.columns import col, to_timestamp_safe
+from tidemark.sinks.catalog import sync_partitions
 from tidemark.operators.upsert import (
     DEFAULT_BROADCAST_LIMIT,
     matched_target_rows,
@@ -134,7 +135,8 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
                  source_partitions: list | None = None, count_changes: bool = False,
                  observe_max_of: str | None = None,
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                 max_records_per_file: int | None = None) -> UpsertResult:
+                 max_records_per_file: int | None = None,
+                 table: str | None = None) -> UpsertResult:
     """MERGE ``source`` into the partitioned table at ``path``.
 
     ``key_only=False``: match on ``keys`` + the partition column (composite
@@ -147,7 +149,8 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
     The partition lists are the only values that reach the driver (one per
     partition, never per row).  ``count_changes`` adds exact updated /
     inserted counts from two footer-only row counts of the rewritten
-    partitions (before and after), not from a join.
+    partitions (before and after), not from a join.  ``table`` names a
+    catalog table over ``path`` whose partition list is kept in step.
     """
     spark = source.sparkSession
     if source_partitions is None:
@@ -158,6 +161,8 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
         watched, obs = _observed_max(source, observe_max_of)
         write_partitioned(watched, path, partition_col, dynamic=True,
                           max_records_per_file=max_records_per_file)
+        if table is not None:
+            sync_partitions(spark, table, partition_col, added=source_partitions)
         return UpsertResult(touched=list(source_partitions), created=True,
                             updated=0 if count_changes else None,
                             inserted=source_rows if count_changes else None,
@@ -188,6 +193,9 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
                       max_records_per_file=max_records_per_file)
     if emptied:
         delete_partition_dirs(spark, path, partition_col, emptied)
+    if table is not None:
+        sync_partitions(spark, table, partition_col,
+                        added=[v for v in touched if v not in emptied], dropped=emptied)
     res = UpsertResult(touched=touched, emptied=emptied, max_modified=obs.get["m"] if obs else None)
     if count_changes:
         after = read_table(spark, path, source.schema).where(partition_filter(partition_col, touched)).count()
