@@ -139,20 +139,18 @@ def clean_extract(df: DataFrame, *, token: str | None = "null", whole_value: boo
     return cast_all_string(out), bools
 
 
-def profile_extract(df: DataFrame, keys: list[str], modified_col: str | None = None,
+def profile_extract(df: DataFrame, modified_col: str | None = None,
                     partition_col: str | None = None,
                     bool_candidates: list[str] | None = None) -> dict:
-    """One aggregate pass with everything a load needs to know up front.
+    """One global aggregate with what a load needs to know up front.
 
-    Returns ``rows``, ``distinct_keys`` (null-safe, over the merge keys),
-    ``max_modified`` (text, cast before the max), ``partitions`` (set of
-    partition values, one per partition) and ``booleans`` (detected among
-    ``bool_candidates``).  The distinct count shuffles one row per key and
-    task after a map-side pre-aggregation, so a hot key stays cheap.
+    Returns ``rows``, ``max_modified`` (text, cast before the max),
+    ``partitions`` (set of partition values, one entry per partition) and
+    ``booleans`` (detected among ``bool_candidates``).  Every task sends one
+    partial row; nothing is grouped by key.
     """
     cands = [c for c in (bool_candidates or []) if isinstance(df.schema[c].dataType, StringType)]
-    aggs = [F.count(F.lit(1)).alias("__rows"),
-            F.count_distinct(F.struct(*[col(k) for k in keys])).alias("__keys")]
+    aggs = [F.count(F.lit(1)).alias("__rows")]
     if modified_col is not None:
         m = col(modified_col)
         m = to_timestamp_safe(m) if isinstance(df.schema[modified_col].dataType, StringType) else m
@@ -166,7 +164,7 @@ def profile_extract(df: DataFrame, keys: list[str], modified_col: str | None = N
     parts = None
     if partition_col is not None:
         parts = list(row["__parts"]) + ([None] if row["__null_part"] else [])
-    return {"rows": row["__rows"], "distinct_keys": row["__keys"],
+    return {"rows": row["__rows"],
             "max_modified": row["__max"] if modified_col is not None else None,
             "partitions": parts,
             "booleans": [c for c in cands if row[f"__b_{c}"]]}

@@ -27,7 +27,7 @@ from tidemark.operators.clean import (
     null_token_scrub,
     profile_extract,
 )
-from tidemark.operators.upsert import dedupe_latest
+from tidemark.operators.upsert import dedupe_latest, duplicate_keys
 from tidemark.sinks.table import append_rows, stage_overwrite, upsert_table
 from tidemark.sources.extract import incremental_extract, is_empty
 from tidemark.sources.tables import read_table, table_exists
@@ -90,8 +90,8 @@ def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: L
     """Clean -> stage -> upsert -> publish -> logs, for rows already extracted.
 
     Used by :func:`sync` and, per micro-batch, by the streaming runner.  Jobs
-    per run: one profile aggregate over the extract (boolean flags, rows,
-    distinct keys, max modification time, partition set), the stage write,
+    per run: one global aggregate over the extract (boolean flags, rows, max
+    modification time, partition set), one duplicate-key check, the stage write,
     two footer-only counts and the main-table write (which also reports the
     new maximum), and two one-row log appends.
     """
@@ -110,9 +110,9 @@ def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: L
         scrubbed = (null_token_scrub(base, cfg.scrub_token, cfg.scrub_whole_value, text_cols)
                     if cfg.scrub_token else base)
         detect = cfg.bool_columns is None and cfg.detect_booleans
-        prof = profile_extract(scrubbed, keys, cfg.modified_col, part,
+        prof = profile_extract(scrubbed, cfg.modified_col, part,
                                bool_candidates=text_cols if detect else None)
-        if prof["distinct_keys"] < prof["rows"]:
+        if cfg.dedupe_by is None and not duplicate_keys(scrubbed, keys).isEmpty():
             raise ValueError(f"extract has duplicate keys on {keys}; set dedupe_by to keep the latest")
         bools = list(cfg.bool_columns) if cfg.bool_columns is not None else prof["booleans"]
         encoded = encode_booleans(scrubbed, bools, cfg.null_bool_as) if bools else scrubbed
