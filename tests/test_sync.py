@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tidemark.config import SyncConfig
-from tidemark.plans.sync import LakePaths, read_log, sync
+from tidemark.plans.sync import CONTROL_LOG_SCHEMA, LakePaths, read_log, sync
 from tidemark.sources.tables import read_partitioned
 
 SRC = "Id string, CreatedDate string, LastModifiedDate timestamp_ntz, IsDeleted string, Note string"
@@ -48,7 +48,7 @@ def test_two_runs_then_empty_run(spark, tmp_root):
     log = read_log(spark, lake.watermark_log)
     marks = sorted(r.last_modified for r in log.collect())
     assert marks == [datetime(2024, 1, 10, 12, 5), datetime(2024, 1, 10, 12, 30)]
-    ctl = sorted((r.merge_count, r.inserted_rows, r.updated_rows) for r in read_log(spark, lake.control_log).collect())
+    ctl = sorted((r.merge_count, r.inserted_rows, r.updated_rows) for r in read_log(spark, lake.control_log, CONTROL_LOG_SCHEMA).collect())
     assert ctl == [(2, 2, 0), (3, 1, 2)]
 
     # third run: nothing new past the watermark minus look-back -> empty, nothing written

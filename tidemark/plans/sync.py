@@ -29,9 +29,8 @@ from tidemark.operators.clean import (
 )
 from tidemark.operators.upsert import dedupe_latest, duplicate_keys
 from tidemark.sinks.table import append_rows, stage_overwrite, upsert_table
-from tidemark.sources.extract import incremental_extract, is_empty
+from tidemark.sources.extract import incremental_extract
 from tidemark.sources.tables import read_table, table_exists
-from tidemark.sources.watermark import read_watermark
 
 
 @dataclass(frozen=True)
@@ -59,34 +58,42 @@ class SyncResult:
     emptied: list = field(default_factory=list)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if table_exists(spark, path) else None
+WATERMARK_LOG_SCHEMA = "table_name string, last_modified timestamp, run_time timestamp"
+CONTROL_LOG_SCHEMA = ("table_name string, max_date_check timestamp, run_time timestamp, "
+                      "merge_count bigint, source_success_rows bigint, inserted_rows bigint, "
+                      "updated_rows bigint")
+_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def _last_logged(log: DataFrame | None, table_name: str) -> str | None:
+def read_log(spark: SparkSession, path: str, schema: str = WATERMARK_LOG_SCHEMA) -> DataFrame | None:
+    """A log table with its fixed schema, or None before the first append."""
+    return spark.read.schema(schema).parquet(path) if table_exists(spark, path) else None
+
+
+def log_marks(log: DataFrame | None, table_name: str, lookback_seconds: int) -> tuple[str | None, str | None]:
+    """``(watermark, last logged value)`` as exact text, from one aggregate."""
     if log is None:
-        return None
+        return None, None
+    top = F.max("last_modified")
     row = (log.where(F.col("table_name") == table_name)
-              .agg(F.date_format(F.max("last_modified"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first())
-    return None if row is None else row[0]
+              .agg(F.date_format(top - F.make_dt_interval(secs=F.lit(int(lookback_seconds))), _TEXT),
+                   F.date_format(top, _TEXT)).first())
+    return row[0], row[1]
 
 
 def sync(spark: SparkSession, source: DataFrame, cfg: SyncConfig, lake: LakePaths,
          publisher=None) -> SyncResult:
     """One batch run: watermark from the log, extract, then :func:`load_batch`."""
-    log = read_log(spark, lake.watermark_log)
-    wm = read_watermark(log, cfg.table_name, "last_modified", "table_name", cfg.lookback_seconds)
+    wm, last = log_marks(read_log(spark, lake.watermark_log), cfg.table_name, cfg.lookback_seconds)
     extract = incremental_extract(source, cfg.modified_col, wm, cfg.columns,
                                   deleted=cfg.deleted_col, include_deleted=cfg.include_deleted)
-    if is_empty(extract):
-        return SyncResult(status="empty", watermark=wm)
-    res = load_batch(spark, extract, cfg, lake, publisher=publisher, log=log)
+    res = load_batch(spark, extract, cfg, lake, publisher=publisher, last_logged=last, from_log=True)
     res.watermark = wm
     return res
 
 
 def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: LakePaths,
-               publisher=None, log: DataFrame | None = None) -> SyncResult:
+               publisher=None, last_logged: str | None = None, from_log: bool = False) -> SyncResult:
     """Clean -> stage -> upsert -> publish -> logs, for rows already extracted.
 
     Used by :func:`sync` and, per micro-batch, by the streaming runner.  Jobs
@@ -95,8 +102,9 @@ def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: L
     two footer-only counts and the main-table write (which also reports the
     new maximum), and two one-row log appends.
     """
-    if log is None:
-        log = read_log(spark, lake.watermark_log)
+    if not from_log:
+        last_logged = log_marks(read_log(spark, lake.watermark_log), cfg.table_name,
+                                cfg.lookback_seconds)[1]
     if cfg.dedupe_by is not None:
         extract = dedupe_latest(extract, list(cfg.key_cols), cfg.dedupe_by)
     part = cfg.partition_col
@@ -112,6 +120,9 @@ def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: L
         detect = cfg.bool_columns is None and cfg.detect_booleans
         prof = profile_extract(scrubbed, cfg.modified_col, part,
                                bool_candidates=text_cols if detect else None)
+        if prof["rows"] == 0:
+            # Empty-input short cut: stage, main table and logs stay untouched.
+            return SyncResult(status="empty", watermark=None)
         if cfg.dedupe_by is None and not duplicate_keys(scrubbed, keys).isEmpty():
             raise ValueError(f"extract has duplicate keys on {keys}; set dedupe_by to keep the latest")
         bools = list(cfg.bool_columns) if cfg.bool_columns is not None else prof["booleans"]
@@ -131,7 +142,7 @@ def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: L
     # New mark: max over the rewritten partitions (seen during the write) and
     # the last logged value; untouched partitions cannot hold a later time.
     # Without a logged value the whole main table is read once.
-    prev = _last_logged(log, cfg.table_name)
+    prev = last_logged
     if prev is None and not res.created:
         main = read_table(spark, lake.main, stage.schema)
         append_rows(watermark_row(main, cfg.table_name, cfg.modified_col, cfg.zone), lake.watermark_log)

@@ -14,12 +14,23 @@ def scan_all(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> Da
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True if ``path`` holds a readable table (any data file below it)."""
+    """True if ``path`` holds a table: a folder with a visible entry.
+
+    Asks the file system directly (no schema inference job).
+    """
     try:
-        spark.read.format("parquet").load(path).schema  # noqa: B018 - forces listing
-        return True
-    except Exception:  # noqa: BLE001 - AnalysisException on a missing/empty path
-        return False
+        jvm = spark.sparkContext._jvm  # Hadoop FileSystem handle
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return False
+        return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): try a read
+        try:
+            spark.read.format("parquet").load(path).schema  # noqa: B018 - forces listing
+            return True
+        except Exception:  # noqa: BLE001 - AnalysisException on a missing/empty path
+            return False
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
