@@ -45,7 +45,10 @@ def row_number_ranged(df: DataFrame, keys: list[str], out: str = "rowNum",
     """
     spark = df.sparkSession
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # Follow the input's size: one range per input split, at least the
+        # shuffle setting (the range sampler caps its sample on its own).
+        num_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                             df.rdd.getNumPartitions())
     cols = df.columns
     tiebreak = F.xxhash64(*[col(c) for c in cols]).alias("__tb")
     order = _order(keys, descending) + [F.col("__tb").asc()]
@@ -56,14 +59,17 @@ def row_number_ranged(df: DataFrame, keys: list[str], out: str = "rowNum",
     tagged = fixed.select(*[col(c) for c in cols],
                           F.spark_partition_id().alias("__pid"),
                           F.monotonically_increasing_id().alias("__mid"))
-    counts = dict(tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    # One count per partition reaches the driver; the offsets go back as a
+    # broadcast table with one row per partition (a size fixed by the layout).
+    counts = sorted(tuple(r) for r in tagged.groupBy("__pid").agg(F.count(F.lit(1))).collect())
     offsets, running = [], 0
-    for pid in range(max(counts, default=-1) + 1):
-        offsets.append(running)
-        running += counts.get(pid, 0)
-    start = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col("__pid") + 1)
+    for pid, n in counts:
+        offsets.append((pid, running))
+        running += n
+    starts = spark.createDataFrame(offsets or [(0, 0)], "__pid int, __start bigint")
     position = F.col("__mid").bitwiseAND(F.lit(_POSITION_MASK))
-    return tagged.select(*[col(c) for c in cols], (start + position + 1).alias(out))
+    return (tagged.join(F.broadcast(starts), "__pid")
+                  .select(*[col(c) for c in cols], (F.col("__start") + position + 1).alias(out)))
 
 
 def slice_ids(df: DataFrame, size: int, row_col: str = "rowNum", out: str = "batch_id") -> DataFrame:

@@ -11,15 +11,15 @@
   shuffle join (and AQE may still switch at run time).  The target is never
   shuffled when the source keys are broadcast.
 * Duplicate source keys are an error, or are resolved by ``dedupe_latest``,
-  which keeps the latest row per key through a partial (map-side)
-  aggregate, so a hot key never lands whole in one task.
+  which keeps the latest row per key with a partial (map-side) group limit,
+  so a hot key never lands whole in one task.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -105,16 +105,16 @@ def dedupe_latest(source: DataFrame, keys: list[str], order_cols: str | list[str
     """Keep one row per key: the greatest by ``order_cols`` (e.g. the modification time).
 
     Remaining ties are broken by a hash of the whole row, so the choice is
-    deterministic.  ``max_by`` aggregates partially on the map side: each task
-    sends at most one row per key to the shuffle, however hot the key is.
+    deterministic.  ``row_number() = 1`` per key is planned with a partial
+    group limit before the shuffle: each task sends at most one row per key,
+    however hot the key is.
     """
     cols = source.columns
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    row = F.struct(*[col(c) for c in cols])
-    rank = F.struct(*[col(c) for c in order], F.xxhash64(*[col(c) for c in cols]))
-    best = (source.groupBy([col(k).alias(f"__g{i}") for i, k in enumerate(keys)])
-                  .agg(F.max_by(row, rank).alias("__row")))
-    return best.select([F.col("__row").getField(c).alias(c) for c in cols])
+    rank = [col(c).desc_nulls_last() for c in order] + [F.xxhash64(*[col(c) for c in cols]).desc()]
+    w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*rank)
+    return (source.withColumn("__rn", F.row_number().over(w))
+                  .where(F.col("__rn") == 1).drop("__rn"))
 
 
 def merge_counts(target: DataFrame, source: DataFrame, keys: list[str], *,
