@@ -5,8 +5,6 @@ All of them are compositions of ``pyspark.sql.functions``; none is a UDF.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, TimestampNTZType
@@ -27,7 +25,7 @@ def scrub(c: Column, token: str = "null", whole_value: bool = False) -> Column:
     s = c.cast("string")
     if whole_value:
         return F.when(s == F.lit(token), F.lit("")).otherwise(s)
-    return F.regexp_replace(s, F.lit(re.escape(token)), F.lit(""))
+    return F.replace(s, F.lit(token), F.lit(""))
 
 
 def bool_encode(c: Column, null_as: int | None = 1) -> Column:

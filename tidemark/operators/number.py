@@ -38,17 +38,20 @@ def row_number_global(df: DataFrame, keys: list[str], out: str = "rowNum",
 
 
 def row_number_ranged(df: DataFrame, keys: list[str], out: str = "rowNum",
-                      descending: bool = True, num_partitions: int | None = None) -> DataFrame:
+                      descending: bool = True, num_partitions: int | None = None,
+                      rows: int | None = None) -> DataFrame:
     """Scalable global row number, ``1..N`` in ``keys`` order (see module doc).
 
-    Returns a frame whose lineage starts at the checkpoint; ``out`` is a long.
+    The number of ranges is ``num_partitions``, else sized from a known row
+    count (``rows``, about two million rows per range), else the shuffle
+    setting.  Returns a frame whose lineage starts at the checkpoint; ``out``
+    is a long.
     """
     spark = df.sparkSession
     if num_partitions is None:
-        # Follow the input's size: one range per input split, at least the
-        # shuffle setting (the range sampler caps its sample on its own).
-        num_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                             df.rdd.getNumPartitions())
+        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if rows is not None:
+            num_partitions = max(num_partitions, partitions_for(rows))
     cols = df.columns
     tiebreak = F.xxhash64(*[col(c) for c in cols]).alias("__tb")
     order = _order(keys, descending) + [F.col("__tb").asc()]

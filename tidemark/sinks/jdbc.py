@@ -103,7 +103,8 @@ def jdbc_publish(spark: SparkSession, df: DataFrame, url: str, stage_table: str,
         execute_statement(spark, url, stmt, properties)
         return [(0, -1)]
 
-    numbered = slice_ids(row_number_ranged(out, keys, "rowNum", descending=True), slice_size)
+    rows = out.count()
+    numbered = slice_ids(row_number_ranged(out, keys, "rowNum", descending=True, rows=rows), slice_size)
     # Each slice is one partition of a scratch table: a slice read prunes to its files.
     path = scratch_path(spark, "publish")
     numbered.write.mode("overwrite").partitionBy("batch_id").parquet(path)
