@@ -40,12 +40,15 @@ def estimated_row_bytes(schema: StructType) -> int:
     return sum(_FIXED_BYTES.get(f.dataType.typeName(), 64) for f in schema.fields) + 16
 
 
+def fits_broadcast(df: DataFrame, rows: int | None, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> bool:
+    """True when ``rows`` is known and ``rows x estimated row width`` is within the bound."""
+    return rows is not None and rows * estimated_row_bytes(df.schema) <= limit_bytes
+
+
 def size_checked_broadcast(df: DataFrame, rows: int | None,
                            limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Hint a broadcast only when ``rows`` is known and the estimate fits."""
-    if rows is not None and rows * estimated_row_bytes(df.schema) <= limit_bytes:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, rows, limit_bytes) else df
 
 
 def _renamed_keys(source: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
@@ -66,17 +69,22 @@ def check_same_columns(target: DataFrame, source: DataFrame) -> None:
 
 def upsert_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
                   source_rows: int | None = None,
-                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+                  source_layout=None) -> DataFrame:
     """Merged frame: every source row, plus target rows whose key is not in source.
 
-    Output columns follow the target's order.
+    Output columns follow the target's order.  ``source_layout`` (a function
+    of a frame) re-arranges only the source rows of the union, e.g. to
+    cluster them for a partitioned write while the target rows keep the
+    layout of their scan.
     """
     check_same_columns(target, source)
     src_keys, names = _renamed_keys(source, keys)
     src_keys = size_checked_broadcast(src_keys, source_rows, broadcast_limit)
     kept = target.join(src_keys, on=_null_safe(keys, names), how="left_anti")
     order = [col(c) for c in target.columns]
-    return source.select(order).unionByName(kept.select(order))
+    rows = source if source_layout is None else source_layout(source)
+    return rows.select(order).unionByName(kept.select(order))
 
 
 def matched_target_rows(target: DataFrame, source: DataFrame, keys: list[str], *,

@@ -21,6 +21,7 @@ from tidemark.functions.columns import col, to_timestamp_safe
 from tidemark.sinks.catalog import sync_partitions
 from tidemark.operators.upsert import (
     DEFAULT_BROADCAST_LIMIT,
+    fits_broadcast,
     matched_target_rows,
     upsert_frames,
 )
@@ -178,8 +179,15 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
     scope = target.where(partition_filter(partition_col, touched))
     before = scope.count() if count_changes else None
     merge_keys = list(keys) if key_only else list(dict.fromkeys([*keys, partition_col]))
+    # With broadcast source keys the target side is not shuffled: its rows
+    # leave the scan grouped by file, hence by partition, and are written as
+    # they come.  Only the (small) source rows are clustered by partition.
+    # Without a broadcast the join hash-partitions the target by key, so the
+    # whole merged set is rebalanced before the write.
+    narrow = fits_broadcast(source.select(*[col(k) for k in merge_keys]), source_rows, broadcast_limit)
     merged = upsert_frames(scope, source, merge_keys, source_rows=source_rows,
-                           broadcast_limit=broadcast_limit)
+                           broadcast_limit=broadcast_limit,
+                           source_layout=(lambda df: df.hint("rebalance", partition_col)) if narrow else None)
 
     emptied: list = []
     only_old = [v for v in touched if v not in source_partitions]
@@ -189,7 +197,7 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
         emptied = [v for v in only_old if v not in left]
 
     watched, obs = _observed_max(merged, observe_max_of)
-    write_partitioned(watched, path, partition_col, dynamic=True,
+    write_partitioned(watched, path, partition_col, dynamic=True, rebalance=not narrow,
                       max_records_per_file=max_records_per_file)
     if emptied:
         delete_partition_dirs(spark, path, partition_col, emptied)
