@@ -144,11 +144,15 @@ def test_repeated_upserts_keep_files_per_partition_bounded(spark, tmp_root):
     p = f"{tmp_root}/main"
     tgt = spark.createDataFrame([(i, "t", f"2024{i % 4:02d}") for i in range(200)], SCHEMA)
     write_partitioned(tgt, p, "part", dynamic=False)
+    compactions = 0
     for run in range(5):
         src = spark.createDataFrame([(i, f"r{run}", f"2024{i % 4:02d}") for i in range(run * 10, run * 10 + 30)],
                                     SCHEMA)
-        upsert_table(src, p, ["id"], "part", source_rows=30)
-    per_part = collections.Counter(os.path.basename(os.path.dirname(f)) for f in glob.glob(f"{p}/part=*/*.parquet"))
-    assert max(per_part.values()) <= 2
+        res = upsert_table(src, p, ["id"], "part", source_rows=30, compact_over=3)
+        compactions += bool(res.compacted)
+        per_part = collections.Counter(os.path.basename(os.path.dirname(f))
+                                       for f in glob.glob(f"{p}/part=*/*.parquet"))
+        assert max(per_part.values()) <= 3
+    assert compactions >= 1
     got = dict((r.id, r.v) for r in read_table(spark, p, tgt.schema).collect())
     assert len(got) == 200 and got[45] == "r4" and got[5] == "r0" and got[199] == "t"

@@ -102,6 +102,28 @@ def delete_partition_dirs(spark: SparkSession, path: str, partition_col: str, va
             fs.delete(p, True)
 
 
+def crowded_partitions(spark: SparkSession, path: str, partition_col: str, values,
+                       max_small_files: int = 8, small_bytes: int = 64 * 1024 * 1024) -> list:
+    """Partitions among ``values`` holding more than ``max_small_files`` small data files.
+
+    Lists only the named partition folders (file system metadata, no job).
+    """
+    jvm = spark.sparkContext._jvm  # only handle to the Hadoop FileSystem from Python
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    crowded = []
+    for v in values:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_dir_name(partition_col, v)}")
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            continue
+        small = sum(1 for st in fs.listStatus(p)
+                    if st.isFile() and not st.getPath().getName().startswith(("_", "."))
+                    and st.getLen() < small_bytes)
+        if small > max_small_files:
+            crowded.append(v)
+    return crowded
+
+
 @dataclass
 class UpsertResult:
     touched: list = field(default_factory=list)   # partitions rewritten
@@ -110,6 +132,7 @@ class UpsertResult:
     updated: int | None = None                    # target rows replaced (count_changes)
     inserted: int | None = None                   # source rows with a new key (count_changes)
     max_modified: str | None = None               # max of ``observe_max_of`` over the rewritten rows
+    compacted: list = field(default_factory=list)  # partitions compacted after the write
 
 
 def _values(df: DataFrame, name: str) -> list:
@@ -137,7 +160,7 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
                  observe_max_of: str | None = None,
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                  max_records_per_file: int | None = None,
-                 table: str | None = None) -> UpsertResult:
+                 table: str | None = None, compact_over: int | None = 8) -> UpsertResult:
     """MERGE ``source`` into the partitioned table at ``path``.
 
     ``key_only=False``: match on ``keys`` + the partition column (composite
@@ -152,6 +175,11 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
     inserted counts from two footer-only row counts of the rewritten
     partitions (before and after), not from a join.  ``table`` names a
     catalog table over ``path`` whose partition list is kept in step.
+
+    Small source batches add a file to each partition they touch; a touched
+    partition holding more than ``compact_over`` small files is compacted
+    right after the write (the reference optimises after every merge; here
+    only when needed, and only those partitions).
     """
     spark = source.sparkSession
     if source_partitions is None:
@@ -201,10 +229,18 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
                       max_records_per_file=max_records_per_file)
     if emptied:
         delete_partition_dirs(spark, path, partition_col, emptied)
+    compacted: list = []
+    if compact_over is not None and narrow:
+        compacted = crowded_partitions(spark, path, partition_col,
+                                       [v for v in touched if v not in emptied], compact_over)
+        if compacted:
+            compact_table(spark, path, partition_col, source.schema, partitions=compacted,
+                          max_records_per_file=max_records_per_file)
     if table is not None:
         sync_partitions(spark, table, partition_col,
                         added=[v for v in touched if v not in emptied], dropped=emptied)
-    res = UpsertResult(touched=touched, emptied=emptied, max_modified=obs.get["m"] if obs else None)
+    res = UpsertResult(touched=touched, emptied=emptied, max_modified=obs.get["m"] if obs else None,
+                       compacted=compacted)
     if count_changes:
         after = read_table(spark, path, source.schema).where(partition_filter(partition_col, touched)).count()
         kept = after - source_rows
