@@ -110,13 +110,15 @@ def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: L
     part = cfg.partition_col
     keys = cfg.merge_keys
 
-    # The profile and the stage write both read the extract: keep it once.
-    extract = extract.persist(StorageLevel.MEMORY_AND_DISK)
+    # The profile and the stage write both read the scrubbed extract: keep it
+    # once, after the scrub, so neither the source read nor the per-column
+    # scrub runs twice.
+    base = add_year_month(extract, cfg.created_col, part) if cfg.created_col else extract
+    text_cols = [c for c in base.columns if c != part]
+    scrubbed = (null_token_scrub(base, cfg.scrub_token, cfg.scrub_whole_value, text_cols)
+                if cfg.scrub_token else base)
+    scrubbed = scrubbed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        base = add_year_month(extract, cfg.created_col, part) if cfg.created_col else extract
-        text_cols = [c for c in base.columns if c != part]
-        scrubbed = (null_token_scrub(base, cfg.scrub_token, cfg.scrub_whole_value, text_cols)
-                    if cfg.scrub_token else base)
         detect = cfg.bool_columns is None and cfg.detect_booleans
         prof = profile_extract(scrubbed, cfg.modified_col, part,
                                bool_candidates=text_cols if detect else None)
@@ -129,7 +131,7 @@ def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: L
         encoded = encode_booleans(scrubbed, bools, cfg.null_bool_as) if bools else scrubbed
         stage = stage_overwrite(cast_all_string(encoded), lake.stage, part)
     finally:
-        extract.unpersist()
+        scrubbed.unpersist()
 
     n_stage = prof["rows"]
     res = upsert_table(stage, lake.main, list(cfg.key_cols), part, key_only=not cfg.merge_on_partition,

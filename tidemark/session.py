@@ -29,6 +29,9 @@ def build_session(master: str = "local[*]", app: str = "tidemark",
     """Session for tests, bench and local runs (UI off, UTC, AQE)."""
     b = SparkSession.builder.master(master).appName(app)
     b = b.config("spark.ui.enabled", "false")
+    # Local mode runs everything in the driver JVM; 1 GiB (the default) makes
+    # wide rows thrash the collector.  Only applies when this call starts the JVM.
+    b = b.config("spark.driver.memory", (extra or {}).get("spark.driver.memory", "8g"))
     for k, v in SESSION_DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions is not None:
