@@ -41,3 +41,11 @@ def test_control_row_counts(spark):
     r = control_row(stage, "T", "m", inserted=1, updated=1, with_run_time=False).first()
     assert (r.merge_count, r.source_success_rows, r.inserted_rows, r.updated_rows) == (2, 2, 1, 1)
     assert r.max_date_check == datetime(2024, 2, 1)
+
+
+def test_qa_union_long_id_list_uses_semi_join(spark):
+    x = spark.range(0, 3000).selectExpr("id", "cast(id as string) as a", "1 as b")
+    out = qa_union(x, x, key="id", ids=list(range(0, 3000, 2)))
+    assert out.count() == 3000
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString() or \
+        "broadcast" in out._jdf.queryExecution().optimizedPlan().toString().lower()

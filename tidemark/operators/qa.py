@@ -13,16 +13,31 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
 
+IN_LIST_LIMIT = 1000  # longer id lists are joined, not inlined
+
 
 def qa_union(a: DataFrame, b: DataFrame, labels: tuple[str, str] = ("A", "B"),
              label_col: str = "instance", key: str | None = None,
              ids: list | None = None) -> DataFrame:
-    """``select 'A' as instance, * from a where key in ids union all …``."""
+    """``select 'A' as instance, * from a where key in ids union all …``.
+
+    A short id list stays an ``IN`` predicate (pushed to the scan); a long
+    one becomes a broadcast semi join whose size is that of the list.
+    """
+    id_list = None if ids is None else list(ids)
+    wanted = None
+    if key is not None and id_list is not None and len(id_list) > IN_LIST_LIMIT:
+        key_type = a.schema[key].dataType
+        wanted = F.broadcast(a.sparkSession.createDataFrame([(str(i),) for i in id_list], "__id string")
+                             .select(F.col("__id").cast(key_type).alias("__id")))
+
     def side(df: DataFrame, label: str) -> DataFrame:
-        out = df.select(F.lit(label).alias(label_col), *[col(c) for c in df.columns])
-        if key is not None and ids is not None:
-            out = out.where(col(key).isin(list(ids)))
-        return out
+        out = df
+        if wanted is not None:
+            out = out.join(wanted, col(key) == F.col("__id"), "left_semi")
+        elif key is not None and id_list is not None:
+            out = out.where(col(key).isin(id_list))
+        return out.select(F.lit(label).alias(label_col), *[col(c) for c in df.columns])
     return side(a, labels[0]).unionByName(side(b, labels[1]))
 
 
