@@ -7,8 +7,6 @@ Every operator is one ``select`` over all columns (no per-column
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -27,40 +25,11 @@ def null_token_scrub(df: DataFrame, token: str = "null", whole_value: bool = Fal
                       for c in df.columns])
 
 
-# Boolean detection packs two bits per column into longs: per value, bit 0 =
-# "true"/"false" seen, bit 1 = some other non-blank text seen.  ``bit_or``
-# over the rows leaves 0b01 exactly for boolean columns.  31 columns share a
-# long, so 114 columns need 4 aggregates (not 228), and the aggregate stays
-# small enough for whole-stage code generation.
-_PER_WORD = 31
-
-
-def _value_code(s: Column) -> Column:
-    return (F.when(s.isin(TRUE_TEXT, FALSE_TEXT), F.lit(1))
-             .when(s.isNull() | (s == ""), F.lit(0))
-             .otherwise(F.lit(2)))
-
-
-def _packed_aggs(cols: list[str]) -> list[tuple[Column, list[str]]]:
-    out = []
-    for w, start in enumerate(range(0, len(cols), _PER_WORD)):
-        group = cols[start:start + _PER_WORD]
-        word = reduce(lambda a, b: a.bitwiseOR(b),
-                      [F.shiftleft(_value_code(col(c)).cast("long"), 2 * j) for j, c in enumerate(group)])
-        out.append((F.bit_or(word).alias(f"__bool_w{w}"), group))
-    return out
-
-
-def _decoded(word: Column, j: int) -> Column:
-    return F.shiftright(word, 2 * j).bitwiseAND(F.lit(3)) == 1
-
-
-def _decode_row(row, words: list[tuple[Column, list[str]]]) -> list[str]:
-    found = []
-    for w, (_, group) in enumerate(words):
-        bits = row[f"__bool_w{w}"] or 0
-        found += [c for j, c in enumerate(group) if (bits >> (2 * j)) & 3 == 1]
-    return found
+def _is_boolean_text(s: Column) -> Column:
+    """Aggregate: some value is true/false and every non-NULL value is true/false/''."""
+    has_tf = F.count_if(s.isin(TRUE_TEXT, FALSE_TEXT)) > 0
+    all_ok = F.coalesce(F.bool_and(s.isin(TRUE_TEXT, FALSE_TEXT, "")), F.lit(True))
+    return has_tf & all_ok
 
 
 def _text_columns(df: DataFrame, columns: list[str] | None) -> list[str]:
@@ -78,10 +47,7 @@ def boolean_flags(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     cols = _text_columns(df, columns)
     if not cols:
         return df.sparkSession.range(1).select()
-    words = _packed_aggs(cols)
-    agg = df.agg(*[a for a, _ in words])
-    return agg.select(*[_decoded(F.col(f"__bool_w{w}"), j).alias(c)
-                        for w, (_, group) in enumerate(words) for j, c in enumerate(group)])
+    return df.agg(*[_is_boolean_text(col(c)).alias(c) for c in cols])
 
 
 def bool_detect(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -188,8 +154,8 @@ def profile_extract(df: DataFrame, modified_col: str | None = None,
     partial row; nothing is grouped by key.
     """
     cands = _text_columns(df, bool_candidates or [])
-    words = _packed_aggs(cands)
-    aggs = [F.count(F.lit(1)).alias("__rows")] + [a for a, _ in words]
+    aggs = [F.count(F.lit(1)).alias("__rows")] + [_is_boolean_text(col(c)).alias(f"__b_{i}")
+                                                  for i, c in enumerate(cands)]
     if modified_col is not None:
         m = col(modified_col)
         m = to_timestamp_safe(m) if isinstance(df.schema[modified_col].dataType, StringType) else m
@@ -204,4 +170,4 @@ def profile_extract(df: DataFrame, modified_col: str | None = None,
     return {"rows": row["__rows"],
             "max_modified": row["__max"] if modified_col is not None else None,
             "partitions": parts,
-            "booleans": _decode_row(row, words)}
+            "booleans": [c for i, c in enumerate(cands) if row[f"__b_{i}"]]}
