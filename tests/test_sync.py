@@ -75,3 +75,14 @@ def test_duplicate_keys_deduped_by_latest(spark, tmp_root):
                                  ("a", "2024-01-01", T0 + timedelta(seconds=1), "false", "new")], SRC)
     sync(spark, src, cfg(dedupe_by="LastModifiedDate"), lake)
     assert main_rows(spark, lake) == [("a", "0", "new", "202401")]
+
+
+def test_config_errors_are_explicit(spark, tmp_root):
+    import pytest
+
+    lake = LakePaths.under(tmp_root)
+    src = spark.createDataFrame([("a", "2024-01-01", T0, "false", "x")], SRC)
+    with pytest.raises(ValueError, match="created_col"):
+        sync(spark, src, cfg(created_col=None), lake)
+    with pytest.raises(ValueError, match="key columns"):
+        sync(spark, src, cfg(key_cols=("Nope",)), lake)

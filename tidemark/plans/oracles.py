@@ -82,6 +82,11 @@ QA_VALUES = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_ord
 QA_CHANGED = "concat_ws(',', " + ", ".join(
     f"case when a.{c} is distinct from b.{c} then '{c}' end" for c in QA_VALUES) + ")"
 
+FULL_SYNC = (
+    "select " + ", ".join(_scrub(c) for c in EVENTS)
+    + ", case when event_type = 'error' then '1' else '0' end as is_deleted, "
+    "strftime(ts, '%Y%m') as ts_yearmonth from events")
+
 ORACLES: dict[str, str] = {
     "scan_all": "select * from orders",
     "watermark_lookup": f"select {WM} as watermark",
@@ -152,8 +157,6 @@ ORACLES: dict[str, str] = {
         "count(*) as source_success_rows, count(*) - (select n from upd) as inserted_rows, "
         "(select n from upd) as updated_rows from chg"),
     "flagship_sync": f"with {FLAGSHIP} select * from merged",
-    "full_sync": (
-        "select " + ", ".join(_scrub(c) for c in EVENTS)
-        + ", case when event_type = 'error' then '1' else '0' end as is_deleted, "
-        "strftime(ts, '%Y%m') as ts_yearmonth from events"),
+    "full_sync": FULL_SYNC,
+    "stream_sync": FULL_SYNC,
 }

@@ -161,6 +161,24 @@ def q_full_sync(spark, d):
     return read_partitioned(spark, lake.main, "ts_yearmonth").select(*src.columns, "ts_yearmonth")
 
 
+def q_stream_sync(spark, d):
+    """The same load under Structured Streaming: the events file drained with availableNow."""
+    from tidemark.streaming import start_sync_stream
+
+    ev = _t(spark, d, "events")
+    flag = F.when(F.col("event_type") == "error", "true").otherwise("false")
+    stream = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
+                  .parquet(d.rstrip("/")))
+    root = scratch_path(spark, "stream_sync")
+    lake = LakePaths.under(root)
+    q = start_sync_stream(stream.withColumn("is_deleted", flag), _events_sync_config(), lake,
+                          checkpoint_location=f"{root}/_stream_checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return read_partitioned(spark, lake.main, "ts_yearmonth").select(*ev.columns, "is_deleted", "ts_yearmonth")
+
+
 # ---------------------------------------------------------------- cleaning fixtures
 
 def _scrub_fixture(spark, d):
@@ -339,4 +357,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "control_log_row": q_control_log_row,
     "flagship_sync": q_flagship_sync,
     "full_sync": q_full_sync,
+    "stream_sync": q_stream_sync,
 }

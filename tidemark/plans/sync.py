@@ -109,6 +109,11 @@ def load_batch(spark: SparkSession, extract: DataFrame, cfg: SyncConfig, lake: L
         extract = dedupe_latest(extract, list(cfg.key_cols), cfg.dedupe_by)
     part = cfg.partition_col
     keys = cfg.merge_keys
+    if cfg.created_col is None and part not in extract.columns:
+        raise ValueError(f"no created_col to derive {part!r} from, and the extract has no such column")
+    missing = [k for k in cfg.key_cols if k not in extract.columns]
+    if missing:
+        raise ValueError(f"key columns not in the extract: {missing}")
 
     # The profile and the stage write both read the scrubbed extract: keep it
     # once, after the scrub, so neither the source read nor the per-column
