@@ -31,7 +31,7 @@ from tidemark.session import build_session, scratch_path  # noqa: E402
 from tidemark.sinks.table import upsert_table, write_partitioned  # noqa: E402
 from tidemark.sources.tables import read_table  # noqa: E402
 
-HEADLINE = ["flagship_sync", "full_sync", "incremental_extract", "bool_detect", "bool_encode",
+HEADLINE = ["flagship_sync", "full_sync", "stream_sync", "incremental_extract", "bool_detect", "bool_encode",
             "null_token_scrub", "cast_all_string_lineitem", "upsert_composite", "upsert_single_key",
             "row_number_desc", "batch_slices", "qa_compare", "dedupe_source_keys", "control_log_row",
             "stage_overwrite", "compact_table"]
