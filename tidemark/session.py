@@ -32,6 +32,8 @@ def build_session(master: str = "local[*]", app: str = "tidemark",
     # Local mode runs everything in the driver JVM; 1 GiB (the default) makes
     # wide rows thrash the collector.  Only applies when this call starts the JVM.
     b = b.config("spark.driver.memory", (extra or {}).get("spark.driver.memory", "8g"))
+    # Checkpoint files of the row numbering are removed once unreferenced.
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in SESSION_DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions is not None:
