@@ -156,3 +156,21 @@ def test_repeated_upserts_keep_files_per_partition_bounded(spark, tmp_root):
     assert compactions >= 1
     got = dict((r.id, r.v) for r in read_table(spark, p, tgt.schema).collect())
     assert len(got) == 200 and got[45] == "r4" and got[5] == "r0" and got[199] == "t"
+
+
+def test_hot_partition_is_split_across_writers(spark, tmp_root):
+    p = f"{tmp_root}/hot"
+    from pyspark.sql import functions as F
+
+    rows = [(i, "", "202401" if i % 3 == 0 else f"2024{i % 12 + 1:02d}") for i in range(6000)]
+    # incompressible values, so the shuffle sizes are real
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("v", F.sha2(F.col("id").cast("string"), 256))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        write_partitioned(df.repartition(8), p, "part", dynamic=False)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot_files = glob.glob(f"{p}/part=202401/*.parquet")
+    assert len(hot_files) > 1                       # the third of all rows did not go to one task
+    assert read_table(spark, p, df.schema).count() == 6000
