@@ -66,3 +66,31 @@ def test_entry_contract(spark):
     qs, ors = E.queries(), E.oracle_sql()
     assert set(ors) <= set(qs)
     assert len(qs) >= 25
+
+
+def test_bounded_publish_loop_without_a_database(spark):
+    from tidemark.sinks.jdbc import jdbc_publish
+
+    df = spark.range(0, 25).selectExpr("cast(id as string) as Id", "'2024-01-01T00:00:00.000Z' as CreatedDate",
+                                       "'x' as VeryLongColumnNameThatNeedsRenaming")
+    written, statements = [], []
+
+    def writer(part, url, table, mode, **kw):
+        written.append((table, mode, sorted(r.Id for r in part.collect()), part.columns))
+
+    def executor(spark_, url, sql, props):
+        statements.append(sql)
+        return 0
+
+    sizes = jdbc_publish(spark, df, "jdbc:none", "STG", "TGT", ["Id"], slice_size=10,
+                         rename_map={"VeryLongColumnNameThatNeedsRenaming": "ShortName"},
+                         timestamp_cols=["CreatedDate"], writer=writer, executor=executor)
+    assert sizes == [(0, 10), (1, 10), (2, 5)]
+    assert len(written) == 3 and len(statements) == 3
+    assert all(w[0] == "STG" and w[1] == "overwrite" for w in written)
+    assert written[0][3] == ["Id", "CreatedDate", "ShortName"]
+    # slices follow the key in descending order, as ROW_NUMBER() OVER (ORDER BY Id DESC)
+    ids = sorted((r.Id for r in df.collect()), reverse=True)
+    assert written[0][2] == sorted(ids[:10]) and written[2][2] == sorted(ids[20:])
+    assert statements[0].startswith("MERGE INTO TGT b USING STG d ON (b.Id = d.Id)")
+    assert sorted(i for w in written for i in w[2]) == sorted(ids)

@@ -90,17 +90,21 @@ def prepare_for_sink(df: DataFrame, rename_map: dict | None = None, timestamp_co
 def jdbc_publish(spark: SparkSession, df: DataFrame, url: str, stage_table: str, target_table: str,
                  keys: list[str], *, properties: dict | None = None, slice_size: int = 10000,
                  bounded: bool = True, rename_map: dict | None = None, timestamp_cols=(),
-                 identifier_limit: int | None = 30, quote: str = "") -> list[tuple[int, int]]:
+                 identifier_limit: int | None = 30, quote: str = "",
+                 writer=None, executor=None) -> list[tuple[int, int]]:
     """Publish ``df`` into ``target_table``; returns ``[(batch_id, rows), ...]``.
 
-    ``keys`` are named as in the sink (after renames).
+    ``keys`` are named as in the sink (after renames).  ``writer`` /
+    ``executor`` default to :func:`jdbc_write` / :func:`execute_statement`.
     """
+    writer = writer or jdbc_write
+    executor = executor or execute_statement
     out = prepare_for_sink(df, rename_map, timestamp_cols, identifier_limit)
     columns = out.columns
     stmt = merge_sql(target_table, stage_table, columns, keys, quote)
     if not bounded:
-        jdbc_write(out, url, stage_table, "overwrite", properties=properties, batchsize=slice_size)
-        execute_statement(spark, url, stmt, properties)
+        writer(out, url, stage_table, "overwrite", properties=properties, batchsize=slice_size)
+        executor(spark, url, stmt, properties)
         return [(0, -1)]
 
     rows = out.count()
@@ -113,6 +117,6 @@ def jdbc_publish(spark: SparkSession, df: DataFrame, url: str, stage_table: str,
              batch_summary(sliced, slice_size).orderBy("batch_id").collect()]
     for batch_id, _ in sizes:
         part = sliced.where(F.col("batch_id") == F.lit(batch_id)).select([col(c) for c in columns])
-        jdbc_write(part, url, stage_table, "overwrite", properties=properties, batchsize=slice_size)
-        execute_statement(spark, url, stmt, properties)
+        writer(part, url, stage_table, "overwrite", properties=properties, batchsize=slice_size)
+        executor(spark, url, stmt, properties)
     return sizes
