@@ -275,7 +275,10 @@ def _upsert_query(spark, d, key_only: bool):
     target, source = _orders_change(spark, d, move_months=key_only)
     path = scratch_path(spark, "upsert")
     write_partitioned(target, path, "o_yearmonth", dynamic=False)
-    upsert_table(source, path, ["o_orderkey"], "o_yearmonth", key_only=key_only)
+    # A known change-set size lets the upsert broadcast the source keys (size
+    # checked) and leave the target rows unshuffled, as a sync run does.
+    upsert_table(source, path, ["o_orderkey"], "o_yearmonth", key_only=key_only,
+                 source_rows=source.count())
     return read_table(spark, path, target.schema).select(*target.columns)
 
 

@@ -28,6 +28,7 @@ from tidemark.operators.upsert import (
 from tidemark.sources.tables import read_table, table_exists
 
 DEFAULT_PARTITION_DIR = "__HIVE_DEFAULT_PARTITION__"
+NARROW_RATIO = 4  # source rows x 4 <= rows of the rewritten partitions -> narrow write
 # Characters that Hive-style partition folder names escape as %XX.
 _ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
 
@@ -205,14 +206,19 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
                                           broadcast_limit=broadcast_limit), partition_col)
         touched += [v for v in old if v not in touched]
     scope = target.where(partition_filter(partition_col, touched))
-    before = scope.count() if count_changes else None
+    # Footer-only count of the rewritten partitions: exact change counts, and
+    # the basis of the write layout below.
+    before = scope.count() if (count_changes or source_rows is not None) else None
     merge_keys = list(keys) if key_only else list(dict.fromkeys([*keys, partition_col]))
     # With broadcast source keys the target side is not shuffled: its rows
-    # leave the scan grouped by file, hence by partition, and are written as
-    # they come.  Only the (small) source rows are clustered by partition.
-    # Without a broadcast the join hash-partitions the target by key, so the
-    # whole merged set is rebalanced before the write.
-    narrow = fits_broadcast(source.select(*[col(k) for k in merge_keys]), source_rows, broadcast_limit)
+    # leave the scan grouped by file, hence by partition.  When the source is
+    # small next to the rewritten partitions (at most 1/NARROW_RATIO of their
+    # rows), those rows are written as they come and only the source rows are
+    # clustered by partition.  Otherwise (or without a broadcast, where the
+    # join hash-partitions the target by key) the merged set is rebalanced
+    # once before the write, which also keeps one file set per partition.
+    narrow = (fits_broadcast(source.select(*[col(k) for k in merge_keys]), source_rows, broadcast_limit)
+              and before is not None and source_rows * NARROW_RATIO <= before)
     merged = upsert_frames(scope, source, merge_keys, source_rows=source_rows,
                            broadcast_limit=broadcast_limit,
                            source_layout=(lambda df: df.hint("rebalance", partition_col)) if narrow else None)
