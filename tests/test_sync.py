@@ -86,3 +86,14 @@ def test_config_errors_are_explicit(spark, tmp_root):
         sync(spark, src, cfg(created_col=None), lake)
     with pytest.raises(ValueError, match="key columns"):
         sync(spark, src, cfg(key_cols=("Nope",)), lake)
+
+
+def test_without_deleted_rows_main_keeps_old_version(spark, tmp_root):
+    lake = LakePaths.under(tmp_root)
+    c = cfg(include_deleted=False, bool_columns=("IsDeleted",))
+    sync(spark, spark.createDataFrame([("a", "2024-01-01", T0, "false", "alive")], SRC), c, lake)
+    later = spark.createDataFrame([("a", "2024-01-01", T0 + timedelta(hours=1), "true", "gone"),
+                                   ("b", "2024-01-02", T0 + timedelta(hours=1), "false", "new")], SRC)
+    r = sync(spark, later, c, lake)
+    assert (r.extracted, r.inserted, r.updated) == (1, 1, 0)
+    assert main_rows(spark, lake) == [("a", "0", "alive", "202401"), ("b", "0", "new", "202401")]

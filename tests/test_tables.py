@@ -174,3 +174,13 @@ def test_hot_partition_is_split_across_writers(spark, tmp_root):
     hot_files = glob.glob(f"{p}/part=202401/*.parquet")
     assert len(hot_files) > 1                       # the third of all rows did not go to one task
     assert read_table(spark, p, df.schema).count() == 6000
+
+
+def test_table_exists_on_missing_and_empty_folders(spark, tmp_root):
+    from tidemark.sources.tables import table_exists
+
+    assert not table_exists(spark, f"{tmp_root}/missing")
+    os.makedirs(f"{tmp_root}/empty")
+    assert not table_exists(spark, f"{tmp_root}/empty")
+    spark.createDataFrame([(1, "a", "x")], SCHEMA).write.parquet(f"{tmp_root}/full")
+    assert table_exists(spark, f"{tmp_root}/full")
