@@ -100,3 +100,13 @@ def test_upsert_properties(spark, tk, sk):
     assert got == rows(twice)                                   # idempotent
     assert sorted(r[0] for r in got) == sorted(set(tk) | set(sk))  # |target ∪ source| keys
     assert all(v == "s" for k, _, v in got if k in set(sk))      # source wins
+
+
+def test_known_small_source_broadcasts_keys_and_never_shuffles_target(spark, tmp_root):
+    tgt_path = f"{tmp_root}/tgt"
+    spark.range(0, 5000).selectExpr("cast(id as int) as id", "'a' as part", "'t' as v").write.parquet(tgt_path)
+    tgt = spark.read.parquet(tgt_path)
+    src = spark.createDataFrame([(1, "a", "s")], SCHEMA)
+    plan = upsert_frames(tgt, src, ["id"], source_rows=1)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert "Exchange hashpartitioning" not in plan      # the target side is not shuffled
