@@ -97,3 +97,13 @@ def test_without_deleted_rows_main_keeps_old_version(spark, tmp_root):
     r = sync(spark, later, c, lake)
     assert (r.extracted, r.inserted, r.updated) == (1, 1, 0)
     assert main_rows(spark, lake) == [("a", "0", "alive", "202401"), ("b", "0", "new", "202401")]
+
+
+def test_log_marks_from_one_aggregate(spark):
+    from tidemark.plans.sync import WATERMARK_LOG_SCHEMA, log_marks
+
+    log = spark.createDataFrame([("OBJ", datetime(2024, 1, 1, 12), None), ("OBJ", datetime(2024, 1, 1, 13), None),
+                                 ("OTHER", datetime(2030, 1, 1), None)], WATERMARK_LOG_SCHEMA)
+    assert log_marks(log, "OBJ", 600) == ("2024-01-01 12:50:00.000000", "2024-01-01 13:00:00.000000")
+    assert log_marks(log, "NONE", 600) == (None, None)
+    assert log_marks(None, "OBJ", 600) == (None, None)
