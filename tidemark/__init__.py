@@ -8,5 +8,7 @@ plain ``DataFrame -> DataFrame`` function that Catalyst can optimise.
 
 from tidemark.config import SyncConfig
 from tidemark.session import build_session, checkpoint_root, scratch_path
+from tidemark.plans.sync import LakePaths, SyncResult, load_batch, sync  # noqa: E402,I001
 
-__all__ = ["SyncConfig", "build_session", "checkpoint_root", "scratch_path"]
+__all__ = ["LakePaths", "SyncConfig", "SyncResult", "build_session", "checkpoint_root",
+           "load_batch", "scratch_path", "sync"]
