@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import html_text, mixing, quality, token_counts
+from tidemark.llm import html_text, mixing, quality, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(_table(spark, sf_dir, "pages"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity score of every document."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the quality rules for each document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -42,6 +47,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_main_text": op3_main_text,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_token_counts": op7_token_counts,
 }
