@@ -72,3 +72,78 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return z ^ (z >> np.uint64(31))
+
+
+# --- words and shingles as 64-bit hashes, vectorised over a text's bytes ---
+
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15 | 1
+_BYTE = mix64(np.arange(256, dtype=np.uint64), 7)
+_POWERS: dict[str, np.ndarray] = {}
+#: Longest piece of a text that is hashed at once; a text is cut at white space.
+PIECE = 1 << 22
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base^i and base^-i mod 2^64 for i < n."""
+    have = _POWERS.get("up")
+    if have is None or len(have) < n:
+        size = max(1 << 16, 1 << (n - 1).bit_length())
+        with np.errstate(over="ignore"):
+            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+                f = np.full(size, np.uint64(base), np.uint64)
+                f[0] = 1
+                _POWERS[name] = np.cumprod(f, dtype=np.uint64)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def prefix_hash(data: np.ndarray) -> np.ndarray:
+    """Prefix sums of byte value * base^i (mod 2^64), with a leading 0."""
+    up, _ = _powers(len(data) + 1)
+    out = np.zeros(len(data) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(_BYTE[data] * up[:len(data)], out=out[1:])
+    return out
+
+
+def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Position-independent hash of the bytes of each span."""
+    _, down = _powers(len(prefix))
+    with np.errstate(over="ignore"):
+        h = (prefix[end] - prefix[start]) * down[start]
+        return mix64(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of every word of a text, in order."""
+    if len(text) > PIECE:
+        cut = next((p for p in range(PIECE, len(text)) if IS_SPACE[text[p]]), len(text))
+        parts = []
+        while text:
+            parts.append(word_hashes(text[:cut]) if cut <= PIECE else _hash_words(text[:cut]))
+            text = text[cut:]
+            cut = next((p for p in range(min(PIECE, len(text)), len(text)) if IS_SPACE[text[p]]), len(text))
+        return np.concatenate(parts)
+    return _hash_words(text)
+
+
+def _hash_words(text: bytes) -> np.ndarray:
+    data = np.frombuffer(text, np.uint8)
+    if not len(data):
+        return np.zeros(0, np.uint64)
+    word = ~IS_SPACE[data]
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False]))))
+    return span_hash(prefix_hash(data), edge[::2], edge[1::2])
+
+
+def shingle_hashes(words: np.ndarray, k: int = 5) -> np.ndarray:
+    """Hash of every k-word shingle; with fewer words, of the whole sequence."""
+    if not len(words):
+        return words
+    width = min(k, len(words))
+    h = np.zeros(len(words) - width + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(width):
+            h = h * np.uint64(0xC2B2AE3D27D4EB4F) + words[i:len(words) - width + 1 + i]
+    return mix64(h, width)

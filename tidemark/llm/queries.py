@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import html_text, mixing, quality, token_counts, toxicity
+from tidemark.llm import html_text, mixing, near_dup, quality, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,12 +44,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
 
+def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components at 0.85 over five-word shingles."""
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), per_cent=85).drop("thash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_main_text": op3_main_text,
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_token_counts": op7_token_counts,
+    "op8_minhash_near_dup": op8_minhash_near_dup,
 }
 
 ORACLES: dict[str, str] = {}
