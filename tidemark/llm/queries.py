@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import html_text, mixing, near_dup, quality, token_counts, toxicity
+from tidemark.llm import html_text, mixing, near_dup, quality, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document under a 400-byte string that also starts elsewhere."""
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document, by pivotal rounding."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
@@ -50,6 +55,7 @@ def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op3_main_text": op3_main_text,
     "op5_toxicity": op5_toxicity,
