@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import html_text, mixing, near_dup, quality, suffix_dedup, token_counts, toxicity
+from tidemark.llm import html_text, lm_scoring, mixing, near_dup, quality, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), per_cent=85).drop("thash")
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document."""
+    return lm_scoring.lm_scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_token_counts": op7_token_counts,
+    "op9_lm_scores": op9_lm_scores,
     "op8_minhash_near_dup": op8_minhash_near_dup,
 }
 
