@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
+SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: Broadcast bound in rows for small side tables whose row count was taken first.
 BROADCAST_ROWS = 100_000
 
@@ -37,14 +38,14 @@ def crc_mod(col: str, m: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % m
 
 
-def join_small(df: DataFrame, small: DataFrame, cond: Column, how: str = "left") -> DataFrame:
+def join_small(df: DataFrame, small: DataFrame, cond: Column, how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join that broadcasts ``small`` only after counting its rows.
 
-    Past ``BROADCAST_ROWS`` Spark plans a shuffle join, whose skewed
+    Past ``limit`` Spark plans a shuffle join, whose skewed
     partitions adaptive execution splits.
     """
-    n = small.limit(BROADCAST_ROWS + 1).count()
-    return df.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, cond, how)
+    n = small.limit(limit + 1).count()
+    return df.join(F.broadcast(small) if n <= limit else small, cond, how)
 
 
 def default_partitions(spark: SparkSession) -> int:

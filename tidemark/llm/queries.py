@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, lm_scoring, mixing, near_dup, quality, suffix_dedup, token_counts, toxicity
+from tidemark.llm import html_text, line_dedup, lm_scoring, mixing, near_dup, quality, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,15 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(_table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document, and what remains without near-duplicates of earlier lines."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup_lines(docs)
+    kept = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", "n_lines", "n_removed", F.length(kept).cast("long").alias("n_chars_kept"),
+                      F.sha2(kept, 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -66,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_token_counts": op7_token_counts,
+    "op10_line_dedup": op10_line_dedup,
     "op9_lm_scores": op9_lm_scores,
     "op8_minhash_near_dup": op8_minhash_near_dup,
 }
