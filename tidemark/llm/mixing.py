@@ -113,15 +113,18 @@ def pivotal_round(units: DataFrame, seed: int) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3),
-                max_copies: int = MAX_COPIES, seed: int = 17) -> DataFrame:
+                max_copies: int = MAX_COPIES, seed: int = 17, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, copies.
 
+    The columns named in ``carry`` go along behind doc_id.
+
     ``copies`` counts whole copies; ``taken`` also holds the part of a copy
     that the last document of a source takes.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    carried = [F.col(c).alias(f"__{c}") for c in carry]
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carried)
     sized = materialise(sized.withColumn("k", F.monotonically_increasing_id()), "mix-sizes")
-    targets = materialise(source_targets(sized, weights, max_copies), "mix-targets").withColumnRenamed("source", "src")
+    targets = materialise(source_targets(sized.select("source", "size"), weights, max_copies), "mix-targets").withColumnRenamed("source", "src")
     owed = join_small(sized, targets, F.col("source").eqNullSafe(F.col("src")), "left").drop("src")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     owed = owed.withColumn("whole", F.floor(ratio).cast("long")).withColumn("x", (ratio - F.col("whole")) * F.col("size"))
@@ -135,4 +138,4 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3),
     extra = F.coalesce(F.round("extra").cast("long"), F.lit(0).cast("long"))
     taken = F.col("whole") * F.col("size") + extra
     copies = F.when(F.col("size") > 0, F.floor(taken / F.col("size"))).otherwise(F.lit(0)).cast("long")
-    return j.select("doc_id", "size", "source_size", "target", taken.alias("taken"), copies.alias("copies"))
+    return j.select("doc_id", *[F.col(f"__{c}").alias(c) for c in carry], "size", "source_size", "target", taken.alias("taken"), copies.alias("copies"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, line_dedup, lm_scoring, mixing, near_dup, quality, suffix_dedup, token_counts, toxicity
+from tidemark.llm import decontaminate, html_text, line_dedup, lm_scoring, mixing, near_dup, quality, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that leaks a benchmark item, with the place of the leak."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the quality rules for each document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_main_text": op3_main_text,
     "op5_toxicity": op5_toxicity,
+    "op4_decontaminate": op4_decontaminate,
     "op6_quality_rules": op6_quality_rules,
     "op7_token_counts": op7_token_counts,
     "op10_line_dedup": op10_line_dedup,
