@@ -5,7 +5,6 @@ from tidemark.operators.clean import (
     bool_detect,
     cast_all_string,
     check_identifiers,
-    clean_extract,
     detect_boolean_columns,
     encode_booleans,
     null_token_scrub,
@@ -77,21 +76,3 @@ def test_rename_checks_limit_and_collisions(spark):
         check_identifiers(["a" * 31])
 
 
-def test_clean_chain(spark):
-    rows = [("1", "2017-03-31T23:30:00.000-0700", "true", "null note"),
-            ("2", "2017-11-01T00:00:00.000Z", "false", "fine")]
-    df = spark.createDataFrame(rows, "Id string, CreatedDate string, IsDeleted string, Notes string")
-    out, bools = clean_extract(df, created_col="CreatedDate")
-    assert bools == ["IsDeleted"]
-    got = sorted(tuple(r) for r in out.collect())
-    assert got == [("1", "2017-03-31T23:30:00.000-0700", "1", " note", "201703"),
-                   ("2", "2017-11-01T00:00:00.000Z", "0", "fine", "201711")]
-    assert all(f.dataType.simpleString() == "string" for f in out.schema)
-
-
-def test_clean_explicit_bool_columns_win(spark):
-    df = spark.createDataFrame([("true", "")], "a string, b string")
-    out, bools = clean_extract(df, bool_columns=["b"])
-    assert bools == ["b"]
-    assert tuple(out.first()) == ("true", "0")
-    assert F is not None

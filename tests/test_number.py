@@ -4,7 +4,6 @@ from tidemark.operators.number import (
     batch_summary,
     row_number_global,
     row_number_ranged,
-    slice_bounds,
     slice_ids,
 )
 
@@ -41,17 +40,6 @@ def test_duplicates_and_hot_key_get_a_stable_permutation(spark):
     assert again == {(r[0], r[1]): r[2] for r in got}
 
 
-def test_slice_bounds_parity():
-    n = 10
-    assert slice_bounds(0, n) == [(0, 10)]
-    assert slice_bounds(1, n) == [(0, 10)]
-    assert slice_bounds(9, n) == [(0, 10)]
-    assert slice_bounds(10, n) == [(0, 10), (10, 20)]   # last slice empty, as the reference
-    assert slice_bounds(11, n) == [(0, 10), (10, 20)]
-    assert slice_bounds(20, n) == [(0, 10), (10, 20), (20, 30)]
-    assert slice_bounds(None, n) == [(0, 10)]
-
-
 def test_slices_partition_the_rows(spark):
     for n_rows in (1, 9, 10, 11, 20):
         df = spark.range(0, n_rows).withColumnRenamed("id", "k")

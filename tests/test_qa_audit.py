@@ -38,7 +38,7 @@ def test_watermark_row_casts_before_max(spark):
 
 def test_control_row_counts(spark):
     stage = spark.createDataFrame([("2024-01-01 00:00:00",), ("2024-02-01 00:00:00",)], "m string")
-    r = control_row(stage, "T", "m", inserted=1, updated=1, with_run_time=False).first()
+    r = control_row(stage, "T", "m", inserted=1, updated=1).first()
     assert (r.merge_count, r.source_success_rows, r.inserted_rows, r.updated_rows) == (2, 2, 1, 1)
     assert r.max_date_check == datetime(2024, 2, 1)
 

@@ -12,7 +12,7 @@ T0 = datetime(2024, 1, 10, 12)
 
 def cfg(**kw):
     base = dict(table_name="OBJ", key_cols=("Id",), modified_col="LastModifiedDate",
-                created_col="CreatedDate", deleted_col="IsDeleted")
+                created_col="CreatedDate", partition_col="Created_YearMonth", deleted_col="IsDeleted")
     base.update(kw)
     return SyncConfig(**base)
 

@@ -10,8 +10,8 @@ class SyncConfig:
     table_name: str                       # name written to the logs
     key_cols: tuple[str, ...]             # record key
     modified_col: str                     # modification time = watermark column
+    partition_col: str                    # partition key of stage and main table
     created_col: str | None = None        # source of the partition key
-    partition_col: str = "Created_YearMonth"
     deleted_col: str | None = None        # soft-delete flag column (text true/false)
     include_deleted: bool = True          # keep soft-deleted rows in the extract
     merge_on_partition: bool = True       # True: key + partition (composite); False: key only
@@ -23,11 +23,12 @@ class SyncConfig:
     scrub_token: str | None = "null"      # None disables the scrub
     scrub_whole_value: bool = False
     dedupe_by: str | None = None          # resolve duplicate source keys by latest value
-    timestamp_cols: tuple[str, ...] = ()  # re-typed to timestamp at the JDBC sink
-    rename_map: dict = field(default_factory=dict)
-    identifier_limit: int = 30
-    slice_size: int = 10000
-    zone: str = "MST7MDT"                 # zone of the run time in the logs
+    newest_wins: bool = False             # a source row older than main's row loses
+    timestamp_cols: tuple[str, ...] = ()  # publish: re-typed to timestamp
+    rename_map: dict = field(default_factory=dict)   # publish: names in the database
+    identifier_limit: int = 30            # publish: longest name there
+    slice_size: int = 10000               # publish: rows per bounded transaction
+    zone: str = "UTC"                     # zone of the run time in the logs
 
     @property
     def merge_keys(self) -> list[str]:

@@ -6,7 +6,6 @@ from tidemark.operators.clean import (
     bool_detect,
     boolean_flags,
     cast_all_string,
-    clean_extract,
     detect_boolean_columns,
     encode_booleans,
     null_token_scrub,
@@ -18,7 +17,6 @@ from tidemark.operators.number import (
     batch_summary,
     row_number_global,
     row_number_ranged,
-    slice_bounds,
     slice_ids,
     slice_rows,
 )
@@ -34,9 +32,9 @@ from tidemark.operators.upsert import (
 
 __all__ = [
     "add_year_month", "assert_unique_keys", "batch_summary", "bool_detect", "boolean_flags",
-    "cast_all_string", "clean_extract", "control_row", "control_row_values", "dedupe_latest",
+    "cast_all_string", "control_row", "control_row_values", "dedupe_latest",
     "detect_boolean_columns", "duplicate_keys", "encode_booleans", "log_row", "merge_counts",
     "null_token_scrub", "profile_extract", "qa_diff", "qa_union", "rename_for_sink",
     "retype_timestamps", "row_number_global", "row_number_ranged", "size_checked_broadcast",
-    "slice_bounds", "slice_ids", "slice_rows", "upsert_frames", "watermark_row",
+    "slice_ids", "slice_rows", "upsert_frames", "watermark_row",
 ]

@@ -15,13 +15,14 @@ def _as_time(df: DataFrame, name: str) -> Column:
     return to_timestamp_safe(c) if isinstance(df.schema[name].dataType, StringType) else c
 
 
-def run_time(zone: str) -> Column:
-    """Current time as a wall clock in ``zone``."""
-    return F.from_utc_timestamp(F.current_timestamp(), zone)
+def run_time(zone: str, at: str | None = None) -> Column:
+    """Time of the run as a wall clock in ``zone``: now, or a given UTC time."""
+    now = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    return F.from_utc_timestamp(now, zone)
 
 
-def watermark_row(main: DataFrame, table_name: str, modified_col: str, zone: str = "MST7MDT",
-                  previous: Column | None = None, with_run_time: bool = True) -> DataFrame:
+def watermark_row(main: DataFrame, table_name: str, modified_col: str, zone: str = "UTC",
+                  previous: Column | None = None, at: str | None = None) -> DataFrame:
     """``(table_name, last_modified, run_time)``: max modification time of the main table.
 
     ``previous`` (the last logged value) lets a caller pass only the rewritten
@@ -30,15 +31,13 @@ def watermark_row(main: DataFrame, table_name: str, modified_col: str, zone: str
     top = F.max(_as_time(main, modified_col))
     if previous is not None:
         top = F.greatest(top, previous)
-    cols = [F.lit(table_name).alias("table_name"), top.alias("last_modified")]
-    if with_run_time:
-        cols.append(run_time(zone).alias("run_time"))
-    return main.agg(*cols)
+    return main.agg(F.lit(table_name).alias("table_name"), top.alias("last_modified"),
+                    run_time(zone, at).alias("run_time"))
 
 
-def control_row(stage: DataFrame, table_name: str, modified_col: str, zone: str = "MST7MDT",
+def control_row(stage: DataFrame, table_name: str, modified_col: str, zone: str = "UTC",
                 inserted: int | None = None, updated: int | None = None,
-                with_run_time: bool = True) -> DataFrame:
+                at: str | None = None) -> DataFrame:
     """``(table_name, max_date_check, run_time, merge_count, source_success_rows,
     inserted_rows, updated_rows)`` over the stage.
 
@@ -47,24 +46,24 @@ def control_row(stage: DataFrame, table_name: str, modified_col: str, zone: str
     """
     n = F.count(F.lit(1))
     cols = [F.lit(table_name).alias("table_name"),
-            F.max(_as_time(stage, modified_col)).alias("max_date_check")]
-    if with_run_time:
-        cols.append(run_time(zone).alias("run_time"))
+            F.max(_as_time(stage, modified_col)).alias("max_date_check"),
+            run_time(zone, at).alias("run_time")]
     cols += [n.alias("merge_count"), n.alias("source_success_rows"),
              F.lit(inserted).cast("bigint").alias("inserted_rows"),
              F.lit(updated).cast("bigint").alias("updated_rows")]
     return stage.agg(*cols)
 
 
-def log_row(spark, table_name: str, last_modified: str | None, zone: str = "MST7MDT") -> DataFrame:
+def log_row(spark, table_name: str, last_modified: str | None, zone: str = "UTC") -> DataFrame:
     """Watermark row from a known value (text ``yyyy-MM-dd HH:mm:ss[.SSSSSS]``)."""
     return spark.range(1).select(F.lit(table_name).alias("table_name"),
                                  F.lit(last_modified).cast("timestamp").alias("last_modified"),
                                  run_time(zone).alias("run_time"))
 
 
-def control_row_values(spark, table_name: str, max_date: str | None, zone: str = "MST7MDT", *,
-                       rows: int, inserted: int | None, updated: int | None) -> DataFrame:
+def control_row_values(spark, table_name: str, max_date: str | None, zone: str = "UTC", *,
+                       rows: int, inserted: int | None, updated: int | None,
+                       batch_id: str | None = None) -> DataFrame:
     """Control row from values already known to the run (no rescan of the stage)."""
     return spark.range(1).select(F.lit(table_name).alias("table_name"),
                                  F.lit(max_date).cast("timestamp").alias("max_date_check"),
@@ -72,4 +71,5 @@ def control_row_values(spark, table_name: str, max_date: str | None, zone: str =
                                  F.lit(rows).cast("bigint").alias("merge_count"),
                                  F.lit(rows).cast("bigint").alias("source_success_rows"),
                                  F.lit(inserted).cast("bigint").alias("inserted_rows"),
-                                 F.lit(updated).cast("bigint").alias("updated_rows"))
+                                 F.lit(updated).cast("bigint").alias("updated_rows"),
+                                 F.lit(batch_id).cast("string").alias("batch_id"))

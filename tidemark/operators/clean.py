@@ -77,7 +77,7 @@ def encode_booleans(df: DataFrame, columns: list[str] | None = None, null_as: in
                       for c in df.columns])
 
 
-def add_year_month(df: DataFrame, source_col: str, out_col: str = "Created_YearMonth") -> DataFrame:
+def add_year_month(df: DataFrame, source_col: str, out_col: str) -> DataFrame:
     """Append the ``yyyyMM`` partition key derived from ``source_col``."""
     return df.withColumn(out_col, year_month(col(source_col), df.schema[source_col].dataType))
 
@@ -118,31 +118,6 @@ def rename_for_sink(df: DataFrame, mapping: dict[str, str], limit: int | None =
     return df.select([col(c).alias(mapping.get(c, c)) for c in df.columns])
 
 
-def clean_extract(df: DataFrame, *, token: str | None = "null", whole_value: bool = False,
-                  bool_columns: list[str] | None = None, detect: bool = True,
-                  null_bool_as: int | None = 1, created_col: str | None = None,
-                  partition_col: str = "Created_YearMonth") -> tuple[DataFrame, list[str]]:
-    """The reference's cleaning chain: scrub -> booleans -> yyyyMM -> all text.
-
-    The partition key is taken from the created time as extracted (before the
-    scrub turns it to text), so it is the date as written.  Returns the frame
-    and the boolean columns used.
-    """
-    base = df
-    if created_col is not None:
-        base = add_year_month(base, created_col, partition_col)
-    scrub_cols = [c for c in base.columns if c != partition_col]
-    out = null_token_scrub(base, token, whole_value, scrub_cols) if token else base
-    if bool_columns is not None:
-        bools = list(bool_columns)
-    elif detect:
-        bools = detect_boolean_columns(out, [c for c in out.columns if c != partition_col])
-    else:
-        bools = []
-    out = encode_booleans(out, bools, null_bool_as) if bools else out
-    return cast_all_string(out), bools
-
-
 def profile_extract(df: DataFrame, modified_col: str | None = None,
                     partition_col: str | None = None,
                     bool_candidates: list[str] | None = None) -> dict:

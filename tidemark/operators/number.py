@@ -42,16 +42,14 @@ def row_number_ranged(df: DataFrame, keys: list[str], out: str = "rowNum",
                       rows: int | None = None) -> DataFrame:
     """Scalable global row number, ``1..N`` in ``keys`` order (see module doc).
 
-    The number of ranges is ``num_partitions``, else sized from a known row
-    count (``rows``, about two million rows per range), else the shuffle
-    setting.  Returns a frame whose lineage starts at the checkpoint; ``out``
+    The number of ranges is ``num_partitions``, else sized from the row count
+    (``rows``, counted when not given: about two million rows per range).  Returns a frame whose lineage starts at the checkpoint; ``out``
     is a long.
     """
     spark = df.sparkSession
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if rows is not None:
-            num_partitions = max(num_partitions, partitions_for(rows))
+        rows = df.count() if rows is None else rows
+        num_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(rows))
     cols = df.columns
     tiebreak = F.xxhash64(*[col(c) for c in cols]).alias("__tb")
     order = _order(keys, descending) + [F.col("__tb").asc()]
@@ -87,16 +85,6 @@ def slice_rows(df: DataFrame, lo: int, hi: int, row_col: str = "rowNum") -> Data
     return df.where((col(row_col) > F.lit(lo)) & (col(row_col) <= F.lit(hi)))
 
 
-def slice_bounds(max_row: int | None, size: int) -> list[tuple[int, int]]:
-    """The reference's loop bounds: ``(i, i+size]`` for i in 0..max by size.
-
-    ``floor(max/size)+1`` slices; the last is empty when ``max`` is an exact
-    multiple of ``size``.
-    """
-    n = 0 if max_row is None else int(max_row)
-    return [(i, i + size) for i in range(0, n + 1, size)]
-
-
 def batch_summary(numbered: DataFrame, size: int, row_col: str = "rowNum") -> DataFrame:
     """Per slice: rows, first and last row number (one small aggregate)."""
     return (slice_ids(numbered, size, row_col)

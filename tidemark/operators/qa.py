@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
 
-IN_LIST_LIMIT = 1000  # longer id lists are joined, not inlined
+BROADCAST_IDS = 1_000_000  # longer id lists are joined without the broadcast hint
 
 
 def qa_union(a: DataFrame, b: DataFrame, labels: tuple[str, str] = ("A", "B"),
@@ -21,22 +21,19 @@ def qa_union(a: DataFrame, b: DataFrame, labels: tuple[str, str] = ("A", "B"),
              ids: list | None = None) -> DataFrame:
     """``select 'A' as instance, * from a where key in ids union all …``.
 
-    A short id list stays an ``IN`` predicate (pushed to the scan); a long
-    one becomes a broadcast semi join whose size is that of the list.
+    The ids become a frame typed as each side's key, whatever their number, and
+    filter it by a semi join.  NULL ids, and ids that are no value of that
+    type, match nothing.
     """
-    id_list = None if ids is None else list(ids)
-    wanted = None
-    if key is not None and id_list is not None and len(id_list) > IN_LIST_LIMIT:
-        key_type = a.schema[key].dataType
-        wanted = F.broadcast(a.sparkSession.createDataFrame([(str(i),) for i in id_list], "__id string")
-                             .select(F.col("__id").cast(key_type).alias("__id")))
+    id_list = None if ids is None else [str(i) for i in ids if i is not None]
 
     def side(df: DataFrame, label: str) -> DataFrame:
         out = df
-        if wanted is not None:
+        if key is not None and id_list is not None:
+            wanted = (df.sparkSession.createDataFrame([(i,) for i in id_list], "__id string")
+                      .select(F.col("__id").try_cast(df.schema[key].dataType).alias("__id")))
+            wanted = F.broadcast(wanted) if len(id_list) <= BROADCAST_IDS else wanted
             out = out.join(wanted, col(key) == F.col("__id"), "left_semi")
-        elif key is not None and id_list is not None:
-            out = out.where(col(key).isin(id_list))
         return out.select(F.lit(label).alias(label_col), *[col(c) for c in df.columns])
     return side(a, labels[0]).unionByName(side(b, labels[1]))
 

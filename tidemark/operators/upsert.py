@@ -21,33 +21,51 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StringType, StructType
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import col, to_timestamp_safe
 
 # Upper bound for a broadcast build side, in estimated bytes of the key rows.
 DEFAULT_BROADCAST_LIMIT = 256 * 1024 * 1024
 
 
-# Bytes per value used for the estimate; variable-width types take a generous
-# average so the check errs towards not broadcasting.
+# Bytes of a fixed-width value; the width of text and binary keys is measured.
 _FIXED_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
                 "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+ROW_OVERHEAD = 16
 
 
-def estimated_row_bytes(schema: StructType) -> int:
-    """Upper-end estimate of one row in a broadcast hash relation."""
-    return sum(_FIXED_BYTES.get(f.dataType.typeName(), 64) for f in schema.fields) + 16
+def _variable(schema: StructType) -> list[str]:
+    return [f.name for f in schema.fields if f.dataType.typeName() not in _FIXED_BYTES]
+
+
+def key_bytes(df: DataFrame, rows: int | None) -> int | None:
+    """Bytes of the rows of ``df`` in a broadcast relation; None when ``rows`` is.
+
+    Fixed-width columns are counted from ``rows``; one aggregate adds up the
+    true width of the others.
+    """
+    if rows is None:
+        return None
+    fixed = sum(_FIXED_BYTES.get(f.dataType.typeName(), 0) for f in df.schema.fields) + ROW_OVERHEAD
+    wide = _variable(df.schema)
+    if not wide:
+        return rows * fixed
+    width = reduce(lambda a, b: a + b, [
+        F.coalesce(F.octet_length(col(c) if isinstance(df.schema[c].dataType, (StringType, BinaryType))
+                                  else col(c).cast("string")), F.lit(0)).cast("long") for c in wide])
+    return rows * (fixed + 8 * len(wide)) + (df.agg(F.sum(width)).first()[0] or 0)
 
 
 def fits_broadcast(df: DataFrame, rows: int | None, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> bool:
-    """True when ``rows`` is known and ``rows x estimated row width`` is within the bound."""
-    return rows is not None and rows * estimated_row_bytes(df.schema) <= limit_bytes
+    """True when ``rows`` is known and the rows' measured size is within the bound."""
+    size = key_bytes(df, rows)
+    return size is not None and size <= limit_bytes
 
 
 def size_checked_broadcast(df: DataFrame, rows: int | None,
                            limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when ``rows`` is known and the estimate fits."""
+    """Hint a broadcast only when ``rows`` is known and the measured size fits."""
     return F.broadcast(df) if fits_broadcast(df, rows, limit_bytes) else df
 
 
@@ -67,6 +85,42 @@ def check_same_columns(target: DataFrame, source: DataFrame) -> None:
         raise ValueError(f"column sets differ: only target {sorted(t - s)}, only source {sorted(s - t)}")
 
 
+def with_missing_columns(target: DataFrame, source: DataFrame, keys: list[str], *,
+                         source_rows: int | None = None,
+                         broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """``source`` with the target's columns that it lacks.
+
+    A source of fewer columns updates only those: matched rows take the others
+    from the target, new rows have NULL there.
+    """
+    have = {c.lower() for c in source.columns}
+    missing = [c for c in target.columns if c.lower() not in have]
+    if not missing:
+        return source
+    old = target.select([col(k) for k in keys] + [col(c) for c in missing])
+    old = matched_target_rows(old, source, keys, source_rows=source_rows, broadcast_limit=broadcast_limit)
+    names = [f"__old_key_{i}" for i in range(len(keys))]
+    old = old.select([col(k).alias(n) for k, n in zip(keys, names)] + [col(c) for c in missing])
+    return source.join(old, on=_null_safe(keys, names), how="left").select(
+        [col(c) for c in source.columns] + [col(c) for c in missing])
+
+
+def without_older(target: DataFrame, source: DataFrame, keys: list[str], time_col: str, *,
+                  source_rows: int | None = None,
+                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """Source rows that are not older than the target's row of the same key."""
+    def time_of(df: DataFrame) -> Column:
+        c = col(time_col)
+        return to_timestamp_safe(c) if isinstance(df.schema[time_col].dataType, StringType) else c
+
+    names = [f"__old_key_{i}" for i in range(len(keys))]
+    old = matched_target_rows(target.select([col(k) for k in dict.fromkeys([*keys, time_col])]), source, keys,
+                              source_rows=source_rows, broadcast_limit=broadcast_limit)
+    old = old.select([col(k).alias(n) for k, n in zip(keys, names)] + [time_of(old).alias("__old_time")])
+    older = _null_safe(keys, names) & (F.col("__old_time") > time_of(source))
+    return source.join(old, on=older, how="left_anti")
+
+
 def upsert_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
                   source_rows: int | None = None,
                   broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
@@ -119,7 +173,13 @@ def dedupe_latest(source: DataFrame, keys: list[str], order_cols: str | list[str
     """
     cols = source.columns
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    rank = [col(c).desc_nulls_last() for c in order] + [F.xxhash64(*[col(c) for c in cols]).desc()]
+    # Text that holds times is ordered as instants first, then as text.
+    rank = []
+    for c in order:
+        if isinstance(source.schema[c].dataType, StringType):
+            rank.append(to_timestamp_safe(col(c)).desc_nulls_last())
+        rank.append(col(c).desc_nulls_last())
+    rank = rank + [F.xxhash64(*[col(c) for c in cols]).desc()]
     w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*rank)
     return (source.withColumn("__rn", F.row_number().over(w))
                   .where(F.col("__rn") == 1).drop("__rn"))

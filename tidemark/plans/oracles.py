@@ -5,6 +5,9 @@ from __future__ import annotations
 CUT = "(select (count(*) * 8) // 10 from events)"
 WM = f"(select max(ts) - interval '600' second from events where event_id < {CUT})"
 
+LOG_WM = "(select max(ts) - interval '600' second from events where event_type = 'error')"
+RUN_TIME = "cast('2024-01-15 05:30:00' as timestamp) as run_time"  # 12:30 UTC in the audit zone
+
 
 def _scrub(c: str) -> str:
     return f"regexp_replace(cast({c} as varchar), 'null', '', 'g') as {c}"
@@ -76,7 +79,7 @@ FLAGSHIP = f"""
   merged as (select * from chg union all
              select * from tgt where not exists (select 1 from chg where chg.event_id = tgt.event_id))"""
 
-ROW_NUMBER = "(select *, row_number() over (order by o_orderkey desc) as rowNum from orders)"
+ROW_NUMBER = "(select *, row_number() over (order by o_orderkey desc) as row_no from orders)"
 
 QA_VALUES = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 QA_CHANGED = "concat_ws(',', " + ", ".join(
@@ -89,12 +92,17 @@ FULL_SYNC = (
 
 ORACLES: dict[str, str] = {
     "scan_all": "select * from orders",
-    "watermark_lookup": f"select {WM} as watermark",
-    "watermark_literal": f"select strftime({WM}, '%Y-%m-%dT%H:%M:%SZ') as watermark_text",
+    "watermark_lookup": f"select {LOG_WM} as watermark",
+    "watermark_literal": f"select strftime({LOG_WM}, '%Y-%m-%dT%H:%M:%SZ') as watermark_text",
     "incremental_extract": f"select * from events where ts > {WM}",
     "extract_with_deleted": (f"select *, case when event_type = 'error' then 'true' else 'false' end as is_deleted "
                              f"from events where ts > {WM}"),
-    "empty_short_circuit": "select * from events where ts > (select max(ts) from events)",
+    "empty_short_circuit": (f"select {_scrub('event_id')}, {_scrub('event_type')}, strftime(ts, '%Y%m') as ts_yearmonth, "
+                            "'empty' as second_run, 1 as watermark_rows, 1 as control_rows from events"),
+    "extract_text_watermark": (
+        "select event_id, case when event_id % 2 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' "
+        "else strftime(ts - interval 7 hour, '%Y-%m-%dT%H:%M:%S.%f') || '-07:00' end as modified "
+        f"from events where ts > {WM}"),
     "null_token_scrub": (
         "with f as (select c_custkey, c_name, c_name || 'null' as c_name_tail, "
         "'null' || c_mktsegment || 'nullify' as c_segment_both, 'NULL' || c_mktsegment as c_segment_upper, "
@@ -136,8 +144,8 @@ ORACLES: dict[str, str] = {
         "select * from chg union all select * from tgt where not exists "
         "(select 1 from chg where chg.event_id = tgt.event_id)"),
     "row_number_desc": f"select * from {ROW_NUMBER}",
-    "batch_slices": (f"select (rowNum - 1) // 1000 as batch_id, count(*) as n_rows, min(rowNum) as first_row, "
-                     f"max(rowNum) as last_row from {ROW_NUMBER} group by 1"),
+    "batch_slices": (f"select (row_no - 1) // 1000 as batch_id, count(*) as n_rows, min(row_no) as first_row, "
+                     f"max(row_no) as last_row from {ROW_NUMBER} group by 1"),
     "qa_compare": (
         f"with b as {ORDERS_ALTERED}, j as (select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, "
         "a.o_orderkey is null as only_b, b.o_orderkey is null as only_a, "
@@ -145,15 +153,29 @@ ORACLES: dict[str, str] = {
         "select o_orderkey, case when only_b then 'only_b' when only_a then 'only_a' else 'changed' end as status, "
         "case when only_a or only_b then null else changed end as changed_columns "
         "from j where only_a or only_b or changed <> ''"),
-    "qa_union": (f"select 'DEV' as instance, * from orders union all "
-                 f"select 'PROD' as instance, * from {ORDERS_ALTERED}"),
+    "qa_union": (f"select 'left' as instance, * from orders union all "
+                 f"select 'right' as instance, * from {ORDERS_ALTERED}"),
+    "qa_id_list": ("with ids as (select unnest(range(1, 3000, 7)) as id) "
+                   "select 'left' as instance, * from orders where o_orderkey in (select id from ids) union all "
+                   f"select 'right' as instance, * from {ORDERS_ALTERED} where o_orderkey in (select id from ids)"),
+    "slice_rows": f"select * from {ROW_NUMBER} where row_no > 1000 and row_no <= 2000",
+    "upsert_null_partition": (
+        "select *, case when o_orderstatus <> 'F' then strftime(o_orderdate, '%Y%m') end as part from orders "
+        "union all select *, null as part from orders where o_orderstatus = 'P'"),
+    "upsert_subset_columns": (
+        f"with tgt as (select * from {ORDERS_YM}) "
+        "select o_orderkey, o_custkey, o_orderstatus, case when o_orderstatus = 'O' then o_totalprice + 1 "
+        "else o_totalprice end as o_totalprice, o_orderdate, o_orderpriority, o_yearmonth from tgt union all "
+        "select o_orderkey + 1000000000000, null, null, o_totalprice, null, null, o_yearmonth from tgt "
+        "where o_orderstatus = 'P'"),
     "utc_to_zone": ("select event_id, ts, (ts at time zone 'UTC') at time zone 'MST7MDT' as ts_local "
                     "from events"),
-    "audit_watermark_row": f"with {FLAGSHIP} select 'events' as table_name, max(ts) as last_modified from merged",
+    "audit_watermark_row": f"with {FLAGSHIP} select 'events' as table_name, max(ts) as last_modified, "
+                            f"{RUN_TIME} from merged",
     "control_log_row": (
         f"with chg as (select * from events where ts > {WM}), "
         f"upd as (select count(*) as n from chg where event_id < {CUT}) "
-        "select 'events' as table_name, max(ts) as max_date_check, count(*) as merge_count, "
+        f"select 'events' as table_name, max(ts) as max_date_check, {RUN_TIME}, count(*) as merge_count, "
         "count(*) as source_success_rows, count(*) - (select n from upd) as inserted_rows, "
         "(select n from upd) as updated_rows from chg"),
     "flagship_sync": f"with {FLAGSHIP} select * from merged",

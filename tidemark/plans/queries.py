@@ -17,6 +17,7 @@ checkpoint location and return the table read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +34,14 @@ from tidemark.operators.clean import (
     rename_for_sink,
     retype_timestamps,
 )
-from tidemark.operators.number import batch_summary, row_number_ranged
+from tidemark.operators.number import batch_summary, row_number_ranged, slice_rows
 from tidemark.operators.qa import qa_diff, qa_union
 from tidemark.operators.upsert import dedupe_latest, duplicate_keys, merge_counts, upsert_frames
-from tidemark.plans.sync import LakePaths, sync
+from tidemark.plans.sync import CONTROL_LOG_SCHEMA, LakePaths, read_log, sync
 from tidemark.session import scratch_path
 from tidemark.sinks.table import compact_table, stage_overwrite, upsert_table, write_partitioned
-from tidemark.sources.extract import incremental_extract, is_empty
-from tidemark.sources.tables import read_partitioned, read_table
+from tidemark.sources.extract import incremental_extract
+from tidemark.sources.tables import read_partitioned, read_table, scan_all
 from tidemark.sources.watermark import read_watermark, watermark_literal, watermark_lookup
 
 # Fixed values of the fixtures (also used verbatim in the oracle SQL below).
@@ -48,6 +49,8 @@ LOOKBACK_SECONDS = 600           # watermark look-back
 NEW_KEY_OFFSET = 1_000_000_000_000  # new order keys = existing key + offset
 SLICE_SIZE = 1000                # rows per publish slice in batch_slices
 ZONE = "MST7MDT"                 # zone of the run time / utc_to_zone
+RUN_AT = "2024-01-15 12:30:00"   # UTC run time of the audit queries
+LOG_NAME = "error"               # event type that stands for one table's log name
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -76,12 +79,13 @@ def _events_extract(spark: SparkSession, d: str, deleted_alias: str | None = Non
 
 
 def q_scan_all(spark, d):
-    return _t(spark, d, "orders")
+    return scan_all(spark, f"{d.rstrip('/')}/orders.parquet")
 
 
 def q_watermark_lookup(spark, d):
-    ev = _t(spark, d, "events")
-    return watermark_lookup(_events_log(ev, _events_cut(ev)), "events", lookback_seconds=LOOKBACK_SECONDS)
+    """The whole of events as a log of several tables, named by the event type."""
+    log = _t(spark, d, "events").select(F.col("event_type").alias("table_name"), F.col("ts").alias("last_modified"))
+    return watermark_lookup(log, LOG_NAME, lookback_seconds=LOOKBACK_SECONDS)
 
 
 def q_watermark_literal(spark, d):
@@ -98,19 +102,37 @@ def q_extract_with_deleted(spark, d):
     return _events_extract(spark, d, deleted_alias="is_deleted")[1]
 
 
+def q_extract_text_watermark(spark, d):
+    """Modification times as text with mixed offsets, all rows of events read."""
+    ev = _t(spark, d, "events")
+    cut = _events_cut(ev)
+    wm = read_watermark(_events_log(ev, cut), "events", lookback_seconds=LOOKBACK_SECONDS)
+    shape = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    west = F.date_format(F.col("ts") - F.make_dt_interval(hours=F.lit(7)), shape)
+    text = F.when(F.col("event_id") % 2 == 0, F.concat(F.date_format("ts", shape), F.lit("Z"))).otherwise(
+        F.concat(west, F.lit("-07:00")))
+    return incremental_extract(ev.select("event_id", text.alias("modified")), "modified", wm)
+
+
 def q_empty_short_circuit(spark, d):
+    """Main table and logs after a second run that finds nothing new."""
     ev = _t(spark, d, "events")
-    wm = ev.select(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
-    ext = incremental_extract(ev, "ts", wm)
-    assert is_empty(ext)
-    return ext
+    lake = LakePaths.under(scratch_path(spark, "empty_run"))
+    cfg = replace(_events_sync_config(), lookback_seconds=0, deleted_col=None)
+    sync(spark, ev, cfg, lake)
+    again = sync(spark, ev, cfg, lake)
+    logged = read_log(spark, lake.watermark_log).agg(F.count(F.lit(1)).alias("watermark_rows"))
+    controls = read_log(spark, lake.control_log, CONTROL_LOG_SCHEMA).agg(F.count(F.lit(1)).alias("control_rows"))
+    main = read_partitioned(spark, lake.main, "ts_yearmonth").select("event_id", "event_type", "ts_yearmonth")
+    return (main.withColumn("second_run", F.lit(again.status))
+                .crossJoin(F.broadcast(logged)).crossJoin(F.broadcast(controls)))
 
 
 def q_flagship_sync(spark, d):
     """Watermark -> extract -> upsert on events (DataFrame form of the MERGE)."""
     target, ext = _events_extract(spark, d)
     change = ext.withColumn("value", F.col("value") * 2)
-    return upsert_frames(target, change, ["event_id"])
+    return upsert_frames(target, change, ["event_id"], source_rows=ext.count())
 
 
 def q_soft_delete_propagation(spark, d):
@@ -121,20 +143,21 @@ def q_soft_delete_propagation(spark, d):
                              ["is_deleted"])
     _, ext = _events_extract(spark, d, deleted_alias="is_deleted")
     change = encode_booleans(ext, ["is_deleted"])
-    merged = upsert_frames(target, change, ["event_id"])
+    merged = upsert_frames(target, change, ["event_id"], source_rows=change.count())
     return merged.select("event_id", "event_type", "is_deleted")
 
 
 def q_audit_watermark_row(spark, d):
     main = q_flagship_sync(spark, d)
-    return watermark_row(main, "events", "ts", ZONE, with_run_time=False)
+    row = watermark_row(main, "events", "ts", ZONE, at=RUN_AT)
+    return row.withColumn("run_time", F.col("run_time").cast("timestamp_ntz"))
 
 
 def q_control_log_row(spark, d):
     target, ext = _events_extract(spark, d)
     counts = merge_counts(target, ext, ["event_id"])
-    return control_row(ext, "events", "ts", ZONE, inserted=counts["inserted"],
-                       updated=counts["updated"], with_run_time=False)
+    row = control_row(ext, "events", "ts", ZONE, inserted=counts["inserted"], updated=counts["updated"], at=RUN_AT)
+    return row.withColumn("run_time", F.col("run_time").cast("timestamp_ntz"))
 
 
 def q_utc_to_zone(spark, d):
@@ -162,16 +185,18 @@ def q_full_sync(spark, d):
 
 
 def q_stream_sync(spark, d):
-    """The same load under Structured Streaming: the events file drained with availableNow."""
+    """The same load under Structured Streaming: events drained with availableNow."""
     from tidemark.streaming import start_sync_stream
 
     ev = _t(spark, d, "events")
     flag = F.when(F.col("event_type") == "error", "true").otherwise("false")
-    stream = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
-                  .parquet(d.rstrip("/")))
     root = scratch_path(spark, "stream_sync")
+    # Several files, one a trigger: the stream is drained in several micro-batches.
+    ev.repartition(4).write.parquet(f"{root}/landing")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/landing")
     lake = LakePaths.under(root)
-    q = start_sync_stream(stream.withColumn("is_deleted", flag), _events_sync_config(), lake,
+    cfg = replace(_events_sync_config(), bool_columns=("is_deleted",), dedupe_by="ts")
+    q = start_sync_stream(stream.withColumn("is_deleted", flag), cfg, lake,
                           checkpoint_location=f"{root}/_stream_checkpoint")
     q.awaitTermination()
     if q.exception() is not None:
@@ -254,6 +279,7 @@ def q_compact_table(spark, d):
     path = scratch_path(spark, "compact")
     # Many small files: every input slice writes a file into every month.
     write_partitioned(df.repartition(16), path, "o_yearmonth", dynamic=False, rebalance=False)
+    # More than eight small files a month, so every month is one to compact.
     return compact_table(spark, path, "o_yearmonth", df.schema).select(*df.columns)
 
 
@@ -290,6 +316,28 @@ def q_upsert_single_key(spark, d):
     return _upsert_query(spark, d, key_only=True)
 
 
+def q_upsert_null_partition(spark, d):
+    """NULL and empty partition values share a folder; an upsert into it keeps its rows."""
+    o = _t(spark, d, "orders")
+    ym = F.date_format("o_orderdate", "yyyyMM")
+    target = o.withColumn("part", F.when(F.col("o_orderstatus") != "F", ym))
+    source = o.where(F.col("o_orderstatus") == "P").withColumn("part", F.lit(""))
+    path = scratch_path(spark, "upsert_null")
+    write_partitioned(target, path, "part", dynamic=False)
+    upsert_table(source, path, ["o_orderkey"], "part", source_rows=source.count())
+    return read_table(spark, path, target.schema).select(*target.columns)
+
+
+def q_upsert_subset_columns(spark, d):
+    """A source with three of the columns updates only those."""
+    target, source = _orders_change(spark, d, move_months=False)
+    path = scratch_path(spark, "upsert_subset")
+    write_partitioned(target, path, "o_yearmonth", dynamic=False)
+    upsert_table(source.select("o_orderkey", "o_totalprice", "o_yearmonth"), path, ["o_orderkey"], "o_yearmonth",
+                 source_rows=source.count())
+    return read_table(spark, path, target.schema).select(*target.columns)
+
+
 def q_duplicate_source_keys(spark, d):
     return duplicate_keys(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -305,11 +353,18 @@ def q_dedupe_source_keys(spark, d):
 # ---------------------------------------------------------------- numbering, slices, QA
 
 def q_row_number_desc(spark, d):
-    return row_number_ranged(_t(spark, d, "orders"), ["o_orderkey"], "rowNum", descending=True)
+    return row_number_ranged(_t(spark, d, "orders"), ["o_orderkey"], "row_no", descending=True)
 
 
 def q_batch_slices(spark, d):
-    return batch_summary(q_row_number_desc(spark, d), SLICE_SIZE)
+    # A summary needs the key alone: only that goes through the checkpoint.
+    keys = _t(spark, d, "orders").select("o_orderkey")
+    return batch_summary(row_number_ranged(keys, ["o_orderkey"], "row_no", descending=True), SLICE_SIZE, "row_no")
+
+
+def q_slice_rows(spark, d):
+    """The second slice of the publish loop."""
+    return slice_rows(q_row_number_desc(spark, d), SLICE_SIZE, 2 * SLICE_SIZE, "row_no")
 
 
 def _orders_altered(spark, d) -> DataFrame:
@@ -326,7 +381,13 @@ def q_qa_compare(spark, d):
 
 
 def q_qa_union(spark, d):
-    return qa_union(_t(spark, d, "orders"), _orders_altered(spark, d), ("DEV", "PROD"))
+    return qa_union(_t(spark, d, "orders"), _orders_altered(spark, d), ("left", "right"))
+
+
+def q_qa_id_list(spark, d):
+    """The same for a list of ids, NULL and text among them."""
+    ids = [None, "no number", *range(1, 3000, 7)]
+    return qa_union(_t(spark, d, "orders"), _orders_altered(spark, d), ("left", "right"), key="o_orderkey", ids=ids)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -355,6 +416,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_slices": q_batch_slices,
     "qa_compare": q_qa_compare,
     "qa_union": q_qa_union,
+    "qa_id_list": q_qa_id_list,
+    "slice_rows": q_slice_rows,
+    "extract_text_watermark": q_extract_text_watermark,
+    "upsert_null_partition": q_upsert_null_partition,
+    "upsert_subset_columns": q_upsert_subset_columns,
     "utc_to_zone": q_utc_to_zone,
     "audit_watermark_row": q_audit_watermark_row,
     "control_log_row": q_control_log_row,

@@ -1,8 +1,8 @@
 """Session settings and the shared scratch location.
 
 Scratch tables and checkpoints live below the folder the cluster names in
-``spark.checkpoint.dir``.  A private folder is set only when the session has
-none (local tests); on a cluster the configured shared folder is always used.
+``spark.checkpoint.dir``.  A private folder is set only when a local session
+has none (tests); on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -66,11 +66,15 @@ def _configured_dir(spark: SparkSession) -> str | None:
     return d.rstrip("/") if d else None
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; set a private one only where unset."""
+def ensure_checkpoint_dir(spark: SparkSession, master: str | None = None) -> str:
+    """Return the checkpoint folder; set a private one only where unset and local."""
     d = _configured_dir(spark)
     sc = spark.sparkContext
     if d is None:
+        master = sc.master if master is None else master
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share; "
+                               f"master {master!r} cannot use a folder of the driver's machine")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -85,3 +89,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared checkpoint folder, one per call."""
     return f"{checkpoint_root(spark)}/tidemark-scratch/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that its owner no longer reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # Hadoop FileSystem handle
+    if f"{checkpoint_root(spark)}/tidemark-scratch/" not in f"{path}/":
+        raise ValueError(f"not a scratch folder: {path}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

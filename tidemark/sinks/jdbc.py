@@ -16,31 +16,37 @@ slice; no rows pass through the driver).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tidemark.config import SyncConfig
 from tidemark.functions.columns import col
 from tidemark.operators.clean import rename_for_sink, retype_timestamps
-from tidemark.operators.number import batch_summary, row_number_ranged, slice_ids
-from tidemark.session import scratch_path
+from tidemark.operators.number import row_number_ranged, slice_rows
+from tidemark.session import drop_scratch, scratch_path
 from tidemark.sources.tables import read_table
 
 
 def merge_sql(target: str, stage: str, columns: list[str], keys: list[str],
-              quote: str = "") -> str:
-    """``MERGE INTO target b USING stage d ON (keys) WHEN MATCHED THEN UPDATE
-    SET <non-key columns> WHEN NOT MATCHED THEN INSERT (<all>) VALUES (<all>)``."""
-    def q(c: str) -> str:
-        return f"{quote}{c}{quote}"
-    missing = [k for k in keys if k not in columns]
-    if missing:
-        raise ValueError(f"keys not among the columns: {missing}")
-    on = " and ".join(f"b.{q(k)} = d.{q(k)}" for k in keys)
-    sets = ",".join(f"b.{q(c)} = d.{q(c)}" for c in columns if c not in keys)
-    names = ",".join(q(c) for c in columns)
-    values = ",".join(f"d.{q(c)}" for c in columns)
-    update = f" WHEN MATCHED THEN UPDATE SET {sets}" if sets else ""
-    return (f"MERGE INTO {target} b USING {stage} d ON ({on}){update}"
-            f" WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})")
+              quote: str = "", update_columns: list[str] | None = None) -> str:
+    """MERGE of ``stage`` into ``target``.
+
+    Matched rows get ``update_columns`` (all but the keys when not given), new
+    rows get ``columns``.
+    """
+    absent = [c for c in [*keys, *(update_columns or [])] if c not in columns]
+    if absent:
+        raise ValueError(f"not among the columns: {absent}")
+    changed = [c for c in columns if c not in keys] if update_columns is None else update_columns
+    names = {c: f"{quote}{c}{quote}" for c in columns}
+
+    def pairs(chosen: list[str], between: str) -> str:
+        return between.join(f"tgt.{names[c]} = src.{names[c]}" for c in chosen)
+
+    lines = [f"MERGE INTO {target} tgt", f"USING {stage} src", f"ON ({pairs(keys, ' AND ')})"]
+    if changed:
+        lines.append(f"WHEN MATCHED THEN UPDATE SET {pairs(changed, ', ')}")
+    lines.append(f"WHEN NOT MATCHED THEN INSERT ({', '.join(names.values())}) "
+                 f"VALUES ({', '.join('src.' + n for n in names.values())})")
+    return " ".join(lines)
 
 
 def jdbc_write(df: DataFrame, url: str, table: str, mode: str = "append", *,
@@ -89,34 +95,54 @@ def prepare_for_sink(df: DataFrame, rename_map: dict | None = None, timestamp_co
 
 def jdbc_publish(spark: SparkSession, df: DataFrame, url: str, stage_table: str, target_table: str,
                  keys: list[str], *, properties: dict | None = None, slice_size: int = 10000,
-                 bounded: bool = True, rename_map: dict | None = None, timestamp_cols=(),
+                 bounded: bool = False, rename_map: dict | None = None, timestamp_cols=(),
                  identifier_limit: int | None = 30, quote: str = "",
+                 update_columns: list[str] | None = None,
                  writer=None, executor=None) -> list[tuple[int, int]]:
     """Publish ``df`` into ``target_table``; returns ``[(batch_id, rows), ...]``.
 
     ``keys`` are named as in the sink (after renames).  ``writer`` /
     ``executor`` default to :func:`jdbc_write` / :func:`execute_statement`.
+
+    ``bounded=True`` runs one transaction per ``slice_size`` rows: the numbered
+    rows are written once, in number order, and each slice is a range of row
+    numbers that the scan finds by the files' statistics.
     """
     writer = writer or jdbc_write
     executor = executor or execute_statement
     out = prepare_for_sink(df, rename_map, timestamp_cols, identifier_limit)
     columns = out.columns
-    stmt = merge_sql(target_table, stage_table, columns, keys, quote)
+    stmt = merge_sql(target_table, stage_table, columns, keys, quote, update_columns)
     if not bounded:
         writer(out, url, stage_table, "overwrite", properties=properties, batchsize=slice_size)
         executor(spark, url, stmt, properties)
         return [(0, -1)]
 
     rows = out.count()
-    numbered = slice_ids(row_number_ranged(out, keys, "rowNum", descending=True, rows=rows), slice_size)
-    # Each slice is one partition of a scratch table: a slice read prunes to its files.
     path = scratch_path(spark, "publish")
-    numbered.write.mode("overwrite").partitionBy("batch_id").parquet(path)
-    sliced = read_table(spark, path, numbered.schema)
-    sizes = [(r["batch_id"], r["n_rows"]) for r in
-             batch_summary(sliced, slice_size).orderBy("batch_id").collect()]
-    for batch_id, _ in sizes:
-        part = sliced.where(F.col("batch_id") == F.lit(batch_id)).select([col(c) for c in columns])
+    numbered = row_number_ranged(out, keys, "row_number", descending=True, rows=rows)
+    numbered.write.parquet(path)
+    stored = read_table(spark, path, numbered.schema)
+    sizes = []
+    for lo in range(0, rows, slice_size):
+        part = slice_rows(stored, lo, lo + slice_size, "row_number").select([col(c) for c in columns])
         writer(part, url, stage_table, "overwrite", properties=properties, batchsize=slice_size)
         executor(spark, url, stmt, properties)
+        sizes.append((lo // slice_size, min(slice_size, rows - lo)))
+    drop_scratch(spark, path)
     return sizes
+
+
+def jdbc_publisher(cfg: SyncConfig, url: str, stage_table: str, target_table: str, *,
+                   properties: dict | None = None, bounded: bool = False, quote: str = "",
+                   writer=None, executor=None):
+    """``publisher`` for :func:`tidemark.plans.sync.sync` from the config's publish fields."""
+    keys = [cfg.rename_map.get(k, k) for k in cfg.key_cols]
+
+    def publish(stage: DataFrame) -> list[tuple[int, int]]:
+        return jdbc_publish(stage.sparkSession, stage, url, stage_table, target_table, keys,
+                            properties=properties, slice_size=cfg.slice_size, bounded=bounded,
+                            rename_map=cfg.rename_map, timestamp_cols=cfg.timestamp_cols,
+                            identifier_limit=cfg.identifier_limit, quote=quote,
+                            writer=writer, executor=executor)
+    return publish

@@ -21,20 +21,25 @@ from tidemark.functions.columns import col, to_timestamp_safe
 from tidemark.sinks.catalog import sync_partitions
 from tidemark.operators.upsert import (
     DEFAULT_BROADCAST_LIMIT,
+    assert_unique_keys,
     fits_broadcast,
     matched_target_rows,
     upsert_frames,
+    with_missing_columns,
+    without_older,
 )
-from tidemark.sources.tables import read_table, table_exists
+from tidemark.sources.tables import read_partitioned, read_table, table_exists
 
 DEFAULT_PARTITION_DIR = "__HIVE_DEFAULT_PARTITION__"
-NARROW_RATIO = 4  # source rows x 4 <= rows of the rewritten partitions -> narrow write
+# A source with at most this share of the rewritten rows is clustered alone (layout
+# only: tests hold both layouts to the same rows).
+NARROW_SHARE = 0.25
 # Characters that Hive-style partition folder names escape as %XX.
 _ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
 
 
 def partition_dir_name(column: str, value) -> str:
-    if value is None:
+    if value is None or value == "":
         return f"{column}={DEFAULT_PARTITION_DIR}"
     text = str(value)
     esc = "".join(f"%{ord(ch):02X}" if (ord(ch) < 0x20 or ch in _ESCAPED) else ch for ch in text)
@@ -42,14 +47,21 @@ def partition_dir_name(column: str, value) -> str:
 
 
 def partition_filter(partition_col: str, values) -> Column:
-    """``part IN (values)``, NULL-aware (``isin`` alone drops NULL)."""
-    vals = [v for v in values if v is not None]
+    """``part IN (values)``; NULL and ``""`` are one value, stored as NULL."""
+    vals = [v for v in values if v is not None and v != ""]
     cond = col(partition_col).isin(vals) if vals else F.lit(False)
-    if any(v is None for v in values):
+    if len(vals) < len(list(values)):
         cond = cond | col(partition_col).isNull()
     return cond
 
 
+def one_null(df: DataFrame, partition_col: str) -> DataFrame:
+    """``""`` in the partition column becomes NULL: both share one folder."""
+    if not isinstance(df.schema[partition_col].dataType, StringType):
+        return df
+    return df.withColumn(partition_col, F.nullif(col(partition_col), F.lit("")))
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str, *, dynamic: bool = True,
                       rebalance: bool = True, max_records_per_file: int | None = None,
                       table: str | None = None, mode: str = "overwrite") -> None:
@@ -58,6 +70,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, *, dynamic:
     ``dynamic=True`` replaces only the partitions present in ``df``;
     ``dynamic=False`` replaces the whole table.
     """
+    df = one_null(df, partition_col)
     out = df.hint("rebalance", partition_col) if rebalance else df
     w = (out.write.mode(mode).format("parquet").partitionBy(partition_col)
             .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
@@ -78,12 +91,20 @@ def stage_overwrite(df: DataFrame, path: str, partition_col: str, *, table: str
 
 
 def compact_table(spark: SparkSession, path: str, partition_col: str, schema=None,
-                  partitions: list | None = None, max_records_per_file: int | None = None) -> DataFrame:
-    """Rewrite small files, only in ``partitions`` when given (dynamic overwrite)."""
+                  partitions: list | None = None, max_records_per_file: int | None = None,
+                  max_small_files: int = 8, small_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """Rewrite small files (dynamic overwrite) of ``partitions``.
+
+    Without a list, only the partitions that hold more than
+    ``max_small_files`` files below ``small_bytes``; sound ones stay untouched.
+    """
     df = read_table(spark, path, schema)
-    if partitions is not None:
-        df = df.where(partition_filter(partition_col, partitions))
-    write_partitioned(df, path, partition_col, dynamic=True, max_records_per_file=max_records_per_file)
+    if partitions is None:
+        partitions = crowded_partitions(spark, path, partition_col, _values(df, partition_col),
+                                        max_small_files, small_bytes)
+    if partitions:
+        write_partitioned(df.where(partition_filter(partition_col, partitions)), path, partition_col,
+                          dynamic=True, max_records_per_file=max_records_per_file)
     return read_table(spark, path, schema)
 
 
@@ -158,7 +179,8 @@ def _observed_max(df: DataFrame, name: str | None) -> tuple[DataFrame, Observati
 def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: str, *,
                  key_only: bool = False, source_rows: int | None = None,
                  source_partitions: list | None = None, count_changes: bool = False,
-                 observe_max_of: str | None = None,
+                 observe_max_of: str | None = None, newest_by: str | None = None,
+                 keys_checked: bool = False, layout: str = "auto",
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                  max_records_per_file: int | None = None,
                  table: str | None = None, compact_over: int | None = 8) -> UpsertResult:
@@ -171,23 +193,49 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
     changed moves.  The partitions that held the old versions are rewritten
     too, and the ones left without rows are removed, so no stale copy stays.
 
+    The target is read with its own schema.  A source that lacks some of its
+    columns updates only the columns it has (new rows have NULL in the others);
+    a source with columns that the table lacks is an error.  Duplicate source
+    keys are an error (``keys_checked`` says the caller has looked).  With
+    ``newest_by``, a source row older than the target's row loses.
+
     The partition lists are the only values that reach the driver (one per
     partition, never per row).  ``count_changes`` adds exact updated /
     inserted counts from two footer-only row counts of the rewritten
     partitions (before and after), not from a join.  ``table`` names a
     catalog table over ``path`` whose partition list is kept in step.
 
-    Small source batches add a file to each partition they touch; a touched
-    partition holding more than ``compact_over`` small files is compacted
-    right after the write (the reference optimises after every merge; here
-    only when needed, and only those partitions).
+    ``layout`` is ``narrow`` (kept rows are written as scanned, the source's
+    rows are clustered), ``rebalance`` (the merged set is clustered) or
+    ``auto``; it decides file layout only, never rows.  Partitions with more
+    than ``compact_over`` small files are compacted after the write.
     """
     spark = source.sparkSession
+    source = one_null(source, partition_col)
+    merge_keys = list(keys) if key_only else list(dict.fromkeys([*keys, partition_col]))
+    if not keys_checked:
+        assert_unique_keys(source, merge_keys)
+    exists = table_exists(spark, path)
+    target = None
+    if exists:
+        target = read_partitioned(spark, path, partition_col,
+                                  source.schema[partition_col].dataType.simpleString())
+        have = {c.lower() for c in target.columns}
+        extra = [c for c in source.columns if c.lower() not in have]
+        if extra:
+            raise ValueError(f"the table at {path} has no columns {extra}")
+        if newest_by is not None:
+            source = without_older(target, source, merge_keys, newest_by, source_rows=source_rows,
+                                   broadcast_limit=broadcast_limit)
+            source_rows = source_partitions = None  # what is left decides
+        source = with_missing_columns(target, source, merge_keys, source_rows=source_rows,
+                                      broadcast_limit=broadcast_limit)
     if source_partitions is None:
         source_partitions = _values(source, partition_col)
-    if count_changes and source_rows is None:
+    source_partitions = list(dict.fromkeys(None if v == "" else v for v in source_partitions))
+    if source_rows is None and (count_changes or newest_by is not None):
         source_rows = source.count()
-    if not table_exists(spark, path):
+    if not exists:
         watched, obs = _observed_max(source, observe_max_of)
         write_partitioned(watched, path, partition_col, dynamic=True,
                           max_records_per_file=max_records_per_file)
@@ -198,49 +246,43 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
                             inserted=source_rows if count_changes else None,
                             max_modified=obs.get["m"] if obs else None)
 
-    target = read_table(spark, path, source.schema)
-    touched = list(source_partitions)
+    touched, emptied = list(source_partitions), []
     if key_only:
-        probe = target.select(*[col(k) for k in keys], col(partition_col))
-        old = _values(matched_target_rows(probe, source, keys, source_rows=source_rows,
-                                          broadcast_limit=broadcast_limit), partition_col)
-        touched += [v for v in old if v not in touched]
+        # One probe of the key column: matches per partition.  A partition that
+        # gets no source rows and whose rows all match is left empty.
+        probe = target.select(*[col(k) for k in dict.fromkeys([*keys, partition_col])])
+        matched = {r[0]: r[1] for r in matched_target_rows(
+            probe, source, keys, source_rows=source_rows, broadcast_limit=broadcast_limit)
+            .groupBy(col(partition_col)).agg(F.count(F.lit(1))).collect()}
+        only_old = [v for v in matched if v not in touched]
+        if only_old:
+            held = {r[0]: r[1] for r in target.where(partition_filter(partition_col, only_old))
+                    .groupBy(col(partition_col)).agg(F.count(F.lit(1))).collect()}
+            emptied = [v for v in only_old if held.get(v) == matched[v]]
+        touched += only_old
     scope = target.where(partition_filter(partition_col, touched))
-    # Footer-only count of the rewritten partitions: exact change counts, and
-    # the basis of the write layout below.
+    # Footer-only count of the rewritten partitions.
     before = scope.count() if (count_changes or source_rows is not None) else None
-    merge_keys = list(keys) if key_only else list(dict.fromkeys([*keys, partition_col]))
     # With broadcast source keys the target side is not shuffled: its rows
-    # leave the scan grouped by file, hence by partition.  When the source is
-    # small next to the rewritten partitions (at most 1/NARROW_RATIO of their
-    # rows), those rows are written as they come and only the source rows are
-    # clustered by partition.  Otherwise (or without a broadcast, where the
-    # join hash-partitions the target by key) the merged set is rebalanced
-    # once before the write, which also keeps one file set per partition.
-    narrow = (fits_broadcast(source.select(*[col(k) for k in merge_keys]), source_rows, broadcast_limit)
-              and before is not None and source_rows * NARROW_RATIO <= before)
+    # leave the scan grouped by file, hence by partition, and can be written
+    # as they come next to a small clustered source.
+    broadcast = fits_broadcast(source.select(*[col(k) for k in merge_keys]), source_rows, broadcast_limit)
+    narrow = layout == "narrow" or (layout == "auto" and broadcast and before is not None
+                                    and source_rows <= NARROW_SHARE * before)
     merged = upsert_frames(scope, source, merge_keys, source_rows=source_rows,
                            broadcast_limit=broadcast_limit,
                            source_layout=(lambda df: df.hint("rebalance", partition_col)) if narrow else None)
-
-    emptied: list = []
-    only_old = [v for v in touched if v not in source_partitions]
-    if only_old:
-        # Partitions that only lost rows: find those with nothing left.
-        left = _values(merged.where(partition_filter(partition_col, only_old)), partition_col)
-        emptied = [v for v in only_old if v not in left]
-
     watched, obs = _observed_max(merged, observe_max_of)
     write_partitioned(watched, path, partition_col, dynamic=True, rebalance=not narrow,
                       max_records_per_file=max_records_per_file)
     if emptied:
         delete_partition_dirs(spark, path, partition_col, emptied)
     compacted: list = []
-    if compact_over is not None and narrow:
+    if compact_over is not None:
         compacted = crowded_partitions(spark, path, partition_col,
                                        [v for v in touched if v not in emptied], compact_over)
         if compacted:
-            compact_table(spark, path, partition_col, source.schema, partitions=compacted,
+            compact_table(spark, path, partition_col, target.schema, partitions=compacted,
                           max_records_per_file=max_records_per_file)
     if table is not None:
         sync_partitions(spark, table, partition_col,
@@ -248,7 +290,7 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
     res = UpsertResult(touched=touched, emptied=emptied, max_modified=obs.get["m"] if obs else None,
                        compacted=compacted)
     if count_changes:
-        after = read_table(spark, path, source.schema).where(partition_filter(partition_col, touched)).count()
+        after = read_table(spark, path, target.schema).where(partition_filter(partition_col, touched)).count()
         kept = after - source_rows
         res.updated = before - kept
         res.inserted = source_rows - res.updated

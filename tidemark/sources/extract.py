@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import col
+from pyspark.sql.types import StringType
+
+from tidemark.functions.columns import col, to_timestamp_safe
 
 
 def incremental_extract(src: DataFrame, modified_col: str, watermark: str | Column | None,
@@ -17,7 +19,8 @@ def incremental_extract(src: DataFrame, modified_col: str, watermark: str | Colu
 
     ``watermark`` is text from :func:`read_watermark` (cast to the column's own
     type, so Catalyst folds it into a literal that reaches the parquet scan as
-    a pushed filter), a Column, or None for a full extract.
+    a pushed filter), a Column, or None for a full extract.  A text column is
+    compared as timestamps; text that is none is not extracted.
 
     ``deleted`` names the soft-delete flag (a column name or a boolean Column).
     With ``include_deleted`` the flagged rows are kept and, when
@@ -29,8 +32,13 @@ def incremental_extract(src: DataFrame, modified_col: str, watermark: str | Colu
         df = df.select([col(c) for c in columns])
     if watermark is not None:
         dtype = src.schema[modified_col].dataType
-        bound = watermark if isinstance(watermark, Column) else F.lit(watermark).cast(dtype)
-        df = df.where(col(modified_col) > bound)
+        if isinstance(dtype, StringType):
+            # Text with mixed offsets has no time order: both sides become instants.
+            bound = watermark if isinstance(watermark, Column) else F.lit(watermark).cast("timestamp")
+            df = df.where(to_timestamp_safe(col(modified_col)) > bound)
+        else:
+            bound = watermark if isinstance(watermark, Column) else F.lit(watermark).cast(dtype)
+            df = df.where(col(modified_col) > bound)
     if deleted is not None:
         flag = col(deleted) if isinstance(deleted, str) else deleted
         if isinstance(deleted, str) and src.schema[deleted].dataType.simpleString() == "string":

@@ -20,9 +20,12 @@ def jdbc_subquery_scan(spark: SparkSession, url: str, query: str, *, driver: str
     return reader.load()
 
 
-def jdbc_watermark_query(log_table: str, table_name: str, ts_col: str = "LASTMODIFIEDDATE",
-                         name_col: str = "table_name", lookback_seconds: int = 600) -> str:
-    """Text of the watermark subquery for a log table kept in the database."""
-    safe = table_name.replace("'", "''")
-    return (f"select max({ts_col}) - INTERVAL '{int(lookback_seconds)}' SECOND AS watermark "
-            f"from {log_table} where {name_col} = '{safe}'")
+def jdbc_watermark_query(log_table: str, table_name: str, ts_col: str, name_col: str,
+                         lookback_seconds: int) -> str:
+    """Subquery that lets the database find a table's watermark in its log.
+
+    ``ts_col`` and ``name_col`` are the log's time and table-name columns.
+    """
+    name = table_name.replace("'", "''")
+    top = f"MAX({ts_col}) - INTERVAL '{int(lookback_seconds)}' SECOND"
+    return f"SELECT {top} AS watermark, MAX({ts_col}) AS top FROM {log_table} WHERE {name_col} = '{name}'"
