@@ -251,8 +251,9 @@ def _hot_ranges(rows: DataFrame, length: int, first_only: bool) -> DataFrame:
         "key", "seg", F.transform(F.sort_array("offsets"), lambda o: F.struct(o.alias("lo"), (o + 1).alias("hi"))).alias("ranges"))
 
 
-def repeated_ranges(docs: DataFrame, length: int = 400, keep: str = "none", gram: int = GRAM) -> DataFrame:
+def repeated_ranges(docs: DataFrame, length: int = 400, keep: str = "none") -> DataFrame:
     """(dk, lo, hi): suffixes lo <= p < hi of row ``dk`` start a removed string."""
+    gram = min(GRAM, max(1, length // 4))
     first_only = keep == "first"
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("dk"))
