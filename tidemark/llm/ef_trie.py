@@ -87,10 +87,11 @@ class EliasFano:
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, centres): 256 levels at the quantiles of x."""
-    if not len(x):
-        return np.zeros(0, np.uint8), np.zeros(256)
-    centres = np.quantile(x, (np.arange(256) + 0.5) / 256)
+    """(codes, centres): the values themselves if they are 256 at most, else
+    256 values at the quantiles of the different ones."""
+    centres = np.unique(x) if len(x) else np.zeros(1)
+    if len(centres) > 256:
+        centres = np.quantile(centres, np.linspace(0, 1, 256))
     return np.searchsorted((centres[1:] + centres[:-1]) / 2, x).astype(np.uint8), centres
 
 
