@@ -38,13 +38,17 @@ def crc_mod(col: str, m: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % m
 
 
-def join_small(df: DataFrame, small: DataFrame, cond: Column, how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
+def join_small(df: DataFrame, small: DataFrame, cond: Column, how: str = "left", limit: int = BROADCAST_ROWS,
+               weight: Column | None = None) -> DataFrame:
     """Join that broadcasts ``small`` only after counting its rows.
 
+    ``weight`` counts something else per row, such as the elements of an
+    array: what is bounded must be all that is sent.
+
     Past ``limit`` Spark plans a shuffle join, whose skewed
     partitions adaptive execution splits.
     """
-    n = small.limit(limit + 1).count()
+    n = small.limit(limit + 1).count() if weight is None else small.agg(F.sum(weight)).first()[0] or 0
     return df.join(F.broadcast(small) if n <= limit else small, cond, how)
 
 

@@ -42,6 +42,8 @@ from tidemark.llm.common import join_small, materialise, prefix_hash, span_hash,
 GRAM = 64
 MAX_RUN = 1024
 BUCKET = 150_000
+#: Requests or ranges (a few numbers each) that may be broadcast.
+BROADCAST_ITEMS = 1_000_000
 
 
 def window_minima(h: np.ndarray, width: int) -> np.ndarray:
@@ -267,7 +269,7 @@ def repeated_ranges(docs: DataFrame, length: int = 400, keep: str = "none") -> D
     wanted = distinct.join(bucket, "key").select(
         F.col("first.dk").alias("of"), F.struct("key", "seg", F.col("first.start").alias("start"), "run", "hot").alias("w"))
     wanted = materialise(wanted.groupBy("of").agg(F.collect_list("w").alias("wanted")), "suffix-wanted")
-    cut = join_small(rows, wanted, F.col("dk") == F.col("of"), "inner").mapInArrow(
+    cut = join_small(rows, wanted, F.col("dk") == F.col("of"), "inner", BROADCAST_ITEMS, F.size("wanted")).mapInArrow(
         _cut_bytes(length), f"key long, seg long, doc_id {id_type}, dk long, start long, bytes binary, run int, hot boolean")
     cut = materialise(cut, "suffix-bytes")
     solved = (cut.where("NOT hot").drop("hot").repartition("key").sortWithinPartitions("key")
@@ -306,7 +308,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep: str = "none") -> Da
     spans = repeated_ranges(docs, length, keep).distinct()
     per_doc = materialise(spans.groupBy("dk").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "suffix-spans")
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
-    joined = join_small(rows, per_doc, F.col("row") == F.col("dk"), "left").select("doc_id", "text", "ranges")
+    joined = join_small(rows, per_doc, F.col("row") == F.col("dk"), "left", BROADCAST_ITEMS, F.size("ranges")).select("doc_id", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
