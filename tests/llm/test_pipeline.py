@@ -1,0 +1,87 @@
+"""Every stage against plain Python over its own input, and the whole run."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from conftest import SF_SMALL  # noqa: F401 - the small driver tables
+from tidemark.llm.decontaminate import plain_words
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    """A small documents / benchmark pair with a case for every stage."""
+    rng = random.Random(1)
+    common = ["the", "of", "and", "to", "in", "is"]
+    word = lambda: rng.choice(common) if rng.random() < 0.5 else "".join(rng.choice("etaoinshr") for _ in range(7))
+    text = lambda n: "\n".join(" ".join(word() for _ in range(12)) + "." for _ in range(n))
+    item = " ".join("".join(rng.choice("etaoinshr") for _ in range(6)) for _ in range(25))
+    rows = [(k, text(rng.randint(4, 9)), "en", rng.choice(["a", "b", None])) for k in range(40)]
+    line = "this very line stands in two documents of the table"
+    rows += [(50, text(5) + "\n" + line, "en", "a"), (51, text(5) + "\n" + line.replace("very", "vary"), "en", "b")]
+    long = [word() for _ in range(150)]
+    rows += [(60, " ".join(long), "en", "a"), (61, " ".join([*long[:75], "changed", *long[76:]]), "en", "a")]
+    rows += [(70, text(3) + "\n" + item.upper() + "\n" + text(2), "en", "b")]
+    rows += [(80, " ".join("JUNK!!" for _ in range(90)), "en", "a"), (81, None, "en", "a"), (82, "", None, None), (None, text(5), "en", "b")]
+    root = str(tmp_path_factory.mktemp("lake"))
+    docs = [(i, t, la, s, len(t or "")) for i, t, la, s in rows]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    return root, rows, line, item
+
+
+def test_stages_and_run(spark, lake):
+    root, rows, line, item = lake
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    columns = docs.columns
+    seen = []
+    for k, (_, stage) in enumerate(cp.STAGES):
+        before = docs.collect()
+        docs = stage(spark, docs, root)
+        if k < 4:
+            assert docs.columns == columns
+            docs = cp.materialise(docs, f"test-{k}")
+        seen.append((before, docs.collect()))
+    ids = [{r.doc_id for r in out} for _, out in seen]
+    # 1: rejected documents go, clean ones stay.
+    assert ids[0] == {i for i, *_ in rows} - {80, 81, 82}
+    # 2: the later of two near-equal lines leaves, nothing else changes.
+    lines = {r.doc_id: r for r in seen[1][1]}
+    for r in seen[1][0]:
+        want = "\n".join(x for x in r.text.split("\n") if not (r.doc_id == 51 and "vary line" in x))
+        assert lines[r.doc_id].text == want and lines[r.doc_id].n_chars == len(want)
+    # 3: of texts with 0.8 of their shingles in common one stays.
+    before, after = seen[2]
+    sets = {r.doc_id: shingles(r.text) for r in before}
+    gone = {a for a in sets for b in sets if a is not None and b is not None and b < a
+            and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert {61} == gone and ids[2] == {r.doc_id for r in before} - gone
+    # 4: the leaking document goes.
+    leaks = {r.doc_id for r in seen[3][0] if " ".join(plain_words(item)) in " ".join(plain_words(r.text))}
+    assert leaks == {70} and ids[3] == ids[2] - leaks
+    # 5: taken words meet the targets, no document more than three times.
+    taken, target = {}, {}
+    for r in seen[4][1]:
+        assert 0 < r.taken <= 3 * r.size == 3 * len(r.text.encode().split())
+        taken[r.source], target[r.source] = taken.get(r.source, 0) + r.taken, r.target
+    assert all(abs(taken[s] - target[s]) <= 1 for s in taken)
+    assert set(columns) <= set(docs.columns)
+    assert sorted(map(str, cp.run(spark, root).collect())) == sorted(map(str, seen[4][1]))
+
+
+def test_stages_on_an_empty_table_and_extra_columns(spark, lake):
+    root = lake[0]
+    docs = spark.read.parquet(f"{root}/documents.parquet").limit(0).withColumn("kept", F.lit("x")).withColumn("leaks", F.lit(1))
+    for k, (_, stage) in enumerate(cp.STAGES[:4]):
+        out = stage(spark, docs, root)
+        assert out.columns == docs.columns and out.count() == 0
+    assert cp.mixing_stage(spark, docs, root).count() == 0

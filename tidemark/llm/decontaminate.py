@@ -19,8 +19,8 @@ lower-cased and without marks at their edges.
 4. Candidates are verified exactly: the item against all runs of the window,
    widened by t words on both sides, by a bit-parallel edit distance.
 
-The benchmark is a query set: it is read in blocks of at most ``BLOCK_ITEMS``
-items, which bounds each broadcast; every block meets all documents, in place,
+The benchmark is a query set: it is read in blocks of about ``BLOCK_ITEMS``
+items or ``BLOCK_BYTES`` of text, which bounds each broadcast; every block meets all documents, in place,
 without a shuffle.
 
 Defined cases: null and empty texts leak nothing; null, empty and word-less
@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import mix64
 
 BLOCK_ITEMS = 20_000
+BLOCK_BYTES = 32 << 20
 EDGES = ".,;:!?\"'()[]{}<>|*&%#$…«»“”-_"
 LEAK = "struct<item_id:{item},start:int,n_words:int,distance:int>"
 
@@ -232,7 +233,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cfg: LeakConfig = LeakConf
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     keep = [f for f in docs.schema if f.name.lower() != "leaks"]
     kind = f"array<{LEAK.format(item=item_type)}>"
-    n_blocks = max(1, -(-benchmark.count() // BLOCK_ITEMS))
+    n, size = benchmark.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    n_blocks = max(1, -(-n // BLOCK_ITEMS), -(-(size or 0) // BLOCK_BYTES))
     block_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
     out = docs.select(*[f.name for f in keep]).withColumn("leaks", F.lit(None).cast(kind))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), f"leaks {kind}"])
