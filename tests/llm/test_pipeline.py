@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from conftest import SF_SMALL  # noqa: F401 - the small driver tables
 from tidemark.llm.decontaminate import plain_words
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -30,7 +29,7 @@ def lake(spark, tmp_path_factory):
     rows += [(50, text(5) + "\n" + line, "en", "a"), (51, text(5) + "\n" + line.replace("very", "vary"), "en", "b")]
     long = [word() for _ in range(150)]
     rows += [(60, " ".join(long), "en", "a"), (61, " ".join([*long[:75], "changed", *long[76:]]), "en", "a")]
-    rows += [(70, text(3) + "\n" + item.upper() + "\n" + text(2), "en", "b")]
+    rows += [(70, text(6) + "\n" + item.capitalize() + ".\n" + text(5), "en", "b")]
     rows += [(80, " ".join("JUNK!!" for _ in range(90)), "en", "a"), (81, None, "en", "a"), (82, "", None, None), (None, text(5), "en", "b")]
     root = str(tmp_path_factory.mktemp("lake"))
     docs = [(i, t, la, s, len(t or "")) for i, t, la, s in rows]
