@@ -110,3 +110,34 @@ def test_empty_and_untrained(make_docs):
     assert lm.lm_scores(make_docs([])).count() == 0
     out = lm.lm_scores(make_docs([(1, "a b", "s")]), held_out=F.lit(True)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.score) for r in out] == [(3, 0, 0, 0.0)]
+
+
+def test_rare_ngrams_count_in_a_large_corpus(spark):
+    # Over 1M tokens; most trigrams occur once or twice.
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in (3000 * rng.random(520) ** 3).astype(int)) for _ in range(2100)]
+    texts += [texts[k][:1500] + " novel words" for k in range(0, 200, 2)]
+    held = [k >= 2050 for k in range(len(texts))]
+    train = [t.split() for t, h in zip(texts, held, strict=True) if not h]
+    grams = [Counter(tuple(s[k:k + n]) for t in train for s in [["", *t, ""]] for k in range(len(s) - n + 1)) for n in (2, 3)]
+    c = Counter(w for t in train for w in [*t, ""])
+    n, v, d = c.total(), len(c), lm.DISCOUNT
+    assert n > 1_000_000
+    followers = [Counter(g[:-1] for g in own) for own in grams]
+    context = [Counter(), Counter()]
+    for k, own in enumerate(grams):
+        for g, x in own.items():
+            context[k][g[:-1]] += x
+
+    def p(ctx, w):
+        if not ctx:
+            return (c[w] - d) / n if c[w] else d * v / n
+        own, total = grams[len(ctx) - 1][(*ctx, w)], context[len(ctx) - 1][ctx]
+        return (max(own - d, 0) + d * followers[len(ctx) - 1][ctx] * p(ctx[1:], w)) / total if total else p(ctx[1:], w)
+
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.score for r in lm.lm_scores(docs, held_out=F.col("doc_id") >= 2050).collect()}
+    for k in range(0, len(texts), 10):
+        s = ["", *texts[k].split(), ""]
+        assert out[k] == pytest.approx(sum(math.log10(p(tuple(s[max(0, i - 2):i]), s[i])) for i in range(1, len(s))), rel=0.005)

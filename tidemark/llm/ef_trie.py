@@ -88,10 +88,12 @@ class EliasFano:
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(codes, centres): the values themselves if they are 256 at most, else
-    256 values at the quantiles of the different ones."""
+    quantiles: 128 of all values, which hold the frequent ones exactly, and 128
+    of the different ones, which hold the range."""
     centres = np.unique(x) if len(x) else np.zeros(1)
     if len(centres) > 256:
-        centres = np.quantile(centres, np.linspace(0, 1, 256))
+        steps = np.linspace(0, 1, 128)
+        centres = np.unique([np.quantile(v, steps, method="nearest") for v in (x, centres)])
     return np.searchsorted((centres[1:] + centres[:-1]) / 2, x).astype(np.uint8), centres
 
 
@@ -100,34 +102,34 @@ class Trie:
 
     BITS = 21
 
-    def __init__(self, size: int, levels: list[dict]):
-        self.size, self.levels = size, levels
+    def __init__(self, size: int, levels: list[dict], bits: int = BITS):
+        self.size, self.levels, self.bits = size, levels, bits
         self._decoded: dict[int, np.ndarray] = {}
 
     @classmethod
-    def build(cls, size: int, grams: list[tuple[np.ndarray, np.ndarray]], weights: list[np.ndarray]) -> Trie:
+    def build(cls, size: int, grams: list[tuple[np.ndarray, np.ndarray]], weights: list[np.ndarray], bits: int = BITS) -> Trie:
         """grams[k]: sorted codes and log10 probabilities of the (k + 2)-grams;
         weights[k]: log10 weights of their contexts, in the contexts' order.
 
-        A code holds the ids, the first highest, BITS each; the context of
+        A code holds the ids, the first highest, ``bits`` each; the context of
         every n-gram must be an id or an n-gram of the level below.
         """
-        if size > 1 << cls.BITS:
-            raise ValueError(f"{size} words do not fit {cls.BITS} bits")
+        if size > 1 << bits:
+            raise ValueError(f"{size} words do not fit {bits} bits")
         levels = []
         above, n_above = None, size
         for (codes, log_p), weight in zip(grams, weights, strict=True):
-            head = codes >> np.uint64(cls.BITS)
+            head = codes >> np.uint64(bits)
             context = head.astype(np.int64) if above is None else np.searchsorted(above, head)
             borders = np.concatenate(([0], np.cumsum(np.bincount(context, minlength=n_above))))
-            last = codes & np.uint64((1 << cls.BITS) - 1)
-            lifted = (context.astype(np.uint64) << np.uint64(cls.BITS)) | last
+            last = codes & np.uint64((1 << bits) - 1)
+            lifted = (context.astype(np.uint64) << np.uint64(bits)) | last
             p, p_centre = quantise(log_p)
             w, w_centre = quantise(weight)
             levels.append({"borders": EliasFano.encode(borders), "last": EliasFano.encode(lifted), "p": p, "p_centre": p_centre,
                            "w": w, "w_centre": w_centre})
             above, n_above = codes, len(codes)
-        return cls(size, levels)
+        return cls(size, levels, bits)
 
     def successor(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Node of context + word in levels[level], -1 if absent.
@@ -141,7 +143,7 @@ class Trie:
         ok = np.flatnonzero((context >= 0) & (word >= 0))
         if not len(ok) or not lv["last"].n:
             return out
-        want = (context[ok] << self.BITS) | word[ok]
+        want = (context[ok] << self.bits) | word[ok]
         if len(ok) * 16 >= lv["last"].n:
             if level not in self._decoded:
                 self._decoded[level] = lv["last"].decode()
@@ -189,7 +191,7 @@ class Trie:
         return out
 
     def to_bytes(self) -> bytes:
-        arrays: list[np.ndarray] = [np.array([self.size], np.int64)]
+        arrays: list[np.ndarray] = [np.array([self.size, self.bits], np.int64)]
         for lv in self.levels:
             arrays += [*lv["borders"].arrays(), *lv["last"].arrays(), lv["p"], lv["p_centre"], lv["w"], lv["w_centre"]]
         head, body, at = [struct.pack("<q", len(arrays))], [], 8 + 24 * len(arrays)
@@ -215,7 +217,7 @@ class Trie:
             a = arrays[k:k + 12]
             levels.append({"borders": EliasFano.of(*a[:4]), "last": EliasFano.of(*a[4:8]), "p": a[8], "p_centre": a[9],
                            "w": a[10], "w_centre": a[11]})
-        return cls(int(arrays[0][0]), levels)
+        return cls(int(arrays[0][0]), levels, int(arrays[0][1]))
 
     @classmethod
     def open(cls, path: str) -> Trie:

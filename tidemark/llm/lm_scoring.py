@@ -7,25 +7,26 @@ discounting D.  With N training tokens (words and ends) and V different ones,
                      D * V / N                   for the class of all others,
     P(w | context) = max(c(context w) - D, 0) / c(context) + weight(context) * P(w | shorter)
 
-where weight(context) is the mass that its n-grams in the trie leave.  The
-counts of single tokens are exact and complete.  Of longer n-grams the trie
-holds those with a share of ``min_share`` or more of all tokens; the mass of
-the others is in their context's weight.  So a level holds ``1 / min_share``
-n-grams at most whatever the corpus, which bounds what is broadcast.
+where weight(context) is the mass that discounting leaves, D times the number
+of its different n-grams over c(context).  All counts are exact and every
+n-gram of the training texts counts, whatever the size of the corpus.
 
 Steps, each over the whole corpus:
 
 1. Each task reports chunks of texts: the texts as indexes into the chunk's
-   distinct words, the words with training counts, and the n-grams with half
-   of ``min_share`` in the chunk, the latter two cut into shards by hash.
-2. Each shard sums its words (the vocabulary, spread over the shards) and its
-   n-grams.  What chunks leave out of an n-gram is less than half of
-   ``min_share`` of all tokens, so none that belongs to the trie is lost.
-3. The candidates are counted exactly in a second pass; the trie is built.
-4. Each shard answers every chunk: training count and trie id of its words.
-5. Each chunk's texts meet the answers, are looked up and summed.
-
-A frequent word costs one entry a chunk, so no key grows with its occurrences.
+   distinct words, and the words with training counts, cut into shards by hash.
+2. Each shard sums its words (the vocabulary, spread over the shards), numbers
+   them, and answers every chunk: training count and id of its words.
+3. Each chunk's texts meet the answers; its distinct n-grams and their training
+   counts go to the shard of their context's hash.
+4. Each shard merges its n-grams into an Elias-Fano trie and answers every
+   chunk's n-grams from it: the discounted share and the context's weight.  A
+   context is in one shard, so its counts are whole there.  The number of
+   shards follows from the number of tokens, which bounds a shard's trie.
+5. Each chunk's texts meet both answers and are summed.
+
+A frequent word or n-gram costs one entry a chunk, so no key grows with its
+occurrences.
 
 Defined cases: null and empty texts have the end as only token; without
 training tokens every token's score is 0; a null doc_id counts as empty text
@@ -43,16 +44,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, default_partitions, lower_ascii, materialise, text_bytes
-from tidemark.llm.ef_trie import Trie
+from tidemark.llm.common import crc_mod, default_partitions, lower_ascii, materialise, mix64, text_bytes
+from tidemark.llm.ef_trie import EliasFano, Trie
 
 ORDER = 3
 DISCOUNT = 0.75
-MIN_SHARE = 2e-6
-#: Bytes of text in a chunk.
-CHUNK = 32 << 20
-#: Stands for the start of a text as context and for its end as word.
-EDGE = b"\n"
+#: Bytes of text in a chunk; all its n-grams are in memory at once.
+CHUNK = 12 << 20
+#: Training and held-out tokens a shard of n-grams.
+SHARD_TOKENS = 1_500_000
+#: Bits of a word id in a shard's codes.
+WORD_BITS = 32
+#: Steps of an answered log10 value; the largest code stands for a share of 0.
+GRID, NONE = 4096, 65535
 _NAMES = ["chunk", "shard", "ids", "held", "sizes", "data", "counts", "at"]
 
 
@@ -66,27 +70,27 @@ def sequence(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return seq, place
 
 
-def frequent_ngrams(seq: np.ndarray, place: np.ndarray, order: int, least: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For n = 2..order: rows of ids and counts of the n-grams with a count of ``least`` or more."""
-    out = []
-    ids, kept = seq, np.ones(len(seq), bool)  # id of the (n-1)-gram that ends at each place
-    for n in range(2, order + 1):
-        at = np.flatnonzero((place >= n - 1) & kept & np.roll(kept, 1))
-        code = (ids[at - 1].astype(np.uint64) << np.uint64(32)) | seq[at].astype(np.uint64)
-        own, first, inverse, count = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        enough = count >= least
-        where = at[first[enough]]
-        out.append((np.stack([seq[where - n + 1 + k] for k in range(n)], axis=1), count[enough]))
-        # An n-gram is no more frequent than its parts, so only these go on.
-        kept = np.zeros(len(seq), bool)
-        kept[at[enough[inverse]]] = True
-        ids = np.zeros(len(seq), np.int64)
-        ids[at] = inverse
-    return out
-
-
-def _report(shards: int, order: int, min_share: float):
-    """Texts as word indexes (shard -1), words (0..) and n-grams (shards..) by shard."""
+def squeeze(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unsqueeze(raw: bytes) -> bytes:
+    size = int.from_bytes(raw[:8], "little")
+    return pa.decompress(raw[8:], size, "zstd", asbytes=True) if size else b""
+
+
+def planes(a: np.ndarray) -> bytes:
+    """The values' first bytes, then their second bytes, and so on, compressed."""
+    return squeeze(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
+
+
+def unplanes(raw: bytes, dtype: str) -> np.ndarray:
+    data = np.frombuffer(unsqueeze(raw), np.uint8)
+    return np.ascontiguousarray(data.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def _report(shards: int):
+    """Texts as word indexes (shard -1) and words (0..) by shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         from pyspark import TaskContext
@@ -100,25 +104,14 @@ def _report(shards: int, order: int, min_share: float):
             kinds = [pa.int64(), pa.int32(), pa.list_(id_type), pa.list_(pa.bool_()), pa.list_(pa.int64())] + [pa.binary()] * 3
             return pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=_NAMES)
 
-        def by_shard(names: list[bytes], counts: np.ndarray, base: int, gap: bytes) -> list[tuple]:
+        def words() -> list[tuple]:
+            names = list(index)
+            counts = np.bincount(np.concatenate([np.zeros(0, np.int64), *train]), minlength=len(names))
             own: list[list[int]] = [[] for _ in range(shards)]
             for i, w in enumerate(names):
                 own[xxhash.xxh64_intdigest(w) % shards].append(i)
-            return [(part + chunk, base + s, None, None, None, gap.join([names[i] for i in o]), counts[o].astype("<u4").tobytes(),
-                     np.array(o, "<u4").tobytes()) for s, o in enumerate(own) if o]
-
-        def words() -> list[tuple]:
-            names = list(index)
-            seq, place = sequence([t + 1 for t in train])
-            counts = np.bincount(seq, minlength=len(names) + 1)[1:]
-            grams, gram_counts = [], []
-            tokens = len(seq) - len(train)
-            spelled = [EDGE, *names]
-            for ids, count in frequent_ngrams(seq, place, order, min_share / 2 * tokens):
-                grams += [b" ".join([spelled[i] for i in g]) for g in ids.tolist()]
-                gram_counts.append(count)
-            out = by_shard(names, counts, 0, b" ")
-            return out + (by_shard(grams, np.concatenate(gram_counts), shards, b"\t") if grams else [])
+            return [(part + chunk, s, None, None, None, squeeze(b" ".join([names[i] for i in o])), planes(counts[o].astype("<u4")),
+                     planes(np.diff(np.array(o, "<u4"), prepend=np.uint32(0)))) for s, o in enumerate(own) if o]
 
         id_type = pa.int64()
         for batch in batches:
@@ -134,7 +127,7 @@ def _report(shards: int, order: int, min_share: float):
                 own = [np.array([index.setdefault(w, len(index)) for w in lower_ascii(b).split()], np.int64) for b in texts[lo:hi]]
                 train += [o for o, h in zip(own, held[lo:hi], strict=True) if not h]
                 yield rows_of([(part + chunk, -1, ids.slice(lo, hi - lo).to_pylist(), held[lo:hi], [len(o) for o in own],
-                                np.concatenate(own).astype("<u4").tobytes(), None, None)], id_type)
+                                planes(np.concatenate(own).astype("<u4")), None, None)], id_type)
                 size += part_size
                 lo = hi
                 if size >= CHUNK:
@@ -145,36 +138,6 @@ def _report(shards: int, order: int, min_share: float):
     return run
 
 
-def _sum_shards(gap: bytes, least: float):
-    """Rows sorted by shard -> one row a shard: its words or n-grams and their counts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total = None, {}
-
-        def emit() -> pa.RecordBatch:
-            kept = {w: c for w, c in total.items() if c >= least}
-            return pa.record_batch([pa.array([now], pa.int32()), pa.array([gap.join(kept)], pa.binary()),
-                                    pa.array([np.array(list(kept.values()), "<i8").tobytes()], pa.binary()),
-                                    pa.array([sum(kept.values())], pa.int64()), pa.array([sum(1 for c in kept.values() if c)], pa.int64())],
-                                   names=["shard", "words", "totals", "tokens", "known"])
-
-        for batch in batches:
-            for shard, data, counts in zip(batch.column("shard").to_pylist(), batch.column("data"), batch.column("counts"), strict=True):
-                if shard != now:
-                    if total:
-                        yield emit()
-                    now, total = shard, {}
-                for w, c in zip(data.as_py().split(gap), np.frombuffer(counts.as_py(), "<u4").tolist(), strict=True):
-                    total[w] = total.get(w, 0) + c
-        if total:
-            yield emit()
-    return run
-
-
-def _shard_sums(rows: DataFrame, gap: bytes, least: float) -> DataFrame:
-    return (rows.select("shard", "data", "counts").repartition("shard").sortWithinPartitions("shard")
-            .mapInArrow(_sum_shards(gap, least), "shard int, words binary, totals binary, tokens long, known long"))
-
-
 def pack(ids: np.ndarray) -> np.ndarray:
     """Rows of ids -> trie codes."""
     code = np.zeros(len(ids), np.uint64)
@@ -183,199 +146,297 @@ def pack(ids: np.ndarray) -> np.ndarray:
     return code
 
 
-def _exact_counts(ids: dict[bytes, int], codes: list[np.ndarray]):
-    """(n, index, count) of the candidate n-grams (sorted codes), and of the
-    trie's words (n = 1), in the training texts."""
+def _answers(shards: int):
+    """Rows sorted by shard: the chunks' words -> the answers to the chunks, and
+    a row of sums (chunk -1) for each shard.
+
+    The k-th word of shard s by its count has the id 1 + k * shards + s:
+    frequent words get small ids, which compress well.  Id 0 is the edge.
+    """
+    def solve(shard: int, rows: list[tuple]) -> pa.RecordBatch:
+        total: dict[bytes, int] = {}
+        for _, _, data, counts in rows:
+            for w, c in zip(unsqueeze(data).split(b" "), unplanes(counts, "<u4").tolist(), strict=True):
+                total[w] = total.get(w, 0) + c
+        where = {w: k for k, w in enumerate(sorted(total, key=total.get, reverse=True))}
+        count = np.array([total[w] for w in where], "<i8")
+        out = [(-1, None, None, None, int(count.sum()), int((count > 0).sum()), len(count))]
+        for chunk, at, data, _ in rows:
+            own = np.array([where[w] for w in unsqueeze(data).split(b" ")], np.int64)
+            out.append((chunk, at, planes(count[own]), planes((own * shards + 1 + shard).astype("<u4")), None, None, None))
+        kinds = [pa.int64()] + [pa.binary()] * 3 + [pa.int64()] * 3
+        return pa.record_batch([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)],
+                               names=["chunk", "at", "count", "word_id", "tokens", "known", "size"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = [np.zeros(len(ids), np.int64), *(np.zeros(len(c), np.int64) for c in codes)]
+        now, rows = None, []
         for batch in batches:
-            texts = list(text_bytes(batch.column("text")))
-            get = ids.get
-            for lo in range(0, len(texts), 500):
-                # Ids shifted by one: 0 is "not in the trie", 1 the edge.
-                own = [np.array([1, *[get(w, -1) + 1 for w in lower_ascii(b).split()], 1], np.int64) for b in texts[lo:lo + 500]]
-                if not own:
-                    continue
-                seq = np.concatenate(own) - 1
-                place = np.concatenate([np.arange(len(o)) for o in own])
-                total[0] += np.bincount(seq[(seq >= 0) & (place > 0)], minlength=len(ids))
-                for n, c in enumerate(codes, 2):
-                    if not len(c):
-                        continue
-                    at = np.flatnonzero(place >= n - 1)
-                    gram = np.stack([seq[at - n + 1 + k] for k in range(n)], axis=1)
-                    code = pack(gram[(gram >= 0).all(axis=1)])
-                    hit = np.minimum(np.searchsorted(c, code), len(c) - 1)
-                    total[n - 1] += np.bincount(hit[c[hit] == code], minlength=len(c))
-        for n, t in enumerate(total, 1):
-            at = np.flatnonzero(t)
-            yield pa.record_batch([pa.array(np.full(len(at), n, np.int32)), pa.array(at.astype(np.int64)), pa.array(t[at])],
-                                  names=["n", "i", "count"])
+            cols = [batch.column(c).to_pylist() for c in ("shard", "chunk", "at", "data", "counts")]
+            for shard, *row in zip(*cols, strict=True):
+                if shard != now:
+                    if rows:
+                        yield solve(now, rows)
+                    now, rows = shard, []
+                rows.append(tuple(row))
+        if rows:
+            yield solve(now, rows)
     return run
 
 
-def fit_trie(grams: list[bytes], training: DataFrame, tokens: int, distinct: int, order: int, min_share: float) -> tuple[dict[bytes, int], Trie]:
-    """(ids of the trie's words, trie) from the candidate n-grams."""
-    spark = training.sparkSession
-    cut = [g.split(b" ") for g in grams]
-    ids = {EDGE: 0}
-    for w in sorted({w for g in cut for w in g} - {EDGE}):
-        ids[w] = len(ids)
-    codes = []
-    for n in range(2, order + 1):
-        own = [[ids[w] for w in g] for g in cut if len(g) == n]
-        codes.append(np.unique(pack(np.array(own, np.int64).reshape(len(own), n))))
-    shared = spark.sparkContext.broadcast((ids, codes))
-
-    def run(batches):
-        yield from _exact_counts(*shared.value)(batches)
-
-    found = (training.select("text").mapInArrow(run, "n int, i long, count long")
-             .groupBy("n", "i").agg(F.sum("count").alias("count")).toArrow())
-    n_col, i_col, c_col = (found.column(c).to_numpy() for c in ("n", "i", "count"))
-    counts = []
-    for n, size in enumerate([len(ids), *map(len, codes)], 1):
-        c = np.zeros(size, np.int64)
-        c[i_col[n_col == n]] = c_col[n_col == n]
-        counts.append(c)
-    with np.errstate(divide="ignore"):
-        p = np.maximum(counts[0] - DISCOUNT, DISCOUNT * 1e-3) / max(1, tokens)
-    levels, weights = [], []
-    above, above_p, above_count = None, p, counts[0]
-    for n, code in enumerate(codes, 2):
-        count = counts[n - 1]
-        stay = count >= max(1.0, min_share * tokens)
-        head = code >> np.uint64(Trie.BITS)
-        if above is not None:
-            at = np.searchsorted(above, head)
-            stay &= (at < len(above)) & (above[np.minimum(at, max(0, len(above) - 1))] == head) if len(above) else False
-        code, count, head = code[stay], count[stay], head[stay]
-        context = head.astype(np.int64) if above is None else np.searchsorted(above, head)
-        own = (count - DISCOUNT) / above_count[context]
-        left = 1 - np.bincount(context, own, len(above_count))
-        # The lower order's probability of the same word after the shorter context.
-        tail = code & np.uint64((1 << (Trie.BITS * (n - 1))) - 1)
-        if above is None:
-            lower = p[tail.astype(np.int64)]
-        else:
-            at = np.searchsorted(above, tail)
-            lower = above_p[at]
-        prob = own + left[context] * lower
-        levels.append((code, np.log10(prob)))
-        weights.append(np.log10(np.clip(left, 1e-9, 1.0)))
-        above, above_p, above_count = code, prob, count
-    return ids, Trie.build(len(ids), levels, weights)
+class Grams:
+    """The distinct n-grams of a chunk, in the order of context and word, then
+    grouped by shard (stable)."""
 
+    def __init__(self, n: int, context: np.ndarray, word: np.ndarray, count: np.ndarray, at: np.ndarray, which: np.ndarray, shards: int):
+        self.context, self.word, self.count, self.at, self.which = context, word, count, at, which
+        shard = (mix64(context, n) % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.uint32)
+        self.order = np.argsort(shard, kind="stable").astype(np.uint32)
+        self.edge = np.searchsorted(shard[self.order], np.arange(shards + 1))
 
-def _answers(shared):
-    """Rows sorted by shard: first its vocabulary (chunk -1), then the chunks' words."""
+    def of_shard(self, s: int) -> np.ndarray:
+        return self.order[self.edge[s]:self.edge[s + 1]]
+
+
+def chunk_grams(seq: np.ndarray, place: np.ndarray, train: np.ndarray, order: int, shards: int) -> Iterator[tuple[int, Grams]]:
+    """For n = 2..order: the n-grams of all texts with their counts in the training texts."""
+    seq = seq.astype(np.uint32)
+    ids, above = seq, None  # the (n-1)-gram that ends at each place
+    for n in range(2, order + 1):
+        at = np.flatnonzero(place >= n - 1).astype(np.uint32)
+        own, which = np.unique((ids[at - 1].astype(np.uint64) << np.uint64(WORD_BITS)) | seq[at], return_inverse=True)
+        which = which.astype(np.uint32)
+        count = np.bincount(which[train[at]], minlength=len(own)).astype(np.uint32)
+        head = own >> np.uint64(WORD_BITS)
+        yield n, Grams(n, head if above is None else above[head], own.astype(np.uint32), count, at, which, shards)
+        ids = np.zeros(len(seq), np.uint32)
+        ids[at] = which
+        above = own
+
+
+class Chunk:
+    """The rows of one chunk: answers about its words, its texts, answers about its n-grams."""
+
+    def __init__(self):
+        self.count, self.word_id = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.texts: list[tuple] = []
+        self.grams: dict[tuple[int, int], tuple[bytes, bytes]] = {}
+
+    def add(self, row: dict) -> None:
+        if row["kind"] == 0:
+            at = np.cumsum(unplanes(row["at"], "<u4"), dtype=np.int64)
+            if at.max(initial=-1) >= len(self.count):
+                grow = max(int(at.max()) + 1, 2 * len(self.count)) - len(self.count)
+                self.count, self.word_id = np.append(self.count, np.zeros(grow, np.int64)), np.append(self.word_id, np.zeros(grow, np.int64))
+            self.count[at] = unplanes(row["count"], "<i8")
+            self.word_id[at] = unplanes(row["word_id"], "<u4")
+        elif row["kind"] == 1:
+            self.texts.append((row["ids"], row["held"], np.array(row["sizes"], np.int64), unplanes(row["data"], "<u4")))
+        else:
+            self.grams[row["n"], row["shard"]] = row["own"], row["weight"]
+
+    def split(self, values: np.ndarray) -> list[np.ndarray]:
+        """``values`` of the words, text by text."""
+        return [x for _, _, sizes, index in self.texts for x in np.split(values[index], np.cumsum(sizes)[:-1])]
+
+    def sequence(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word ids, their places, and whether they are of a training text."""
+        seq, place = sequence(self.split(self.word_id))
+        held = np.array([h for t in self.texts for h in t[1]], bool)
+        return seq, place, np.repeat(~held, np.concatenate([t[2] for t in self.texts]) + 2)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
+    """Rows sorted by chunk -> chunks."""
+    now, chunk = None, Chunk()
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+            if row["chunk"] != now:
+                if chunk.texts:
+                    yield now, chunk
+                now, chunk = row["chunk"], Chunk()
+            chunk.add(row)
+    if chunk.texts:
+        yield now, chunk
+
+
+def _gram_rows(order: int, shards: int):
+    """Rows sorted by chunk -> its n-grams, one row a shard and n."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = shared.value[0]
-        where, count, trie_id = {}, None, None
-        for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                words = batch.column("data")[i].as_py().split(b" ")
-                if batch.column("chunk")[i].as_py() < 0:
-                    count = np.frombuffer(batch.column("at")[i].as_py(), "<i8")
-                    trie_id = np.array([ids.get(w, -1) for w in words], np.int64)
-                    where = {w: k for k, w in enumerate(words)}
-                    continue
-                own = np.array([where[w] for w in words], np.int64)
-                out.append((batch.column("chunk")[i].as_py(), batch.column("at")[i].as_py(), count[own].astype("<i8").tobytes(),
-                            trie_id[own].astype("<i4").tobytes()))
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.record_batch([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["chunk", "at", "count", "trie_id"])
+        for now, chunk in _chunks(batches):
+            for n, g in chunk_grams(*chunk.sequence(), order, shards):
+                rows = []
+                for s in range(shards):
+                    own = g.of_shard(s)
+                    if len(own):
+                        step = np.diff(g.context[own], prepend=np.uint64(0))
+                        rows.append((now, s, n, planes(step), planes(g.word[own]), planes(g.count[own])))
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
+                                      names=["chunk", "shard", "n", "contexts", "words", "counts"])
+                del g, rows
     return run
 
 
-def score_texts(own: list[np.ndarray], counts: list[np.ndarray], trie: Trie, tokens: int, distinct: int, ends: int) -> np.ndarray:
-    """log10 P of each text from its words' trie ids and training counts."""
+class Shard:
+    """A shard's n-grams: its contexts as an Elias-Fano sequence, and a trie over their numbers."""
+
+    def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray):
+        seen = count > 0  # the others are in held-out texts only
+        contexts, number = np.unique(context[seen], return_inverse=True)
+        code = (number.astype(np.uint64) << np.uint64(WORD_BITS)) | word[seen]
+        order = np.argsort(code)
+        code, count = code[order], count[seen][order]
+        first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else order
+        code, count = code[first], np.add.reduceat(count, first, dtype=np.int64) if len(code) else count
+        number = (code >> np.uint64(WORD_BITS)).astype(np.int64)
+        total, different = np.bincount(number, count, len(contexts)), np.bincount(number, minlength=len(contexts))
+        self.contexts = EliasFano.encode(contexts)
+        self.trie = Trie.build(len(contexts), [(code, np.log10((count - DISCOUNT) / total[number]))],
+                               [np.log10(DISCOUNT * different / total)], WORD_BITS)
+        self.known = self.contexts.decode().astype(np.uint64)
+        level = self.trie.levels[0]
+        self.own, self.weight = to_grid(level["p_centre"])[level["p"]], to_grid(level["w_centre"])[level["w"]]
+
+    def answer(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the n-grams' discounted shares and of their contexts' weights."""
+        own, weight = np.full(len(word), NONE, "<u2"), np.zeros(len(word), "<u2")
+        if not len(self.known):
+            return own, weight
+        at = np.minimum(np.searchsorted(self.known, context), len(self.known) - 1)
+        at = np.where(self.known[at] == context, at, -1)
+        node = self.trie.successor(0, at, word.astype(np.int64))
+        own[node >= 0], weight[at >= 0] = self.own[node[node >= 0]], self.weight[at[at >= 0]]
+        return own, weight
+
+
+def few(codes: np.ndarray) -> bytes:
+    """Codes as one byte each and a table of the values, if that holds them."""
+    table, which = np.unique(codes, return_inverse=True)
+    if len(table) > 256:
+        return b"\0\0" + planes(codes)
+    return len(table).to_bytes(2, "little") + table.astype("<u2").tobytes() + planes(which.astype(np.uint8))
+
+
+def unfew(raw: bytes) -> np.ndarray:
+    size = int.from_bytes(raw[:2], "little")
+    if not size:
+        return unplanes(raw[2:], "<u2")
+    return np.frombuffer(raw, "<u2", size, 2)[unplanes(raw[2 + 2 * size:], "u1")]
+
+
+def to_grid(log_p: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(-GRID * log_p), 0, NONE - 1).astype("<u2")
+
+
+_SHARES = np.append(10.0 ** (np.arange(NONE) / -GRID), 0.0)
+
+
+def _solve_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by shard and n -> the answers to their chunks."""
+    now, rows = None, []
+
+    def emit() -> pa.RecordBatch:
+        cut = [(c, np.cumsum(unplanes(x, "<u8"), dtype=np.uint64), unplanes(w, "<u4"), unplanes(k, "<u4")) for c, x, w, k in rows]
+        context, word, count = (np.concatenate([r[k] for r in cut]) for k in (1, 2, 3))
+        edge = np.cumsum([len(r[1]) for r in cut])[:-1]
+        shard = Shard(context, word, count)
+        del count
+        own, weight = (np.split(x, edge) for x in shard.answer(context, word))
+        out = [(r[0], few(a), few(b)) for r, a, b in zip(cut, own, weight, strict=True)]
+        return pa.record_batch([pa.array([r[0] for r in out], pa.int64()), pa.array([now[0]] * len(out), pa.int32()), pa.array([now[1]] * len(out), pa.int32()),
+                                pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.binary())],
+                               names=["chunk", "shard", "n", "own", "weight"])
+
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("shard", "n", "chunk", "contexts", "words", "counts")]
+        for shard, n, *row in zip(*cols, strict=True):
+            if (shard, n) != now:
+                if rows:
+                    yield emit()
+                now, rows = (shard, n), []
+            rows.append(row)
+    if rows:
+        yield emit()
+
+
+def chunk_scores(chunk: Chunk, order: int, shards: int, tokens: int, distinct: int, ends: int) -> np.ndarray:
+    """log10 P of each text of the chunk."""
+    texts = chunk.split(chunk.count)
     if not tokens:
-        return np.zeros(len(own))
-    # As sequence(), but ids may be -1 here and the edge is 0 anyway.
-    zero = np.zeros(1, np.int64)
-    seq = np.concatenate([x for t in own for x in (zero, t, zero)])
-    place = np.concatenate([np.arange(len(t) + 2) for t in own])
+        return np.zeros(len(texts))
+    seq, place, train = chunk.sequence()
     edge = np.array([ends], np.int64)
-    c = np.concatenate([x for t in counts for x in (edge, t, edge)])
-    unigram = np.log10(np.where(c > 0, c - DISCOUNT, DISCOUNT * distinct) / tokens)
-    p = trie.log10_p(seq, unigram, place)
-    p[place == 0] = 0
-    start = np.cumsum([0, *(len(t) + 2 for t in own)])[:-1]
-    return np.add.reduceat(p, start)
-
-
-def _sum_up(shared, tokens: int, distinct: int, ends: int):
-    """Rows sorted by chunk, answers first, then texts."""
+    c = np.concatenate([x for t in texts for x in (edge, t, edge)])
+    p = np.where(c > 0, c - DISCOUNT, DISCOUNT * distinct) / tokens
+    for n, g in chunk_grams(seq, place, train, order, shards):
+        own, weight = np.zeros(len(g.word), np.float32), np.ones(len(g.word), np.float32)
+        for s in range(shards):
+            k = g.of_shard(s)
+            if len(k):
+                own[k], weight[k] = (_SHARES[unfew(x)] for x in chunk.grams.pop((n, s)))
+        p[g.at] = own[g.which] + weight[g.which] * p[g.at]
+        del g, own, weight
+    p[place == 0] = 1
+    start = np.cumsum([0, *(len(t) + 2 for t in texts)])[:-1]
+    return np.add.reduceat(np.log10(p), start)
+
+
+def _sum_up(order: int, shards: int, tokens: int, distinct: int, ends: int):
+    """Rows sorted by chunk -> scores."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie.from_buffer(shared.value[1])
-        now, count, trie_id = None, None, None
         base_all = math.log10(tokens + 0.5 * (distinct + 1))
-        for batch in batches:
-            rows = []
-            for i in range(batch.num_rows):
-                chunk = batch.column("chunk")[i].as_py()
-                if chunk != now:
-                    now, count, trie_id = chunk, np.zeros(0, np.int64), np.zeros(0, np.int64)
-                if batch.column("ids")[i].as_py() is None:
-                    at = np.frombuffer(batch.column("at")[i].as_py(), "<u4").astype(np.int64)
-                    if at.max(initial=-1) >= len(count):
-                        grow = max(int(at.max()) + 1, 2 * len(count)) - len(count)
-                        count, trie_id = np.append(count, np.zeros(grow, np.int64)), np.append(trie_id, np.zeros(grow, np.int64))
-                    count[at] = np.frombuffer(batch.column("count")[i].as_py(), "<i8")
-                    trie_id[at] = np.frombuffer(batch.column("trie_id")[i].as_py(), "<i4")
-                    continue
-                sizes = np.array(batch.column("sizes")[i].as_py(), np.int64)
-                index = np.frombuffer(batch.column("data")[i].as_py(), "<u4").astype(np.int64)
-                edge = np.cumsum(sizes)[:-1]
-                counts = np.split(count[index], edge)
-                known = np.array([int((c > 0).sum()) for c in counts], np.int64) + (ends > 0)
-                base = np.array([float(np.log10(c + 0.5).sum()) for c in counts]) + math.log10(ends + 0.5) - (sizes + 1) * base_all
-                score = score_texts(np.split(trie_id[index], edge), counts, trie, tokens, distinct, ends)
-                rows.append((batch.column("ids")[i].as_py(), batch.column("held")[i].as_py(), sizes + 1, known, base, score))
-            if not rows:
-                continue
-            ids = [x for r in rows for x in r[0]]
+        id_type = None
+
+        def watched() -> Iterator[pa.RecordBatch]:
+            nonlocal id_type
+            for batch in batches:
+                id_type = batch.schema.field("ids").type.value_type
+                yield batch
+
+        for _, chunk in _chunks(watched()):
+            counts = chunk.split(chunk.count)
+            sizes = np.array([len(c) for c in counts], np.int64)
+            known = np.array([int((c > 0).sum()) for c in counts], np.int64) + (ends > 0)
+            base = np.array([float(np.log10(c + 0.5).sum()) for c in counts]) + math.log10(ends + 0.5) - (sizes + 1) * base_all
             yield pa.record_batch(
-                [pa.array(ids, batch.schema.field("ids").type.value_type), pa.array([x for r in rows for x in r[1]], pa.bool_()),
-                 *(pa.array(np.concatenate([r[k] for r in rows])) for k in (2, 3)), pa.array(np.full(len(ids), tokens, np.int64)),
-                 *(pa.array(np.concatenate([r[k] for r in rows])) for k in (4, 5))],
+                [pa.array([x for t in chunk.texts for x in t[0]], id_type), pa.array([x for t in chunk.texts for x in t[1]], pa.bool_()),
+                 pa.array(sizes + 1), pa.array(known), pa.array(np.full(len(sizes), tokens, np.int64)), pa.array(base),
+                 pa.array(chunk_scores(chunk, order, shards, tokens, distinct, ends))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
-def lm_scores(docs: DataFrame, held_out: Column | None = None, order: int = ORDER, min_share: float = MIN_SHARE) -> DataFrame:
+def lm_scores(docs: DataFrame, held_out: Column | None = None, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    if order > ORDER:
+        raise ValueError(f"contexts of {order - 1} words do not fit a code")
     spark = docs.sparkSession
     held = crc_mod("doc_id", 5) == 1 if held_out is None else held_out
     shards = default_partitions(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", held.alias("held_out"))
-    report = materialise(rows.mapInArrow(_report(shards, order, min_share), f"chunk long, shard int, ids array<{id_type}>, "
+    report = materialise(rows.mapInArrow(_report(shards), f"chunk long, shard int, ids array<{id_type}>, "
                                          "held array<boolean>, sizes array<long>, data binary, counts binary, at binary"), "lm-report")
-    words = report.where((F.col("shard") >= 0) & (F.col("shard") < shards)).select("chunk", "shard", "data", "counts", "at")
-    texts = report.where("shard < 0").select("chunk", "ids", "held", "sizes", "data")
-    vocabulary = materialise(_shard_sums(words, b" ", 0), "lm-vocabulary")
-    sums = vocabulary.agg(F.sum("tokens"), F.sum("known")).first()
-    ends = texts.select(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
+    words = report.where("shard >= 0").select("chunk", "shard", "data", "counts", "at")
+    texts = report.where("shard < 0").select("chunk", F.lit(1).alias("kind"), "ids", "held", "sizes", "data")
+    answers = (words.repartition("shard").sortWithinPartitions("shard")
+               .mapInArrow(_answers(shards), "chunk long, at binary, count binary, word_id binary, tokens long, known long, size long"))
+    answers = materialise(answers.withColumn("kind", F.lit(0)), "lm-answers")
+    sums = answers.where("chunk < 0").agg(F.sum("tokens"), F.sum("known"), F.max("size")).first()
+    ends, scored = texts.select(F.sum(F.size(F.filter("held", lambda h: ~h))), F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)") + F.size("sizes"))).first()
+    ends = ends or 0
     tokens, distinct = (sums[0] or 0) + ends, (sums[1] or 0) + (ends > 0)
-    # At most order * 2 / min_share candidates pass the shards' sums.
-    passed = _shard_sums(report.where(F.col("shard") >= shards), b"\t", min_share / 2 * tokens).select("words").collect()
-    grams = [g for r in passed for g in bytes(r.words).split(b"\t") if g]
-    ids, trie = fit_trie(grams, rows.where(~F.col("held_out")), tokens, distinct, order, min_share)
-    shared = spark.sparkContext.broadcast((ids, trie.to_bytes()))
-    # A shard's vocabulary comes once, before the chunks' rows.
-    asked = (vocabulary.select("shard", F.lit(-1).cast("long").alias("chunk"), F.col("words").alias("data"), F.col("totals").alias("at"))
-             .unionByName(words.select("shard", "chunk", "data", "at")))
-    answers = (asked.repartition("shard").sortWithinPartitions("shard", "chunk")
-               .mapInArrow(_answers(shared), "chunk long, at binary, count binary, trie_id binary"))
-    answers = materialise(answers, "lm-answers")
-    empty = {"ids": f"array<{id_type}>", "held": "array<boolean>", "sizes": "array<long>", "data": "binary"}
-    both = (answers.select("chunk", F.lit(0).alias("kind"), "at", "count", "trie_id",
-                           *[F.lit(None).cast(t).alias(c) for c, t in empty.items()])
-            .unionByName(texts.select("chunk", F.lit(1).alias("kind"), *[F.lit(None).cast("binary").alias(c) for c in ("at", "count", "trie_id")],
-                                      *empty)))
-    return (both.repartition("chunk").sortWithinPartitions("chunk", "kind")
-            .mapInArrow(_sum_up(shared, tokens, distinct, ends), f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, "
-                                                                 "train_tokens long, base_score double, score double"))
+    size = 1 + shards * (sums[2] or 0)
+    if size > 1 << (WORD_BITS - 1):
+        raise ValueError(f"{size} words do not fit {WORD_BITS - 1} bits")
+    both = answers.where("chunk >= 0").drop("tokens", "known", "size").unionByName(texts, allowMissingColumns=True)
+    gram_shards = max(shards, -(-(scored or 0) // SHARD_TOKENS))
+    grams = (both.repartition("chunk").sortWithinPartitions("chunk", "kind")
+             .mapInArrow(_gram_rows(order, gram_shards), "chunk long, shard int, n int, contexts binary, words binary, counts binary"))
+    grams = grams.repartition("shard") if gram_shards == shards else grams.repartition(gram_shards, "shard")
+    gram_answers = (grams.sortWithinPartitions("shard", "n")
+                    .mapInArrow(_solve_grams, "chunk long, shard int, n int, own binary, weight binary").withColumn("kind", F.lit(2)))
+    return (both.unionByName(gram_answers, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
+            .mapInArrow(_sum_up(order, gram_shards, tokens, distinct, ends), f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, "
+                                                                          "train_tokens long, base_score double, score double"))
