@@ -1,3 +1,5 @@
+import pytest
+
 from tidemark.llm.html_text import extract_main_text, low_branches, main_text, parse_blocks
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
@@ -43,3 +45,15 @@ def test_few_pages_and_empty_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>"), (1, "u", "<p>a</p>")], "page_id long, url string, html string")
     assert [r.text for r in extract_main_text(df).collect()] == ["a", "a"]
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["svg", "select", "template", "noscript", "iframe"])
+def test_raw_element_without_end_keeps_the_rest(tag):
+    assert main_text(f"<article><p>One.</p><{tag}>junk<p>Two.</p></article><p>Out.</p>") == "One. Two."
+    assert main_text(f"<div><p>One <a><{tag}>junk</a> more.</p></div><div>Two.</div>") == "One more. Two."
+    assert main_text(f"<p>One.</p><{tag}>junk</{tag}><p>Two.</p>") == "One. Two."
+
+
+def test_self_closed_svg_and_endless_script():
+    assert main_text("<p>One.</p><svg width='1'/><p>Two.</p><svg><text>x</text></svg><p>Three.</p>") == "One. Two. Three."
+    assert main_text("<p>One.</p><script>var x; <p>Two.</p>") == "One."

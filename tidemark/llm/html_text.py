@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise
 
 RAW = frozenset(["script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "select"])
+#: Raw elements that, without an end tag, last to their parent's end or the next block.
+OPEN_RAW = frozenset(["noscript", "template", "svg", "iframe", "select"])
 VOID = frozenset(["br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"])
 INLINE = frozenset(["a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "dfn", "em", "font", "i", "ins", "kbd", "label",
                     "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
@@ -128,6 +130,7 @@ def parse_blocks(page: str) -> list[Block]:
             open_block = None
         del stack[k:]
 
+    endless: set[str] = set()  # raw tags without a further end tag
     while at < n:
         m = TAG.search(page, at)
         if m is None:
@@ -143,23 +146,33 @@ def parse_blocks(page: str) -> list[Block]:
                 if stack[k].tag == tag:
                     close_to(k)
                     break
-                if tag in INLINE and not stack[k].inline:
+                if tag in INLINE and not stack[k].inline and stack[k].tag not in OPEN_RAW:
                     break
             else:
                 if tag == "p":
                     open_block = None
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
             if tag not in INLINE:
                 open_block = None
+            if tag == "svg" and m.group(3).rstrip().endswith("/"):
+                continue
+            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif tag in OPEN_RAW:
+                endless.add(tag)
+                stack.append(Element(tag, f"{top().path}/{tag}", True, top().article))
+            else:
+                at = n
             continue
         if tag in VOID:
             if tag in ("br", "hr"):
                 open_block = None
             continue
         if tag in P_ENDERS:
+            if endless and (first := next((k for k in range(1, len(stack)) if stack[k].tag in OPEN_RAW), 0)):
+                close_to(first)
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
                     close_to(k)
