@@ -62,3 +62,17 @@ def test_exact_against_all_runs(spark, make_docs):
     assert find_leaks(make_docs(docs, "leaks"), bench_df).count() == len(docs)
     assert contaminated(make_docs([]), bench_df).count() == 0
     assert contaminated(make_docs(docs), bench_df.limit(0)).count() == 0
+
+
+def test_recall_of_long_items_at_the_allowed_edits():
+    rng = random.Random(7)
+    for width, n in ((120, 60), (300, 25)):
+        items, docs = [], []
+        for k in range(n):
+            words = [f"q{k}x{i}" for i in range(width)]
+            gone = set(rng.sample(range(width), width // 5))
+            pad = [f"pad{rng.randrange(10**9)}" for _ in range(60)]
+            items.append((k, " ".join(words)))
+            docs.append(" ".join([*pad[:30], *(w for i, w in enumerate(words) if i not in gone), *pad[30:]]))
+        found = Items(items, LeakConfig()).search(docs)
+        assert sum(any(x["item_id"] == k for x in found[k]) for k in range(n)) >= 0.98 * n

@@ -14,8 +14,9 @@ lower-cased and without marks at their edges.
    distance becomes Hamming distance of the words read.
 3. LSH.  Each of ``tables`` walks samples ``bits`` of its steps.  Windows that
    agree with an item of their length in all samples of a walk are candidates.
-   ``tables`` follows from the target recall at a Hamming share of
-   ``hamming``.
+   The number of tables follows from the target recall at a Hamming share of
+   ``hamming``, which holds up to ``long_item`` words; as the share grows with
+   the length, longer items get as many times more tables.
 4. Candidates are verified exactly: the item against all runs of the window,
    widened by t words on both sides, by a bit-parallel edit distance.
 
@@ -55,11 +56,16 @@ class LeakConfig:
     bits: int = 3
     recall: float = 0.98
     hamming: float = 0.45
+    long_item: int = 60
 
     @property
     def tables(self) -> int:
         return math.ceil(math.log(1 - self.recall) / math.log(1 - (1 - self.hamming) ** self.bits))
 
+    def tables_of(self, width: int) -> int:
+        """Tables of the items of ``width`` words."""
+        return self.tables * max(1, math.ceil(width / self.long_item))
+
 
 def plain_words(text: str) -> list[str]:
     """Lower-cased words without marks at the edges; a word of marks alone is dropped."""
@@ -145,12 +151,12 @@ class Items:
             codes = sorted(table)
             self.grams.append((n, np.array(codes, np.uint64), [sorted(set(table[c])) for c in codes]))
         self.keys: dict[int, list[dict[int, list[int]]]] = {}
-        self.bits_of = [walk_bits(len(self.vocabulary) + 1, t) for t in range(cfg.tables)]
+        self.bits_of = [walk_bits(len(self.vocabulary) + 1, t) for t in range(max(map(cfg.tables_of, self.by_length), default=0))]
         for width, own in self.by_length.items():
             flat = np.concatenate([np.array(self.items[k][1], np.int64) for k in own])
             start = np.arange(len(own)) * width
             self.keys[width] = []
-            for t in range(cfg.tables):
+            for t in range(cfg.tables_of(width)):
                 table: dict[int, list[int]] = {}
                 for k, key in zip(own, embed_keys(flat, start, width, self.bits_of[t], t, cfg.bits).tolist(), strict=True):
                     table.setdefault(key, []).append(k)
