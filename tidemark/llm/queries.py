@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, line_dedup, lm_scoring, mixing, near_dup, quality, suffix_dedup, token_counts, toxicity
+from tidemark.llm import chat_format, decontaminate, divergence, hard_negatives, html_text, line_dedup, lm_scoring, mixing, near_dup, quality
+from tidemark.llm import oracles, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(kept, 256).alias("kept_sha256"))
 
 
+#: A conversation of control strings, whose turns must come back as they are.
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its prefix-target examples."""
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+                                    "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.prefix_targets(chats.unionByName(control)))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergences of every source of a language, and the terms it overuses."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector's positives."""
+    vectors = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END").alias("label"),
+        F.col("embedding").alias("vec"))
+    return hard_negatives.hard_negatives(vectors, F.expr("id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -85,6 +111,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "op9_lm_scores": op9_lm_scores,
     "op8_minhash_near_dup": op8_minhash_near_dup,
+    "op11_chat_format": op11_chat_format,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_chat_format": oracles.OP11,
+    "op12_source_divergence": oracles.OP12,
+    "op13_hard_negatives": oracles.OP13,
+}
