@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType
 
 from tidemark.functions.columns import col, to_timestamp_safe
 from tidemark.sinks.catalog import sync_partitions
+from tidemark.sinks.key_index import KeyIndex
 from tidemark.operators.upsert import (
     DEFAULT_BROADCAST_LIMIT,
     assert_unique_keys,
@@ -155,6 +156,8 @@ class UpsertResult:
     inserted: int | None = None                   # source rows with a new key (count_changes)
     max_modified: str | None = None               # max of ``observe_max_of`` over the rewritten rows
     compacted: list = field(default_factory=list)  # partitions compacted after the write
+    probed: list | None = None                    # partitions whose key column was read (with a key index)
+    probe_rows: int | None = None                 # rows in them
 
 
 def _values(df: DataFrame, name: str) -> list:
@@ -176,6 +179,15 @@ def _observed_max(df: DataFrame, name: str | None) -> tuple[DataFrame, Observati
     return df.observe(obs, F.date_format(F.max(c), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")), obs
 
 
+def _may_hold(target: DataFrame, source: DataFrame, index: KeyIndex, path: str,
+              partition_col: str) -> tuple[list, int, DataFrame]:
+    """Partitions that may hold a source key, their rows, and the target in them."""
+    names = {partition_dir_name(partition_col, v): v for v in _values(target, partition_col)}
+    probed = [names[r[0]] for r in index.candidates(source).collect() if r[0] in names]
+    scope = target.where(partition_filter(partition_col, probed))
+    return probed, scope.count(), scope
+
+
 def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: str, *,
                  key_only: bool = False, source_rows: int | None = None,
                  source_partitions: list | None = None, count_changes: bool = False,
@@ -183,7 +195,8 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
                  keys_checked: bool = False, layout: str = "auto",
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                  max_records_per_file: int | None = None,
-                 table: str | None = None, compact_over: int | None = 8) -> UpsertResult:
+                 table: str | None = None, compact_over: int | None = 8,
+                 index_path: str | None = None) -> UpsertResult:
     """MERGE ``source`` into the partitioned table at ``path``.
 
     ``key_only=False``: match on ``keys`` + the partition column (composite
@@ -209,8 +222,13 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
     rows are clustered), ``rebalance`` (the merged set is clustered) or
     ``auto``; it decides file layout only, never rows.  Partitions with more
     than ``compact_over`` small files are compacted after the write.
+
+    ``index_path`` keeps a :class:`KeyIndex` over ``keys`` beside the table.  A
+    ``key_only`` upsert then reads the key column only in the partitions that
+    may hold a source key; without an index there, the first upsert builds it.
     """
     spark = source.sparkSession
+    index = KeyIndex(index_path, path, list(keys), partition_col) if index_path is not None else None
     source = one_null(source, partition_col)
     merge_keys = list(keys) if key_only else list(dict.fromkeys([*keys, partition_col]))
     if not keys_checked:
@@ -241,16 +259,22 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
                           max_records_per_file=max_records_per_file)
         if table is not None:
             sync_partitions(spark, table, partition_col, added=source_partitions)
+        if index is not None:
+            index.refresh(read_table(spark, path, source.schema))
         return UpsertResult(touched=list(source_partitions), created=True,
                             updated=0 if count_changes else None,
                             inserted=source_rows if count_changes else None,
                             max_modified=obs.get["m"] if obs else None)
 
     touched, emptied = list(source_partitions), []
+    probed = probe_rows = None
     if key_only:
         # One probe of the key column: matches per partition.  A partition that
         # gets no source rows and whose rows all match is left empty.
-        probe = target.select(*[col(k) for k in dict.fromkeys([*keys, partition_col])])
+        probe = target
+        if index is not None and index.exists(spark) and index.same_types(source, target):
+            probed, probe_rows, probe = _may_hold(target, source, index, path, partition_col)
+        probe = probe.select(*[col(k) for k in dict.fromkeys([*keys, partition_col])])
         matched = {r[0]: r[1] for r in matched_target_rows(
             probe, source, keys, source_rows=source_rows, broadcast_limit=broadcast_limit)
             .groupBy(col(partition_col)).agg(F.count(F.lit(1))).collect()}
@@ -287,8 +311,11 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
     if table is not None:
         sync_partitions(spark, table, partition_col,
                         added=[v for v in touched if v not in emptied], dropped=emptied)
+    if index is not None:
+        stored = read_table(spark, path, target.schema)
+        index.refresh(stored, [partition_dir_name(partition_col, v) for v in touched] if index.exists(spark) else None)
     res = UpsertResult(touched=touched, emptied=emptied, max_modified=obs.get["m"] if obs else None,
-                       compacted=compacted)
+                       compacted=compacted, probed=probed, probe_rows=probe_rows)
     if count_changes:
         after = read_table(spark, path, target.schema).where(partition_filter(partition_col, touched)).count()
         kept = after - source_rows
