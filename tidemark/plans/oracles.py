@@ -182,3 +182,16 @@ ORACLES: dict[str, str] = {
     "full_sync": FULL_SYNC,
     "stream_sync": FULL_SYNC,
 }
+
+# The same results by other mechanisms.
+ORACLES.update({
+    "connector_scan": ORACLES["extract_with_deleted"],
+    "upsert_key_index": ORACLES["upsert_single_key"],
+    "upsert_bucketed": ORACLES["upsert_composite"],
+    "publish_switch": ORACLES["upsert_composite"],
+    "merge_generated": ORACLES["upsert_composite"],
+    "qa_digest": ORACLES["qa_compare"],
+    "compact_bins": ORACLES["compact_table"],
+    "sliced_sink": f"select *, (row_no - 1) // 1000 as slice from {ROW_NUMBER}",
+    "stream_lookback": "select * from events",
+})

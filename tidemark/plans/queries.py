@@ -16,6 +16,7 @@ checkpoint location and return the table read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -34,12 +35,20 @@ from tidemark.operators.clean import (
     rename_for_sink,
     retype_timestamps,
 )
-from tidemark.operators.number import batch_summary, row_number_ranged, slice_rows
+from tidemark.operators.digest import qa_diff_tree
+from tidemark.operators.number import batch_summary, row_number_ranged, slice_ids, slice_rows
 from tidemark.operators.qa import qa_diff, qa_union
 from tidemark.operators.upsert import dedupe_latest, duplicate_keys, merge_counts, upsert_frames
 from tidemark.plans.sync import CONTROL_LOG_SCHEMA, LakePaths, read_log, sync
 from tidemark.session import scratch_path
+from tidemark.sinks.bucketed import create_bucketed, upsert_bucketed
+from tidemark.sinks.catalog import create_table
+from tidemark.sinks.compact import compact_bins
+from tidemark.sinks.generated import merge_overwrite_sql, run_generated
+from tidemark.sinks.slices import publish_slices, read_slices
+from tidemark.sinks.switch import publish_overwrite, publish_upsert
 from tidemark.sinks.table import compact_table, stage_overwrite, upsert_table, write_partitioned
+from tidemark.sources.connector import connector_scan, write_pages
 from tidemark.sources.extract import incremental_extract
 from tidemark.sources.tables import read_partitioned, read_table, scan_all
 from tidemark.sources.watermark import read_watermark, watermark_literal, watermark_lookup
@@ -390,6 +399,123 @@ def q_qa_id_list(spark, d):
     return qa_union(_t(spark, d, "orders"), _orders_altered(spark, d), ("left", "right"), key="o_orderkey", ids=ids)
 
 
+# ---------------------------------------------------------------- connector, index, publication
+
+def q_connector_scan(spark, d):
+    """The extract through the paged connector: its watermark filter reaches the reader."""
+    ev = _t(spark, d, "events")
+    wm = read_watermark(_events_log(ev, _events_cut(ev)), "events", lookback_seconds=LOOKBACK_SECONDS)
+    flag = F.when(F.col("event_type") == "error", "true").otherwise("false")
+    root = scratch_path(spark, "pages")
+    write_pages(ev.withColumn("is_deleted", flag), root, "events", "39.0", "event_id", page_rows=1000)
+    src = connector_scan(spark, root, "events", "39.0", columns=[*ev.columns, "is_deleted"], query_all=True)
+    return incremental_extract(src, "ts", wm)
+
+
+def q_upsert_key_index(spark, d):
+    """The single-key upsert in two runs: the first builds the key index, the second probes by it."""
+    target, source = _orders_change(spark, d, move_months=True)
+    path = scratch_path(spark, "upsert_indexed")
+    write_partitioned(target, path, "o_yearmonth", dynamic=False)
+    for half in (0, 1):
+        part = source.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == half)
+        upsert_table(part, path, ["o_orderkey"], "o_yearmonth", key_only=True, source_rows=part.count(), index_path=f"{path}_keys")
+    return read_table(spark, path, target.schema).select(*target.columns)
+
+
+def _fresh_name(kind: str) -> str:
+    return f"tidemark_{kind}_{uuid.uuid4().hex[:12]}"
+
+
+def q_upsert_bucketed(spark, d):
+    """The composite upsert into a bucketed main table: the target's rows are not moved."""
+    target, source = _orders_change(spark, d, move_months=False)
+    name = _fresh_name("bucketed")
+    create_bucketed(target, name, scratch_path(spark, name), ["o_orderkey"], "o_yearmonth", buckets=8)
+    upsert_bucketed(source, name, ["o_orderkey"], "o_yearmonth", buckets=8)
+    return spark.table(name).select(*target.columns)
+
+
+def q_publish_switch(spark, d):
+    """Stage overwrite and composite upsert published by catalog switches."""
+    target, source = _orders_change(spark, d, move_months=False)
+    name = _fresh_name("switched")
+    path = scratch_path(spark, name)
+    create_table(spark, name, target.schema, "o_yearmonth", path)
+    publish_overwrite(target, name, path, "o_yearmonth")
+    publish_upsert(source, name, path, ["o_orderkey"], "o_yearmonth", source_rows=source.count())
+    return spark.table(name).select(*target.columns)
+
+
+def q_merge_generated(spark, d):
+    """The composite upsert as a generated statement that Spark runs."""
+    target, source = _orders_change(spark, d, move_months=False)
+    name, view = _fresh_name("generated"), _fresh_name("source")
+    target.write.partitionBy("o_yearmonth").format("parquet").option("path", scratch_path(spark, name)).saveAsTable(name)
+    source.createOrReplaceTempView(view)
+    run_generated(spark, merge_overwrite_sql(name, view, target.columns, ["o_orderkey"], "o_yearmonth"))
+    spark.catalog.dropTempView(view)
+    return spark.table(name).select(*target.columns)
+
+
+def q_qa_digest(spark, d):
+    return qa_diff_tree(_t(spark, d, "orders"), _orders_altered(spark, d), ["o_orderkey"], leaf_rows=200, fanout=64)
+
+
+def q_compact_bins(spark, d):
+    """A table of many small files, packed into bins."""
+    orders = _orders_ym(spark, d)
+    path = scratch_path(spark, "bins")
+    write_partitioned(orders.repartition(4), path, "o_yearmonth", dynamic=False, rebalance=False)
+    compact_bins(spark, path, "o_yearmonth", orders.schema)
+    return read_table(spark, path, orders.schema).select(*orders.columns)
+
+
+def q_sliced_sink(spark, d):
+    """Orders numbered, sliced and published by the committing sink, read back from its manifest."""
+    rows = slice_ids(row_number_ranged(_t(spark, d, "orders"), ["o_orderkey"], "row_no", descending=True), SLICE_SIZE, "row_no", "slice")
+    path = scratch_path(spark, "slices")
+    publish_slices(rows, path, "orders", "slice")
+    return read_slices(spark, path, "orders", rows.schema)
+
+
+PULLS = 4
+
+
+def q_stream_lookback(spark, d):
+    """Pulls with the look-back as a stream: repeated rows pass once, late ones are kept.
+
+    Pull k holds its quarter of the events and again those of the look-back
+    before it; of the events in a pull's last look-back every fifth is not yet
+    visible and comes with the next pull only.
+    """
+    from tidemark.streaming.lookback import drop_redelivered
+
+    ev = _t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    root = scratch_path(spark, "lookback")
+    n = ev.count()
+    cuts = [n * k // PULLS for k in range(PULLS + 1)]
+    ends = [ev.where(F.col("event_id") < c).agg(F.max("ts").alias("m")).first().m for c in cuts]
+    back = F.make_dt_interval(secs=F.lit(LOOKBACK_SECONDS))
+    for k in range(PULLS):
+        mine = (F.col("event_id") >= cuts[k]) & (F.col("event_id") < cuts[k + 1])
+        again = F.lit(False)
+        if k:
+            again = (F.col("event_id") < cuts[k]) & (F.col("ts") > F.lit(ends[k]) - back)
+        late = F.lit(False)
+        if k < PULLS - 1:
+            late = mine & (F.col("ts") > F.lit(ends[k + 1]) - back) & (F.col("event_id") % 5 == 0) & (F.col("ts") < F.lit(ends[k + 1]))
+        # One file a pull, which is one micro-batch.
+        ev.where((mine | again) & ~late).coalesce(1).write.mode("append").parquet(f"{root}/pulls")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/pulls")
+    q = (drop_redelivered(stream, ["event_id", "ts"], "ts", LOOKBACK_SECONDS).writeStream.format("parquet")
+         .option("path", f"{root}/passed").option("checkpointLocation", f"{root}/_stream_checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return spark.read.schema(ev.schema).parquet(f"{root}/passed").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_all": q_scan_all,
     "watermark_lookup": q_watermark_lookup,
@@ -427,4 +553,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_sync": q_flagship_sync,
     "full_sync": q_full_sync,
     "stream_sync": q_stream_sync,
+    "connector_scan": q_connector_scan,
+    "upsert_key_index": q_upsert_key_index,
+    "upsert_bucketed": q_upsert_bucketed,
+    "publish_switch": q_publish_switch,
+    "merge_generated": q_merge_generated,
+    "qa_digest": q_qa_digest,
+    "compact_bins": q_compact_bins,
+    "sliced_sink": q_sliced_sink,
+    "stream_lookback": q_stream_lookback,
 }
