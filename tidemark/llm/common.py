@@ -6,14 +6,15 @@ A *word* is a maximal run of characters outside space and ``\\t``..``\\r``;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from tidemark.session import scratch_path
+from tidemark.session import drop_scratch, scratch_path
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -21,8 +22,8 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 BROADCAST_ROWS = 100_000
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage: write to the shared scratch folder and read back.
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Cut lineage: write to the shared scratch folder and read back; also the folder.
 
     The folder is below ``spark.checkpoint.dir``; a lost executor costs the
     rerun of single tasks, never of the steps before the written table.
@@ -30,7 +31,43 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage by a written table."""
+    return written(df, label)[0]
+
+
+def drop_written(spark: SparkSession, *paths: str) -> None:
+    """Delete written tables of which nothing is read any more: all that was made of them is written too."""
+    for path in paths:
+        drop_scratch(spark, path)
+
+
+def columns_named(names: Iterable[str]) -> list[Column]:
+    """Columns by name, whatever characters the names hold."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
+def widened(fields: Iterable[StructField], more: str) -> StructType:
+    """Schema of given fields, whatever their names and types, and further ones as DDL."""
+    return StructType([StructField(f.name, f.dataType, True) for f in fields] + StructType.fromDDL(more).fields)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: StructType) -> DataFrame:
+    """``mapInArrow`` that also takes columns whose names Spark would parse (back-ticks, dots)."""
+    odd = {n: f"__odd_{k}" for k, n in enumerate(df.columns) if "`" in n or "." in n}
+    if not odd:
+        return df.mapInArrow(run, schema)
+    back = {v: k for k, v in odd.items()}
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(b.rename_columns([back.get(n, n) for n in b.schema.names]) for b in batches):
+            yield out.rename_columns([odd.get(n, n) for n in out.schema.names])
+
+    plain = StructType([StructField(odd.get(f.name, f.name), f.dataType, True) for f in schema])
+    return df.toDF(*[odd.get(n, n) for n in df.columns]).mapInArrow(renamed, plain).toDF(*schema.names)
 
 
 def crc_mod(col: str, m: int) -> Column:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix64
+from tidemark.llm.common import columns_named, map_arrow, mix64, widened
 
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 32 << 20
@@ -242,8 +242,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cfg: LeakConfig = LeakConf
     n, size = benchmark.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     n_blocks = max(1, -(-n // BLOCK_ITEMS), -(-(size or 0) // BLOCK_BYTES))
     block_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    out = docs.select(*[f.name for f in keep]).withColumn("leaks", F.lit(None).cast(kind))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), f"leaks {kind}"])
+    out = docs.select(*columns_named(f.name for f in keep)).withColumn("leaks", F.lit(None).cast(kind))
+    schema = widened(keep, f"leaks {kind}")
     names = [*(f.name for f in keep), "leaks"]
     for block in range(n_blocks):
         rows = [(r.item_id, r.text) for r in benchmark.where(block_of == block).select("item_id", "text").orderBy("item_id", "text").collect()]
@@ -258,7 +258,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cfg: LeakConfig = LeakConf
                     leaks[k] = [*(leaks[k] or []), *found]
                 yield pa.record_batch([*(batch.column(c) for c in names[:-1]), pa.array(leaks, batch.schema.field("leaks").type)], names=names)
 
-        out = out.mapInArrow(run, schema)
+        out = map_arrow(out, run, schema)
     return out
 
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_RE, join_small, materialise
+from tidemark.llm.common import WORD_RE, columns_named, join_small, materialise
 
 FAN_IN = 64
 MAX_COPIES = 3
@@ -121,7 +121,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3),
     ``copies`` counts whole copies; ``taken`` also holds the part of a copy
     that the last document of a source takes.
     """
-    carried = [F.col(c).alias(f"__{c}") for c in carry]
+    carried = [c.alias(f"__{n}") for c, n in zip(columns_named(carry), carry, strict=True)]
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carried)
     sized = materialise(sized.withColumn("k", F.monotonically_increasing_id()), "mix-sizes")
     targets = materialise(source_targets(sized.select("source", "size"), weights, max_copies), "mix-targets").withColumnRenamed("source", "src")
@@ -133,9 +133,13 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3),
     units = (owed.where("x > 0").withColumn("h", h)
              .select(F.xxhash64(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).alias("group"),
                      "h", "k", F.col("size").alias("s"), "x"))
+    # Rows equal in id and size draw alike; where many are, their rows tell them apart, so that they share no bucket.
+    many = units.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FAN_IN).select(F.col("h").alias("many"))
+    units = join_small(units, many, F.col("h") == F.col("many"))
+    units = units.withColumn("h", F.when(F.col("many").isNotNull(), F.xxhash64("h", "k")).otherwise(F.col("h"))).drop("many")
     decided = pivotal_round(units, seed)
     j = owed.join(decided.select("k", F.col("x").alias("extra")), "k", "left")
     extra = F.coalesce(F.round("extra").cast("long"), F.lit(0).cast("long"))
     taken = F.col("whole") * F.col("size") + extra
     copies = F.when(F.col("size") > 0, F.floor(taken / F.col("size"))).otherwise(F.lit(0)).cast("long")
-    return j.select("doc_id", *[F.col(f"__{c}").alias(c) for c in carry], "size", "source_size", "target", taken.alias("taken"), copies.alias("copies"))
+    return j.select("doc_id", *[c.alias(n) for c, n in zip(columns_named(f"__{n}" for n in carry), carry, strict=True)], "size", "source_size", "target", taken.alias("taken"), copies.alias("copies"))

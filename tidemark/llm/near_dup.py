@@ -15,11 +15,12 @@ Links are verified on the full sets, and none is lost in a hot bucket:
 1. Nodes that share no first half key with another share no table and leave.
 2. In every table's bucket, each node is paired with the bucket's smallest
    node.  This is linear in the bucket, and copies of a text mostly join here.
-3. Nodes joined by such pairs, verified or not, are a cluster.  In clusters
-   that are more than one component, all pairs that may link two components
-   are compared: the cluster is cut into blocks by set size, and each pair of
-   blocks whose sizes allow the threshold is one small task.  A block's pairs
-   are counted inside the task and only a spanning forest leaves it.
+3. The verified pairs' components are contracted to one point each; what the
+   other pairs still join are clusters of components.  Inside a cluster all
+   pairs that may link two components are compared: the cluster is cut into
+   blocks by set size, and each pair of blocks whose sizes allow the threshold
+   is one small task.  A block's pairs are counted inside the task and only a
+   spanning forest, as pairs of components, leaves it.
 
 Defined cases: null and empty texts, and texts without words, have an empty
 set, are linked with nothing and are kept; fewer than k words are one shingle;
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_small, lower_ascii, materialise, mix64, shingle_hashes, text_bytes, word_hashes
+from tidemark.llm.common import drop_written, join_small, lower_ascii, materialise, mix64, shingle_hashes, text_bytes, word_hashes, written
 from tidemark.llm.components import connected_components
 
 HALF = 3
@@ -189,21 +190,20 @@ def _compare_blocks(per_cent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["side", "node"])
         left = int((pdf.side == 0).sum())
-        links = block_links(pdf.node.tolist(), pdf.root.tolist(), [unpack(b) for b in pdf.shingles], left, per_cent)
+        root = dict(zip(pdf.node.tolist(), pdf.root.tolist(), strict=True))
+        links = [(root[a], root[b]) for a, b in block_links(list(root), list(root.values()), [unpack(b) for b in pdf.shingles], left, per_cent)]
         return pd.DataFrame(links, columns=["u", "v"]).astype("int64")
     return run
 
 
 def cluster_links(members: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """Links across components inside clusters; members: (node, root, cluster, n_shingles).
+    """(root, root) links of different components inside clusters; members: (node, root, cluster, n_shingles).
 
     A cluster's nodes are ranked by set size without gathering it: counts per
     (cluster, size) give each size its first block, and a hash spreads nodes of
     one size over that size's blocks.
     """
-    mixed = (members.groupBy("cluster").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .where("lo <> hi").select("cluster"))
-    rows = members.join(mixed, "cluster")
+    rows = members
     # Size classes grow by a tenth, so that blocks hold comparable sizes.
     band = F.floor(F.ln(F.col("n_shingles").cast("double")) / math.log(1.1)).cast("int")
     rows = rows.withColumn("band", band)
@@ -235,6 +235,7 @@ def near_duplicates(docs: DataFrame, per_cent: int = 80, k: int = 5) -> DataFram
 
     ``thash`` is the text's hash, which with doc_id tells rows apart.
     """
+    spark = docs.sparkSession
     m = half_keys(per_cent / 100)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("thash"))
@@ -251,10 +252,11 @@ def near_duplicates(docs: DataFrame, per_cent: int = 80, k: int = 5) -> DataFram
     open_nodes = materialise(halves.join(shared, "half", "left_semi").select("node").distinct(), "near-open")
     candidates = reps.join(open_nodes, "node", "left_semi")
     keys = F.flatten(F.transform("first", lambda a: F.transform("second", lambda b: F.xxhash64(a, b))))
-    entries = materialise(candidates.select("node", F.explode(keys).alias("key")), "near-entries")
+    entries, entries_at = written(candidates.select("node", F.explode(keys).alias("key")), "near-entries")
     hubs = entries.groupBy("key").agg(F.min("node").alias("u"), F.max("node").alias("top")).where("u <> top").select("key", "u")
     stars = (entries.join(hubs, "key").where("node <> u").select("u", F.col("node").alias("v")).distinct())
-    stars = materialise(stars, "near-stars")
+    stars, stars_at = written(stars, "near-stars")
+    drop_written(spark, entries_at)
     paired = stars.select(F.col("u").alias("node")).unionByName(stars.select(F.col("v").alias("node"))).distinct()
     chosen = reps.join(paired, "node", "left_semi").select("node", F.col("rep.doc_id").alias("id"), F.col("rep.thash").alias("th"), "n_shingles")
     chosen = materialise(chosen, "near-chosen")
@@ -262,17 +264,26 @@ def near_duplicates(docs: DataFrame, per_cent: int = 80, k: int = 5) -> DataFram
     sets = texts.select("node", "text").mapInArrow(_sets(k), "node long, shingles binary").dropDuplicates(["node"])
     sets = materialise(sets, "near-sets")
     checked = materialise(verify(stars, sets, per_cent), "near-checked")
+    drop_written(spark, stars_at)
     found = connected_components(checked.where("ok"))
-    clusters = connected_components(checked)
-    members = (chosen.select("node", "n_shingles").join(clusters.withColumnRenamed("root", "cluster"), "node")
-               .join(found, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    more = materialise(cluster_links(members, sets, per_cent), "near-more")
-    if not more.isEmpty():
-        found = connected_components(checked.where("ok").select("u", "v").unionByName(more))
-    label = nodes.select("doc_id", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = label.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_node = materialise(reps.select("node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-                          .join(smallest, "root").select("node", "component_id"), "near-labels")
+
+    def rooted(df: DataFrame, node: str, name: str) -> DataFrame:
+        at = found.select(F.col("node").alias(node), F.col("root").alias(name))
+        return df.join(at, node, "left").withColumn(name, F.coalesce(name, node))
+
+    apart = rooted(rooted(checked.where("NOT ok").select("u", "v"), "u", "ru"), "v", "rv").where("ru <> rv")
+    apart = materialise(apart.select(F.col("ru").alias("u"), F.col("rv").alias("v")).distinct(), "near-apart")
+    label = rooted(reps.select("node"), "node", "root")
+    if not apart.isEmpty():
+        clusters = connected_components(apart).select(F.col("node").alias("root"), F.col("root").alias("cluster"))
+        members = rooted(chosen.select("node", "n_shingles"), "node", "root").join(clusters, "root")
+        more = materialise(cluster_links(members, sets, per_cent), "near-more")
+        if not more.isEmpty():
+            merged = connected_components(more).select(F.col("node").alias("root"), F.col("root").alias("top"))
+            label = label.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    label = materialise(label, "near-roots")
+    smallest = nodes.select("doc_id", "node").join(label, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    by_node = materialise(label.join(smallest, "root").select("node", "component_id"), "near-labels")
     out = signed.select("doc_id", "thash", "node", "n_shingles").join(by_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "thash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, materialise, text_bytes
+from tidemark.llm.common import lower_ascii, map_arrow, materialise, text_bytes, widened
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
@@ -227,6 +227,5 @@ def quality_rules(docs: DataFrame, cfg: QualityConfig = QualityConfig(), refs: d
             cols += [pa.array([r[k] for r in rows], t) for k, t in enumerate(_DTYPES)]
             yield pa.record_batch(cols, names=[*kept_cols, *names])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept_cols] + [SCHEMA])
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, widened([f for f in docs.schema if f.name in kept_cols], SCHEMA))
 

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import text_bytes
+from tidemark.llm.common import map_arrow, text_bytes, widened
 
 CHUNK_BYTES = 32_768
 OVERLAP_BYTES = 512
@@ -138,5 +138,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096, chunk_bytes: int
             cols += [pa.array(map(len, texts), pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())]
             yield pa.record_batch(cols, names=[*(f.name for f in keep), *names])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), new])
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, widened(keep, new))
