@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_small, materialise
+from tidemark.llm.common import columns_named, join_small, materialise
 from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix_sources
@@ -24,7 +24,7 @@ REMOVED_ROWS = 1_000_000
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    return quality_rules(docs).where("kept").select(*columns_named(docs.columns))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = dedup_lines(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*columns_named(docs.columns))
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,13 +52,13 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     if not repeated.isEmpty():
         plain = out.join(repeated.select("doc_id").distinct(), "doc_id", "left_anti")
         out = plain.unionByName(out.join(repeated.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
-    return out.select(*docs.columns)
+    return out.select(*columns_named(docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return find_leaks(docs, benchmark).where("leaks IS NULL OR size(leaks) = 0").select(*docs.columns)
+    return find_leaks(docs, benchmark).where("leaks IS NULL OR size(leaks) = 0").select(*columns_named(docs.columns))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
