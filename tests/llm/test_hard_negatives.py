@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.hard_negatives import Tree, hard_negatives, pack, search, unpack
+from tidemark.llm.hard_negatives import Batch, Tree, hard_negatives, pack, search, unpack
 
 SCHEMA = "id long, label int, vec array<float>, qid long, positives string, block int"
 
@@ -87,7 +87,8 @@ def test_tree_covers_bounds_and_prunes():
     tree = Tree(x, labels)
     assert sorted(tree.order.tolist()) == list(range(3600))
     q = np.floor(rng.normal(size=(20, 6)) * 300)
-    low, high = tree.bounds(q)
+    batch = Batch(tree, q)
+    low, high = batch.low, batch.high
     for node, (a, b, kids) in enumerate(zip(tree.begin, tree.end, tree.children, strict=True)):
         s = q @ x[tree.order[a:b]].T
         assert (s.min(1) >= low[:, node]).all() and (s.max(1) <= high[:, node]).all()
@@ -97,21 +98,19 @@ def test_tree_covers_bounds_and_prunes():
             assert all(tree.cover[c] <= tree.cover[node] * 2 for c in kids)
     ids = [[int(r)] for r in tree.order]
     opened = 0
-    whole = Tree.scores
-    try:
-        def counted(self, leaf, v):
+
+    class Counted(Batch):
+        def scores(self, leaf, k):
             nonlocal opened
-            opened += self.end[leaf] - self.begin[leaf]
-            return whole(self, leaf, v)
-        Tree.scores = counted
-        for k in range(20):
-            roots = [r for lab, r in tree.roots.items() if lab != 1]
-            got = search(tree, ids, q[k], low[k], high[k], roots, [(-10**9, 10**9)], 7)[0]
-            s = (x @ q[k]).astype(int)
-            want = sorted((-int(s[r]), r) for r in range(3600) if labels[r] != 1)[:7]
-            assert [(-a, b) for a, b in got] == want
-    finally:
-        Tree.scores = whole
+            opened += tree.end[leaf] - tree.begin[leaf]
+            return super().scores(leaf, k)
+
+    for k in range(20):
+        roots = [r for lab, r in tree.roots.items() if lab != 1]
+        got = search(Counted(tree, q), k, ids, roots, [(-10**9, 10**9)], 7)[0]
+        s = (x @ q[k]).astype(int)
+        want = sorted((-int(s[r]), r) for r in range(3600) if labels[r] != 1)[:7]
+        assert [(-a, b) for a, b in got] == want
     assert opened < 20 * 2400 * 0.6  # most leaves of clustered vectors are skipped
 
 

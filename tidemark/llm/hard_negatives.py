@@ -49,8 +49,9 @@ FAN = 16
 BLOCK_BYTES = 1 << 26
 #: Blocks are made smaller for parallel work, down to this many candidates.
 BLOCK_ROWS = 4096
-#: Anchors whose node bounds are computed at once.
+#: Anchors that meet a tree together, and scores that they may hold.
 QUERIES = 256
+CELLS = 1 << 23
 NO_ID = 2**63 - 1
 LONG = 2**63 - 1
 KINDS = (np.int16, np.int32)
@@ -181,56 +182,72 @@ class Tree:
         # Products that overflow a double bound nothing.
         return np.where(np.isnan(low), -np.inf, low), np.where(np.isnan(high), np.inf, high)
 
+    def fits(self, q: np.ndarray) -> bool:
+        """Whether doubles hold every product exactly."""
+        return self.top * np.abs(q).max(initial=0) * max(1, q.shape[1]) < 2.0**53
+
     def scores(self, leaf: int, q: np.ndarray) -> np.ndarray:
-        """Exact inner products of a leaf's points: doubles hold them below 2^53, Python's integers any."""
+        """Exact inner products of each row of q with a leaf's points: doubles hold them below 2^53, Python's integers any."""
         x = self.exact[self.begin[leaf]:self.end[leaf]]
-        if self.top * np.abs(q).max(initial=0) * max(1, len(q)) < 2.0**53:
-            return (x @ q).astype(np.int64)
-        whole = np.array([[int(v) for v in row] for row in x], object).reshape(x.shape)
-        return np.array([sum(a * b for a, b in zip(row, (int(v) for v in q), strict=False)) if len(q) else 0 for row in whole], object)
+        if self.fits(q):
+            return q @ x.T
+        points, asked = ([[int(v) for v in row] for row in m.tolist()] for m in (x, q))
+        return np.array([[sum(a * b for a, b in zip(p, v, strict=True)) for p in points] for v in asked], object)
+
+
+class Batch:
+    """Anchors that meet a tree together: their node bounds, and the scores of each leaf once one of them opens it."""
+
+    def __init__(self, tree: Tree, q: np.ndarray):
+        self.tree, self.q, self.leaves = tree, q[:, :tree.x.shape[1]], {}
+        self.low, self.high = tree.bounds(self.q)
+        self.number = np.float64 if tree.fits(self.q) else object
+
+    def scores(self, leaf: int, k: int) -> np.ndarray:
+        if leaf not in self.leaves:
+            self.leaves[leaf] = self.tree.scores(leaf, self.q)
+        return self.leaves[leaf][k]
 
 
-def search(tree: Tree, ids: list[list[int]], q: np.ndarray, low: np.ndarray, high: np.ndarray, roots: list[int],
-           windows: list[tuple[int, int]], k: int) -> list[list[tuple[int, int]]]:
+def search(batch: Batch, row: int, ids: list[list[int]], roots: list[int], windows: list[tuple[int, int]],
+           k: int) -> list[list[tuple[int, int]]]:
     """The first k (score, id) of each window [lo, hi], by score descending, then id: best-first descent.
 
-    ``ids`` are those of the points in tree order.
+    ``row`` is the anchor's place in the batch; ``ids`` are those of the points in tree order.
     """
+    tree, low, high = batch.tree, batch.low[row], batch.high[row]
     found: list[list[tuple[int, int]]] = [[] for _ in windows]
-    floor = [lo for lo, _ in windows]  # scores below can no longer enter
-    heap = []
-
-    def push(node: int) -> None:
-        if any(low[node] <= hi and high[node] >= f for (_, hi), f in zip(windows, floor, strict=True)):
-            heapq.heappush(heap, (-high[node], node))
-
-    for r in roots:
-        push(r)
+    # Scores below a window's floor can no longer enter it.
+    floors = np.array([lo for lo, _ in windows], batch.number)
+    tops = np.array([hi for _, hi in windows], floors.dtype)
+    least, most = floors.min(), tops.max()
+    heap = [(-high[r], r) for r in roots if high[r] >= least and low[r] <= most]
+    heapq.heapify(heap)
     while heap:
         up, node = heapq.heappop(heap)
-        up = -up
-        if up < min(floor):
+        if -up < least:
             break
-        if not any(low[node] <= hi and up >= f for (_, hi), f in zip(windows, floor, strict=True)):
-            continue
         if tree.children[node]:
             for c in tree.children[node]:
-                push(c)
+                if high[c] >= least and low[c] <= most:
+                    heapq.heappush(heap, (-high[c], c))
+            continue
+        s = batch.scores(node, row)
+        at = np.flatnonzero((s >= least) & (s <= most))
+        if not len(at):
             continue
-        s = tree.scores(node, q)
-        for w, (_, hi) in enumerate(windows):
-            if low[node] > hi or up < floor[w]:
-                continue
-            at = np.flatnonzero((s >= floor[w]) & (s <= hi))
-            if not len(at):
-                continue
-            if len(at) > k:  # a point has one id at least; ties of the last score stay
-                held = s[at]
-                at = at[held >= np.sort(held)[-k]]
-            new = [(-int(s[p]), i) for p in at.tolist() for i in ids[tree.begin[node] + p]]
+        held = s[at]
+        enters = (held[:, None] >= floors) & (held[:, None] <= tops)
+        for w in np.flatnonzero(enters.any(0)).tolist():
+            points, values = at[enters[:, w]], held[enters[:, w]]
+            if len(points) > k:  # a point has one id at least; ties of the last score stay
+                top = values >= np.sort(values)[-k]
+                points, values = points[top], values[top]
+            new = [(-int(v), i) for v, p in zip(values, points.tolist(), strict=True) for i in ids[tree.begin[node] + p]]
             found[w] = heapq.nsmallest(k, found[w] + new)
             if len(found[w]) == k:
-                floor[w] = max(floor[w], -found[w][-1][0])
+                floors[w] = max(floors[w], -found[w][-1][0])
+        least = floors.min()
     return [[(-s, i) for s, i in f] for f in found]
 
 
@@ -250,8 +267,7 @@ def _search_blocks(same: bool, k: int, lo: int, hi: int):
         return max(-LONG - 1, min(LONG, v))
 
     def answer(tree: Tree, ids: list[list[int]], queries: list[tuple]) -> Iterator[pa.RecordBatch]:
-        q = matrix([unpack(v) for _, _, v, _ in queries], tree.x.shape[1])
-        low, high = tree.bounds(q[:, :tree.x.shape[1]])
+        batch = Batch(tree, matrix([unpack(v) for _, _, v, _ in queries], tree.x.shape[1]))
         rows = []
         for k_, (qid, label, _, scores) in enumerate(queries):
             roots = [r for lab, r in tree.roots.items() if (lab == label) == same]
@@ -261,7 +277,7 @@ def _search_blocks(same: bool, k: int, lo: int, hi: int):
                 key = [s for s in dict.fromkeys(scores) if _window(s, lo, hi)[0] <= _window(s, lo, hi)[1]]
                 wins = [_window(s, lo, hi) for s in key]
             if wins and roots:
-                for p, f in zip(key, search(tree, ids, q[k_, :tree.x.shape[1]], low[k_], high[k_], roots, wins, k), strict=True):
+                for p, f in zip(key, search(batch, k_, ids, roots, wins, k), strict=True):
                     rows += ((qid, p, clamp(s), i) for s, i in f)
         if rows:
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
@@ -284,7 +300,7 @@ def _search_blocks(same: bool, k: int, lo: int, hi: int):
                     tree = Tree(matrix([unpack(v) for _, v, _ in points]), np.array([p[0] for p in points], np.int64))
                     ids = [points[r][2] for r in tree.order]
                 queries.append((qid, label, vec, more))
-                if len(queries) == QUERIES:
+                if len(queries) * len(points) >= CELLS or len(queries) == QUERIES:
                     yield from answer(tree, ids, queries)
                     queries = []
         if queries:
