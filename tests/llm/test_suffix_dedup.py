@@ -45,9 +45,9 @@ def fixture():
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
-@pytest.mark.parametrize("bucket", [150_000, 0])
+@pytest.mark.parametrize("bucket", [150_000, 60, 0])
 def test_against_brute_force(spark, make_docs, monkeypatch, keep, bucket):
-    monkeypatch.setattr(sd, "BUCKET", bucket)   # 0: every bucket takes the way of the large ones
+    monkeypatch.setattr(sd, "BUCKET", bucket)   # small: buckets are parted, to the last level for 0
     monkeypatch.setattr(sd, "MAX_RUN", 16)
     rows = fixture()
     got = sd.remove_repeats(make_docs([(i, t, "s") for i, t in rows]), LENGTH, keep).collect()

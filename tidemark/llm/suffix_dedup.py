@@ -17,10 +17,12 @@ neighbours, and the longest-previous-factor array are built: the previous and
 the next smaller position in suffix order give the longest earlier match, and
 with positions mirrored the longest later match.
 
-A bucket with more than ``BUCKET`` suffixes is too large for one task.  There
-the suffix order to depth ``length`` is taken by the shuffle itself: suffixes
-are grouped by the hash of their first ``length`` bytes with partial
-aggregation, so no group is gathered, however hot.
+A bucket with more than ``BUCKET`` suffixes is too large for one task.  Its
+segments are cut again by the minima of longer substrings (twice, then four
+times ``GRAM``, and so on), which parts it into smaller buckets of the same
+kind, until each fits.  The last such substring is as long as the strings, so
+that all suffixes of a bucket are equal; their number and first place say all,
+and are aggregated before the shuffle, so no group is gathered, however hot.
 
 Defined cases: null text is empty; texts below ``length`` bytes keep all;
 matches never cross documents; equal rows are places of their own; an empty
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_small, materialise, prefix_hash, span_hash, text_bytes
+from tidemark.llm.common import join_small, materialise, mix64, prefix_hash, span_hash, text_bytes
 
 GRAM = 64
 MAX_RUN = 1024
@@ -212,9 +214,13 @@ def _cut_bytes(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, dk, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("dk").to_pylist(),
-                                             text_bytes(batch.column("text")), batch.column("wanted").to_pylist(), strict=True):
-                rows += [(w["key"], w["seg"], doc, dk, w["start"], text[w["start"]:w["start"] + w["run"] - 1 + length], w["run"], w["hot"])
+            # Text of a document (its places start at 0), or bytes of a segment.
+            whole = "base" not in batch.schema.names
+            bases = [0] * batch.num_rows if whole else batch.column("base").to_pylist()
+            texts = text_bytes(batch.column("text")) if whole else batch.column("text").to_pylist()
+            for doc, dk, text, wanted, base in zip(batch.column("doc_id").to_pylist(), batch.column("dk").to_pylist(), texts,
+                                                   batch.column("wanted").to_pylist(), bases, strict=True):
+                rows += [(w["key"], w["seg"], doc, dk, base + w["start"], text[w["start"]:w["start"] + w["run"] - 1 + length], w["run"], w["hot"])
                          for w in wanted]
             cols = list(zip(*rows, strict=True)) or [()] * 8
             kinds = [pa.int64(), pa.int64(), batch.column("doc_id").type, pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.bool_()]
@@ -223,34 +229,96 @@ def _cut_bytes(length: int):
     return run
 
 
-def _window_hashes(length: int):
-    """One row per suffix of a hot bucket: hash of its first ``length`` bytes."""
+def _subsegments(length: int, gram: int):
+    """Segments of a segment, by the minima of ``gram``-byte substrings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                n = batch.column("run")[row].as_py()
-                at = np.arange(n)
-                h = span_hash(prefix_hash(np.frombuffer(batch.column("bytes")[row].as_py(), np.uint8)), at, at + length)
-                take = pa.array(np.full(n, row))
-                yield pa.record_batch([*(batch.column(c).take(take) for c in ("key", "seg", "doc_id", "dk", "start")),
-                                       pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))],
-                                      names=["key", "seg", "doc_id", "dk", "start", "offset", "window"])
+            of, cols = [], [[], [], [], [], []]
+            for row, b in enumerate(batch.column("bytes")):
+                parts = segments(b.as_py(), length, gram)
+                of.append(np.full(len(parts[0]), row))
+                for c, p in zip(cols, parts, strict=True):
+                    c.append(p)
+            if not of:
+                continue
+            row = np.concatenate(of)
+            start, n, key, seg, twice = (np.concatenate(c) for c in cols)
+            take = pa.array(row)
+            key = mix64(batch.column("key").to_numpy().view(np.uint64)[row] ^ mix64(key, gram), 5)
+            yield pa.record_batch(
+                [*(batch.column(c).take(take) for c in ("key", "seg", "doc_id", "dk")),
+                 pa.array(batch.column("start").to_numpy()[row] + start), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)),
+                 pa.array(key.view(np.int64)), pa.array(seg.view(np.int64)), pa.array(twice)],
+                names=["pkey", "pseg", "doc_id", "dk", "start", "offset", "run", "key", "seg", "twice"])
     return run
 
 
-def _hot_ranges(rows: DataFrame, length: int, first_only: bool) -> DataFrame:
-    """The same result for buckets too large for one task, by aggregation."""
+def _merge_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of each segment as maximal ones."""
+    for batch in batches:
+        out = []
+        for ranges in batch.column("ranges").to_pylist():
+            merged: list[dict] = []
+            for r in sorted(ranges, key=lambda r: r["lo"]):
+                if merged and r["lo"] <= merged[-1]["hi"]:
+                    merged[-1]["hi"] = max(merged[-1]["hi"], r["hi"])
+                else:
+                    merged.append(dict(r))
+            out.append(merged)
+        yield pa.record_batch([batch.column("key"), batch.column("seg"), pa.array(out, _RANGES)], names=["key", "seg", "ranges"])
+
+
+def _deeper(rows: DataFrame, length: int, first_only: bool, gram: int) -> DataFrame:
+    """(key, seg, ranges) of the segments of buckets too large for one task, parted by ``gram``-byte minima."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    w = materialise(rows.select("key", "seg", "doc_id", "dk", "start", "bytes", "run").mapInArrow(
-        _window_hashes(length), f"key long, seg long, doc_id {id_type}, dk long, start long, offset int, window long"), "suffix-hot")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dk", (F.col("start") + F.col("offset")).alias("at"))
-    same = w.groupBy("key", "window").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
-    hit = w.join(same, ["key", "window"])
-    if first_only:
-        hit = hit.where(~place.eqNullSafe(F.col("first")))
+    gram = min(gram, length)
+    sub = materialise(rows.mapInArrow(_subsegments(length, gram), f"pkey long, pseg long, doc_id {id_type}, dk long, start long, offset int, "
+                                                                   "run int, key long, seg long, twice boolean"), "suffix-sub")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dk", "start")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dk", "start", "pkey", "pseg", "offset")
+    distinct = sub.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first"), F.first("run").alias("run"),
+                                             F.max("twice").alias("twice"))
+    whole = F.struct(F.col("offset").alias("lo"), (F.col("offset") + F.col("run")).alias("hi"))
+    if gram == length:
+        same = (distinct.groupBy("key").agg(F.sum(F.col("n") * F.col("run")).alias("n"), F.min("first").alias("first")).where("n > 1")
+                .select("key", F.struct("first.none", "first.doc_id", "first.dk", "first.start").alias("head")))
+        hit = sub.join(same, "key")
+        if first_only:  # the very first stays
+            lo = F.col("offset") + F.when(place.eqNullSafe(F.col("head")), 1).otherwise(0)
+            whole = F.struct(lo.alias("lo"), (F.col("offset") + F.col("run")).alias("hi"))
+        hit = hit.select("pkey", "pseg", whole.alias("r")).where("r.lo < r.hi")
+    else:
+        distinct = materialise(distinct, "suffix-sub-distinct")
+        bucket = (distinct.groupBy("key").agg(F.count(F.lit(1)).alias("segs"), F.sum("run").alias("suffixes"), F.max("twice").alias("inner"))
+                  .where("segs > 1 OR inner").select("key", (F.col("suffixes") > BUCKET).alias("hot")))
+        wanted = distinct.join(bucket, "key").select(
+            F.col("first.pkey").alias("pkey"), F.col("first.pseg").alias("pseg"),
+            F.struct("key", "seg", F.col("first.offset").alias("start"), "run", "hot").alias("w"))
+        wanted = wanted.groupBy("pkey", "pseg").agg(F.collect_list("w").alias("wanted"))
+        parent = rows.select(F.col("key").alias("pkey"), F.col("seg").alias("pseg"), "doc_id", "dk", F.col("start").alias("base"),
+                             F.col("bytes").alias("text"))
+        cut = materialise(parent.join(wanted, ["pkey", "pseg"]).mapInArrow(
+            _cut_bytes(length), f"key long, seg long, doc_id {id_type}, dk long, start long, bytes binary, run int, hot boolean"), "suffix-sub-bytes")
+        solved = _solve(cut, length, first_only, 2 * gram).withColumnsRenamed({"key": "k2", "seg": "s2"})
+        marked = (distinct.join(solved, (F.col("key") == F.col("k2")) & (F.col("seg") == F.col("s2")), "left")
+                  .where("n > 1 OR ranges IS NOT NULL").select("key", "seg", "n", "first", "ranges"))
+        of = sub.join(marked, ["key", "seg"])
+        all_of = F.array(F.struct(F.lit(0).alias("lo"), F.col("run").alias("hi")))
+        copy = (F.col("n") > 1) & (~at.eqNullSafe(F.col("first")) if first_only else F.lit(True))
+        of = of.select("pkey", "pseg", "offset", F.explode(F.when(copy, all_of).otherwise(F.col("ranges"))).alias("r"))
+        hit = of.select("pkey", "pseg", F.struct((F.col("offset") + F.col("r.lo")).alias("lo"), (F.col("offset") + F.col("r.hi")).alias("hi")).alias("r"))
     # A segment has at most MAX_RUN suffixes, so its list is bounded.
-    return hit.groupBy("key", "seg").agg(F.collect_set("offset").alias("offsets")).select(
-        "key", "seg", F.transform(F.sort_array("offsets"), lambda o: F.struct(o.alias("lo"), (o + 1).alias("hi"))).alias("ranges"))
+    lists = hit.groupBy(F.col("pkey").alias("key"), F.col("pseg").alias("seg")).agg(F.collect_set("r").alias("ranges"))
+    return lists.mapInArrow(_merge_ranges, "key long, seg long, ranges array<struct<lo:int,hi:int>>")
+
+
+def _solve(cut: DataFrame, length: int, first_only: bool, gram: int) -> DataFrame:
+    """(key, seg, ranges) of cut segments; the hot buckets by minima of ``gram`` bytes."""
+    solved = (cut.where("NOT hot").drop("hot").repartition("key").sortWithinPartitions("key")
+              .mapInArrow(_solve_buckets(length, first_only), "key long, seg long, ranges array<struct<lo:int,hi:int>>"))
+    if cut.where("hot").isEmpty():
+        return solved
+    return solved.unionByName(_deeper(cut.where("hot").drop("hot").dropDuplicates(["key", "seg"]), length, first_only, gram))
 
 
 def repeated_ranges(docs: DataFrame, length: int = 400, keep: str = "none") -> DataFrame:
@@ -272,11 +340,7 @@ def repeated_ranges(docs: DataFrame, length: int = 400, keep: str = "none") -> D
     cut = join_small(rows, wanted, F.col("dk") == F.col("of"), "inner", BROADCAST_ITEMS, F.size("wanted")).mapInArrow(
         _cut_bytes(length), f"key long, seg long, doc_id {id_type}, dk long, start long, bytes binary, run int, hot boolean")
     cut = materialise(cut, "suffix-bytes")
-    solved = (cut.where("NOT hot").drop("hot").repartition("key").sortWithinPartitions("key")
-              .mapInArrow(_solve_buckets(length, first_only), "key long, seg long, ranges array<struct<lo:int,hi:int>>"))
-    hot = cut.where("hot").dropDuplicates(["key", "seg"])
-    if not cut.where("hot").isEmpty():
-        solved = solved.unionByName(_hot_ranges(hot, length, first_only))
+    solved = _solve(cut, length, first_only, 2 * gram)
     solved = solved.withColumnsRenamed({"key": "k2", "seg": "s2"})
     marked = (distinct.join(solved, (F.col("key") == F.col("k2")) & (F.col("seg") == F.col("s2")), "left")
               .where("n > 1 OR ranges IS NOT NULL").select("key", "seg", "n", F.col("first").alias("head"), "run", "ranges"))
