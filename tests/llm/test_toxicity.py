@@ -1,5 +1,8 @@
+import math
 import random
 
+import pytest
+
 from tidemark.llm import toxicity as tx
 
 
@@ -45,3 +48,52 @@ def test_features():
     f = dict(zip(names, tx.features("You are an IDIOT!! 1d10t soooo i-d-i-o-t", {"idiot": 2.0})))
     assert f["lex_hits"] == 3 and f["disguised_hits"] == 2 and f["lex_distinct"] == 1 and f["near_you"] >= 1
     assert tx.features("", {}) == [0.0] * len(names)
+
+
+def _plain_features(text, lexicon):
+    """The features restated position by position."""
+    words = text.split()
+    strip = [w.strip(tx.EDGES).lower() for w in words]
+    letters = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "+": "t", "|": "l",
+               "*": "", "-": "", "_": "", ".": ""}
+    found, disguised = [], 0
+    for i, w in enumerate(strip):
+        u = "".join(letters.get(c, c) for c in w)
+        if w in lexicon:
+            found.append((i, w))
+        elif u != w and u in lexicon:
+            found.append((i, u))
+            disguised += 1
+    letter = lambda c: c.isalpha()
+
+    def hidden(w):
+        for a in range(len(w)):
+            for b in range(a + 2, len(w)):
+                inner = w[a + 1:b]
+                one = len(inner) == 1 and not (inner.isalnum() or inner == "_")
+                if letter(w[a]) and letter(w[b]) and (one or inner.isdigit()):
+                    return True
+        return False
+
+    you = [i for i, w in enumerate(strip) if w in tx.SECOND_PERSON]
+    near = sum(any(abs(i - j) <= tx.NEAR for j in you) for i, _ in found)
+    n, size = max(1, len(words)), max(1, len(text))
+    stretched = sum(any(letter(w[i]) and w[i] == w[i + 1] == w[i + 2] for i in range(len(w) - 2)) for w in words)
+    return {"log_words": math.log(1 + len(words)), "lex_hits": len(found), "lex_density": len(found) / n,
+            "lex_distinct": len({w for _, w in found}), "lex_weight": sum(lexicon[w] for _, w in found),
+            "lex_max": max([lexicon[w] for _, w in found], default=0), "disguised_hits": disguised, "near_you": near,
+            "near_you_density": near / n, "you_density": len(you) / n, "capital_rate": sum(c.isupper() for c in text) / size,
+            "caps_word_rate": sum(len(w) > 1 and w.isupper() for w in words) / n, "exclaim_rate": text.count("!") / n,
+            "question_rate": text.count("?") / n, "punct_rate": sum(c in "!?.,;:\"'" for c in text) / size,
+            "obfuscation_rate": sum(w not in lexicon and hidden(w) for w in strip) / n, "stretch_rate": stretched / n,
+            "digit_rate": sum(c in "0123456789" for c in text) / size}
+
+
+def test_features_against_plain_python():
+    rng = random.Random(21)
+    lexicon = {"idiot": 2.0, "scum": 1.5, "vil": 0.5}
+    pool = ["you", "YOU,", "du", "idiot", "IDIOT!!", "1d10t", "i-d-i-o-t", "sc*um", "$cum", "v|l", "soooo", "a1b", "x__y", "ok.", "Über", "é!é",
+            "7", "1999", "don't", "A", "ABC", "(scum)", "?!", "«vil»"]
+    for _ in range(400):
+        text = "".join(rng.choice(pool) + rng.choice([" ", "  ", "\n", "\t"]) for _ in range(rng.randint(0, 25)))
+        assert dict(zip(tx.FEATURES, tx.features(text, lexicon))) == pytest.approx(_plain_features(text, lexicon)), text
