@@ -18,11 +18,13 @@ the next smaller position in suffix order give the longest earlier match, and
 with positions mirrored the longest later match.
 
 A bucket with more than ``BUCKET`` suffixes is too large for one task.  Its
-segments are cut again by the minima of longer substrings (twice, then four
-times ``GRAM``, and so on), which parts it into smaller buckets of the same
-kind, until each fits.  The last such substring is as long as the strings, so
-that all suffixes of a bucket are equal; their number and first place say all,
-and are aggregated before the shuffle, so no group is gathered, however hot.
+segments are cut again by the minima of longer substrings (``longer_gram``),
+which parts it into smaller buckets of the same kind, until each fits.  The
+last such substring is as long as the strings, so that all suffixes of a bucket
+are equal; their number and first place say all, and are aggregated before the
+shuffle, so no group is gathered, however hot.  A substring of g bytes leaves
+``length`` - g + 1 suffixes to each place of it; that number falls by a factor
+of four a step, so what the steps hand on falls too.
 
 Defined cases: null text is empty; texts below ``length`` bytes keep all;
 matches never cross documents; equal rows are places of their own; an empty
@@ -48,6 +50,11 @@ BUCKET = 150_000
 BROADCAST_ITEMS = 1_000_000
 
 
+def longer_gram(gram: int, length: int) -> int:
+    """The substring length by which a bucket too large is parted: double, but three quarters of the rest at most."""
+    return min(2 * gram, gram + max(1, -(-3 * (length - gram) // 4)), length)
+
+
 def window_minima(h: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` consecutive values."""
     n = len(h)
@@ -271,7 +278,6 @@ def _merge_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _deeper(rows: DataFrame, length: int, first_only: bool, gram: int) -> DataFrame:
     """(key, seg, ranges) of the segments of buckets too large for one task, parted by ``gram``-byte minima."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    gram = min(gram, length)
     sub = materialise(rows.mapInArrow(_subsegments(length, gram), f"pkey long, pseg long, doc_id {id_type}, dk long, start long, offset int, "
                                                                    "run int, key long, seg long, twice boolean"), "suffix-sub")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dk", "start")
@@ -299,7 +305,7 @@ def _deeper(rows: DataFrame, length: int, first_only: bool, gram: int) -> DataFr
                              F.col("bytes").alias("text"))
         cut = materialise(parent.join(wanted, ["pkey", "pseg"]).mapInArrow(
             _cut_bytes(length), f"key long, seg long, doc_id {id_type}, dk long, start long, bytes binary, run int, hot boolean"), "suffix-sub-bytes")
-        solved = _solve(cut, length, first_only, 2 * gram).withColumnsRenamed({"key": "k2", "seg": "s2"})
+        solved = _solve(cut, length, first_only, longer_gram(gram, length)).withColumnsRenamed({"key": "k2", "seg": "s2"})
         marked = (distinct.join(solved, (F.col("key") == F.col("k2")) & (F.col("seg") == F.col("s2")), "left")
                   .where("n > 1 OR ranges IS NOT NULL").select("key", "seg", "n", "first", "ranges"))
         of = sub.join(marked, ["key", "seg"])
@@ -340,7 +346,7 @@ def repeated_ranges(docs: DataFrame, length: int = 400, keep: str = "none") -> D
     cut = join_small(rows, wanted, F.col("dk") == F.col("of"), "inner", BROADCAST_ITEMS, F.size("wanted")).mapInArrow(
         _cut_bytes(length), f"key long, seg long, doc_id {id_type}, dk long, start long, bytes binary, run int, hot boolean")
     cut = materialise(cut, "suffix-bytes")
-    solved = _solve(cut, length, first_only, 2 * gram)
+    solved = _solve(cut, length, first_only, longer_gram(gram, length))
     solved = solved.withColumnsRenamed({"key": "k2", "seg": "s2"})
     marked = (distinct.join(solved, (F.col("key") == F.col("k2")) & (F.col("seg") == F.col("s2")), "left")
               .where("n > 1 OR ranges IS NOT NULL").select("key", "seg", "n", F.col("first").alias("head"), "run", "ranges"))
