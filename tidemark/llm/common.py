@@ -142,10 +142,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Prefix sums of byte value * base^i (mod 2^64), with a leading 0."""
-    up, _ = _powers(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
+    return prefix_sums(_BYTE[data])
+
+
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Prefix sums of value * base^i (mod 2^64), with a leading 0."""
+    up, _ = _powers(len(values) + 1)
+    out = np.zeros(len(values) + 1, np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(_BYTE[data] * up[:len(data)], out=out[1:])
+        np.cumsum(values * up[:len(values)], out=out[1:])
     return out
 
 
