@@ -6,9 +6,12 @@ from tidemark.operators.upsert import (
     assert_unique_keys,
     dedupe_latest,
     duplicate_keys,
+    fits_broadcast,
     merge_counts,
     size_checked_broadcast,
     upsert_frames,
+    with_missing_columns,
+    without_older,
 )
 
 SCHEMA = "id int, part string, v string"
@@ -110,3 +113,30 @@ def test_known_small_source_broadcasts_keys_and_never_shuffles_target(spark, tmp
     plan = upsert_frames(tgt, src, ["id"], source_rows=1)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
     assert "Exchange hashpartitioning" not in plan      # the target side is not shuffled
+
+
+def test_broadcast_bound_counts_what_a_hashed_row_takes(spark):
+    df = spark.createDataFrame([(1, "199501")], "id long, part string")
+    assert fits_broadcast(df, 100_000)
+    # A million such rows took 180 MB on the driver and on every executor.
+    assert not fits_broadcast(df, 1_000_000)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_missing_columns_and_age_by_either_join(spark, limit):
+    tgt = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, None, "z"), (4, "a", "w")], SCHEMA)
+    src = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "id int, part string")
+    full = with_missing_columns(tgt, src, ["id", "part"], source_rows=3, broadcast_limit=limit)
+    assert sorted(map(tuple, full.collect()), key=str) == [(1, "a", "x"), (1, "a", "y"), (2, None, "z"), (3, "a", None)]
+    old = spark.createDataFrame([(1, 5), (1, 9), (2, None), (None, 7)], "id int, t int")
+    new = spark.createDataFrame([(1, 8), (2, 1), (None, 7), (3, 0)], "id int, t int")
+    left = without_older(old, new, ["id"], "t", source_rows=4, broadcast_limit=limit)
+    assert sorted(map(tuple, left.collect()), key=str) == [(2, 1), (3, 0), (None, 7)]
+    # Keys too many to broadcast: the target is joined once, not narrowed by a shuffled join first.
+    for df in (full, left):
+        assert ("LeftSemi" in plan_of(df)) == (limit > 0)
+        assert ("strategy=broadcast" in plan_of(df)) == (limit > 0)

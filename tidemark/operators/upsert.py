@@ -25,14 +25,17 @@ from pyspark.sql.types import BinaryType, StringType, StructType
 
 from tidemark.functions.columns import col, to_timestamp_safe
 
-# Upper bound for a broadcast build side, in estimated bytes of the key rows.
-DEFAULT_BROADCAST_LIMIT = 256 * 1024 * 1024
+# Upper bound for a broadcast build side, in estimated bytes of the key rows.  The
+# driver and every executor hold it, and a run plans several, so it stays small.
+DEFAULT_BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
 # Bytes of a fixed-width value; the width of text and binary keys is measured.
 _FIXED_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
                 "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
-ROW_OVERHEAD = 16
+# A hashed row on top of its values: hash table slots, row headers, and the copy of
+# the key with its null flags (measured: 180 bytes a row of a long and a 6-byte text).
+ROW_OVERHEAD = 128
 
 
 def _variable(schema: StructType) -> list[str]:
@@ -59,8 +62,9 @@ def key_bytes(df: DataFrame, rows: int | None) -> int | None:
 
 def fits_broadcast(df: DataFrame, rows: int | None, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> bool:
     """True when ``rows`` is known and the rows' measured size is within the bound."""
-    size = key_bytes(df, rows)
-    return size is not None and size <= limit_bytes
+    if rows is None or rows * ROW_OVERHEAD > limit_bytes:
+        return False  # too many whatever their width: no need to measure it
+    return key_bytes(df, rows) <= limit_bytes
 
 
 def size_checked_broadcast(df: DataFrame, rows: int | None,
@@ -97,8 +101,8 @@ def with_missing_columns(target: DataFrame, source: DataFrame, keys: list[str],
     missing = [c for c in target.columns if c.lower() not in have]
     if not missing:
         return source
-    old = target.select([col(k) for k in keys] + [col(c) for c in missing])
-    old = matched_target_rows(old, source, keys, source_rows=source_rows, broadcast_limit=broadcast_limit)
+    old = _narrowed(target.select([col(k) for k in keys] + [col(c) for c in missing]), source, keys,
+                    source_rows, broadcast_limit)
     names = [f"__old_key_{i}" for i in range(len(keys))]
     old = old.select([col(k).alias(n) for k, n in zip(keys, names)] + [col(c) for c in missing])
     return source.join(old, on=_null_safe(keys, names), how="left").select(
@@ -114,8 +118,8 @@ def without_older(target: DataFrame, source: DataFrame, keys: list[str], time_co
         return to_timestamp_safe(c) if isinstance(df.schema[time_col].dataType, StringType) else c
 
     names = [f"__old_key_{i}" for i in range(len(keys))]
-    old = matched_target_rows(target.select([col(k) for k in dict.fromkeys([*keys, time_col])]), source, keys,
-                              source_rows=source_rows, broadcast_limit=broadcast_limit)
+    old = _narrowed(target.select([col(k) for k in dict.fromkeys([*keys, time_col])]), source, keys,
+                    source_rows, broadcast_limit)
     old = old.select([col(k).alias(n) for k, n in zip(keys, names)] + [time_of(old).alias("__old_time")])
     older = _null_safe(keys, names) & (F.col("__old_time") > time_of(source))
     return source.join(old, on=older, how="left_anti")
@@ -124,16 +128,17 @@ def without_older(target: DataFrame, source: DataFrame, keys: list[str], time_co
 def upsert_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
                   source_rows: int | None = None,
                   broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                  source_layout=None) -> DataFrame:
+                  source_layout=None, source_keys: DataFrame | None = None) -> DataFrame:
     """Merged frame: every source row, plus target rows whose key is not in source.
 
     Output columns follow the target's order.  ``source_layout`` (a function
     of a frame) re-arranges only the source rows of the union, e.g. to
     cluster them for a partitioned write while the target rows keep the
-    layout of their scan.
+    layout of their scan.  ``source_keys`` is a frame with the same keys that
+    is cheaper to compute than ``source``.
     """
     check_same_columns(target, source)
-    src_keys, names = _renamed_keys(source, keys)
+    src_keys, names = _renamed_keys(source if source_keys is None else source_keys, keys)
     src_keys = size_checked_broadcast(src_keys, source_rows, broadcast_limit)
     kept = target.join(src_keys, on=_null_safe(keys, names), how="left_anti")
     order = [col(c) for c in target.columns]
@@ -150,6 +155,18 @@ def matched_target_rows(target: DataFrame, source: DataFrame, keys: list[str], *
     return target.join(src_keys, on=_null_safe(keys, names), how="left_semi")
 
 
+def _narrowed(target: DataFrame, source: DataFrame, keys: list[str], source_rows: int | None,
+              broadcast_limit: int) -> DataFrame:
+    """``target`` before a join with ``source`` on ``keys``: only its matched rows, where that saves a shuffle.
+
+    Known source keys that are too many to broadcast would shuffle the target
+    once for the semi join and again for the join that follows.
+    """
+    if source_rows is not None and not fits_broadcast(_renamed_keys(source, keys)[0], source_rows, broadcast_limit):
+        return target
+    return matched_target_rows(target, source, keys, source_rows=source_rows, broadcast_limit=broadcast_limit)
+
+
 def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once (partial count per task, then merge)."""
     return (source.groupBy([col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n_rows"))

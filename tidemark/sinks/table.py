@@ -235,6 +235,7 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
         assert_unique_keys(source, merge_keys)
     exists = table_exists(spark, path)
     target = None
+    given = source  # the same keys and partitions, before it is joined to the target
     if exists:
         target = read_partitioned(spark, path, partition_col,
                                   source.schema[partition_col].dataType.simpleString())
@@ -246,10 +247,11 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
             source = without_older(target, source, merge_keys, newest_by, source_rows=source_rows,
                                    broadcast_limit=broadcast_limit)
             source_rows = source_partitions = None  # what is left decides
+        given = source
         source = with_missing_columns(target, source, merge_keys, source_rows=source_rows,
                                       broadcast_limit=broadcast_limit)
     if source_partitions is None:
-        source_partitions = _values(source, partition_col)
+        source_partitions = _values(given, partition_col)
     source_partitions = list(dict.fromkeys(None if v == "" else v for v in source_partitions))
     if source_rows is None and (count_changes or newest_by is not None):
         source_rows = source.count()
@@ -273,10 +275,10 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
         # gets no source rows and whose rows all match is left empty.
         probe = target
         if index is not None and index.exists(spark) and index.same_types(source, target):
-            probed, probe_rows, probe = _may_hold(target, source, index, path, partition_col)
+            probed, probe_rows, probe = _may_hold(target, given, index, path, partition_col)
         probe = probe.select(*[col(k) for k in dict.fromkeys([*keys, partition_col])])
         matched = {r[0]: r[1] for r in matched_target_rows(
-            probe, source, keys, source_rows=source_rows, broadcast_limit=broadcast_limit)
+            probe, given, keys, source_rows=source_rows, broadcast_limit=broadcast_limit)
             .groupBy(col(partition_col)).agg(F.count(F.lit(1))).collect()}
         only_old = [v for v in matched if v not in touched]
         if only_old:
@@ -290,11 +292,11 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], partition_col: s
     # With broadcast source keys the target side is not shuffled: its rows
     # leave the scan grouped by file, hence by partition, and can be written
     # as they come next to a small clustered source.
-    broadcast = fits_broadcast(source.select(*[col(k) for k in merge_keys]), source_rows, broadcast_limit)
+    broadcast = fits_broadcast(given.select(*[col(k) for k in merge_keys]), source_rows, broadcast_limit)
     narrow = layout == "narrow" or (layout == "auto" and broadcast and before is not None
                                     and source_rows <= NARROW_SHARE * before)
     merged = upsert_frames(scope, source, merge_keys, source_rows=source_rows,
-                           broadcast_limit=broadcast_limit,
+                           broadcast_limit=broadcast_limit, source_keys=given,
                            source_layout=(lambda df: df.hint("rebalance", partition_col)) if narrow else None)
     watched, obs = _observed_max(merged, observe_max_of)
     write_partitioned(watched, path, partition_col, dynamic=True, rebalance=not narrow,
