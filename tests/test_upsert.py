@@ -140,3 +140,14 @@ def test_missing_columns_and_age_by_either_join(spark, limit):
     for df in (full, left):
         assert ("LeftSemi" in plan_of(df)) == (limit > 0)
         assert ("strategy=broadcast" in plan_of(df)) == (limit > 0)
+
+
+def test_known_large_frames_are_not_broadcast_by_guess(spark):
+    """A plan-size guess far below the planner's own bound does not broadcast rows known to be many."""
+    tgt = spark.createDataFrame([(1, 5), (2, 9)], "id int, t int")
+    src = spark.createDataFrame([(1, 8), (2, 1)], "id int, t int")
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 0
+    for df in (without_older(tgt, src, ["id"], "t", source_rows=1_000_000), upsert_frames(tgt, src, ["id"], source_rows=1_000_000)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [tuple(r) for r in without_older(tgt, src, ["id"], "t", source_rows=1_000_000).collect()] == [(1, 8)]

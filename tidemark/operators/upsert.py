@@ -69,8 +69,14 @@ def fits_broadcast(df: DataFrame, rows: int | None, limit_bytes: int = DEFAULT_B
 
 def size_checked_broadcast(df: DataFrame, rows: int | None,
                            limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when ``rows`` is known and the measured size fits."""
-    return F.broadcast(df) if fits_broadcast(df, rows, limit_bytes) else df
+    """Hint a broadcast only when ``rows`` is known and the measured size fits.
+
+    Known rows that do not fit are joined by shuffle: the planner guesses a
+    table's size from its compressed files and would broadcast some of them.
+    """
+    if rows is None:
+        return df
+    return F.broadcast(df) if fits_broadcast(df, rows, limit_bytes) else df.hint("merge")
 
 
 def _renamed_keys(source: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
@@ -163,7 +169,7 @@ def _narrowed(target: DataFrame, source: DataFrame, keys: list[str], source_rows
     once for the semi join and again for the join that follows.
     """
     if source_rows is not None and not fits_broadcast(_renamed_keys(source, keys)[0], source_rows, broadcast_limit):
-        return target
+        return target.hint("merge")  # as the source, it is too large to broadcast by a guess
     return matched_target_rows(target, source, keys, source_rows=source_rows, broadcast_limit=broadcast_limit)
 
 
