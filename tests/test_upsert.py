@@ -151,3 +151,14 @@ def test_known_large_frames_are_not_broadcast_by_guess(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert [tuple(r) for r in without_older(tgt, src, ["id"], "t", source_rows=1_000_000).collect()] == [(1, 8)]
+
+
+def test_many_source_keys_are_not_broadcast(spark, tmp_root):
+    """Known sizes far beyond the bound: the upsert's joins stay shuffle joins."""
+    spark.range(0, 500).selectExpr("cast(id as int) as id", "'a' as part", "'t' as v").write.parquet(f"{tmp_root}/tgt")
+    tgt = spark.read.parquet(f"{tmp_root}/tgt")
+    src = spark.createDataFrame([(1, "a", "s"), (501, "b", "s")], SCHEMA)
+    for rows_known in (1_000_000, 10_000_000):
+        out = upsert_frames(tgt, src, ["id", "part"], source_rows=rows_known)
+        assert "strategy=broadcast" not in plan_of(out)
+        assert out.count() == 501 and {r.id for r in out.where("v = 's'").collect()} == {1, 501}
