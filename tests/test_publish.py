@@ -104,3 +104,14 @@ def test_generated_statement_runs(spark, name, tmp_root):
     assert rows(spark, name) == merged(data() + [(None, "nk", "202400"), (5, "np", None)], src)
     with pytest.raises(ValueError, match="not among"):
         merge_overwrite_sql("t", "s", ["a"], ["b"], "a")
+
+
+def test_publish_upsert_of_many_keys_broadcasts_none(spark, name, tmp_root, monkeypatch):
+    path = f"{tmp_root}/t"
+    create_table(spark, name, spark.createDataFrame([], SCHEMA).schema, "part", path)
+    sw.publish_overwrite(spark.createDataFrame(data(), SCHEMA), name, path, "part")
+    seen, write = [], sw.write_version
+    monkeypatch.setattr(sw, "write_version", lambda df, *a: seen.append(df) or write(df, *a))
+    sw.publish_upsert(spark.createDataFrame(change(), SCHEMA), name, path, ["id"], "part", source_rows=1_000_000)
+    assert "strategy=broadcast" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(spark, name) == merged(data(), change())
