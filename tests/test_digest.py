@@ -58,3 +58,33 @@ def test_extremes_and_empty(spark):
         assert got(qa_diff_tree(a, b, ["id"], leaf_rows=leaf)) == [(0, "changed", "name")]
     assert got(qa_diff_tree(none, none, ["id"])) == []
     assert got(qa_diff_tree(a, none, ["id"], leaf_rows=1)) == sorted([(r[0], "only_a", None) for r in ends], key=str)
+
+
+def test_a_level_reads_each_copy_once(spark):
+    """Rows pass the digest once a level, besides the key span before and the keyed diff after."""
+    n = 3000
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    a = spark.range(n).selectExpr("id", "cast(id as string) as name", "id / 7 as x")
+    b = a.withColumn("x", F.when(F.col("id") == 1234, -1.0).otherwise(F.col("x")))
+    trace = DigestTrace()
+    out = qa_diff_tree(a.mapInArrow(count, a.schema), b.mapInArrow(count, b.schema), ["id"], leaf_rows=1, fanout=16, trace=trace)
+    assert seen.value == 2 * n * (1 + len(trace.levels))  # a Python scan takes no filter: whole copies each time
+    assert got(out) == [(1234, "changed", "x")]
+
+
+def test_repeated_and_null_rows_are_told_apart(spark):
+    """Sums of hash parts see how often a row occurs, and where its nulls are."""
+    a = spark.createDataFrame([(1, "p", 1.0)] * 4 + [(2, None, 2.0)], SCHEMA)
+    cases = [([(1, "p", 1.0)] * 6 + [(2, None, 2.0)], (1, "duplicate_key", None)),
+             ([(1, "p", 1.0)] * 4 + [(2, "p", None)], (2, "changed", "name,x"))]
+    for other, expected in cases:
+        trace = DigestTrace()
+        b = spark.createDataFrame(other, SCHEMA)
+        assert got(qa_diff_tree(a, b, ["id"], leaf_rows=1, fanout=2, trace=trace)) == [expected]
+        assert trace.levels[0] == (2, 1)

@@ -35,13 +35,19 @@ class DigestTrace:
     levels: list = field(default_factory=list)
 
 
+#: A hash is summed in parts of so many bits, as longs: exact up to 2**41 rows a range.
+PART_BITS = 22
+DIGEST = ["n", *[f"{h}{k}" for h in ("s", "t") for k in range(3)]]
+
+
 def _digest(df: DataFrame, columns: list[str]) -> list[Column]:
-    """Number and order-free sum of the rows' hashes; two independent hashes make a collision remote."""
+    """Number and order-free sums of the rows' hashes; two independent hashes make a collision remote."""
     row = F.struct(*[col(c) for c in columns])
     # A hash passes over nulls, so their pattern is hashed as well.
     nulls = F.concat(*[F.when(col(c).isNull(), "1").otherwise("0") for c in columns])
     one, two = F.xxhash64(row, nulls), F.xxhash64(F.lit(17), nulls, row)
-    return [F.count(F.lit(1)).alias("n"), F.sum(one.cast("decimal(38,0)")).alias("s"), F.sum(two.cast("decimal(38,0)")).alias("t")]
+    parts = [F.sum(F.shiftrightunsigned(h, k * PART_BITS).bitwiseAND(F.lit((1 << PART_BITS) - 1))) for h in (one, two) for k in range(3)]
+    return [c.alias(name) for c, name in zip([F.count(F.lit(1)), *parts], DIGEST)]
 
 
 def _hash_keys(keys: list[str]) -> Column:
@@ -92,22 +98,29 @@ def qa_diff_tree(a: DataFrame, b: DataFrame, keys: list[str], leaf_rows: int = 1
             # Ranges of one level have one width, but for the first.
             width = max(s for _, s in steps)
             low = min(x for x, _ in steps)
-            # In halves, as the distance of two longs may not fit one.
-            number = F.floor((place.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)"))
+            if hi - lo < 2**63:
+                number = F.call_function("div", place - F.lit(low), F.lit(width))
+            else:  # the distance of two longs may not fit one
+                number = F.floor((place.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)"))
         else:
-            width, low, number = 1, 0, F.lit(None).cast("decimal(20,0)")
-        sides = [d.where(within(open_ranges)).groupBy(number.cast("decimal(20,0)").alias("r")).agg(*_digest(d, columns)) for d in (a, b)]
+            width, low, number = 1, 0, F.lit(None)
+        number = number.cast("long" if hi - lo < 2**63 else "decimal(20,0)")
+        sides = [d.where(within(open_ranges)).groupBy(number.alias("r")).agg(*_digest(d, columns)) for d in (a, b)]
         tagged = sides[0].withColumn("side", F.lit(0)).unionByName(sides[1].withColumn("side", F.lit(1)))
-        per = tagged.groupBy("r").agg(*[F.sum(F.when(F.col("side") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("n", "s", "t")])
-        same = reduce(Column.__and__, [F.col(f"{c}0").eqNullSafe(F.col(f"{c}1")) for c in ("n", "s", "t")])
+        per = tagged.groupBy("r").agg(*[F.sum(F.when(F.col("side") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in DIGEST])
+        # One row a range, at most ``fanout`` times ``max_ranges``: kept, so that the copies are read once a level.
+        per = per.persist()
+        same = reduce(Column.__and__, [F.col(f"{c}0").eqNullSafe(F.col(f"{c}1")) for c in DIGEST])
         summary = per.agg(F.count(F.lit(1)).alias("ranges"), F.count_if(~same).alias("differ")).first()
         if trace is not None:
             trace.levels.append((summary.ranges, summary.differ))
         if summary.differ > max_ranges:
             leaves += open_ranges  # too scattered to name: the ranges above are diffed as they are
+            per.unpersist()
             break
         rows = F.coalesce("n0", F.lit(0)) + F.coalesce("n1", F.lit(0))
         found = [(None if r.r is None else int(r.r), r.n) for r in per.where(~same).select("r", rows.alias("n")).collect()]
+        per.unpersist()
         open_ranges = []
         for r, n in found:
             here = None if r is None else (low + r * width, min(low + (r + 1) * width - 1, hi))
