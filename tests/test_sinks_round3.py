@@ -97,6 +97,34 @@ def test_a_failed_task_leaves_nothing(spark, tmp_root):
     assert sorted(map(tuple, read_slices(spark, tmp_root, "r1", df.schema).collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_abort_outlasts_tasks_that_still_write(tmp_root, monkeypatch):
+    from tidemark.sinks import slices
+
+    class Busy:
+        left = 2
+
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def delete_dir(self, path):
+            if Busy.left:
+                Busy.left -= 1
+                raise OSError(39, "Directory not empty")
+            self.fs.delete_dir(path)
+
+    store = slices._store
+    monkeypatch.setattr(slices, "_store", lambda path: (Busy(store(path)[0]), store(path)[1]))
+    w = SliceWriter(tmp_root, "r", "slice")
+    folder = f"{tmp_root}/{w._folder()}"
+    store(tmp_root)[0].create_dir(folder, recursive=True)
+    open(f"{folder}/slice-0-x.parquet", "w").close()
+    w.abort([])
+    assert Busy.left == 0 and not glob.glob(f"{folder}*")
+
+
 def test_a_task_that_ran_twice_counts_once(spark, tmp_root):
     import pyarrow as pa
 

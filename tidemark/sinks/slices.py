@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import sys
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +33,8 @@ from pyspark.sql.types import StructType
 
 NAME = "tidemark_slices"
 MANIFESTS, STAGED = "_manifests", "_staged"
+#: Tasks that are being stopped may still write while an abort deletes.
+ABORT_TRIES, ABORT_WAIT = 25, 0.2
 
 
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
@@ -87,8 +90,16 @@ class SliceWriter(DataSourceArrowWriter):
     def abort(self, messages: list) -> None:
         """Delete what the tasks of this attempt staged."""
         fs, root = _store(self.path)
-        if fs.get_file_info(f"{root}/{self._folder()}").type != pafs.FileType.NotFound:
-            fs.delete_dir(f"{root}/{self._folder()}")
+        folder = f"{root}/{self._folder()}"
+        for k in range(ABORT_TRIES):
+            try:
+                if fs.get_file_info(folder).type == pafs.FileType.NotFound:
+                    return
+                fs.delete_dir(folder)
+            except OSError:
+                if k == ABORT_TRIES - 1:
+                    raise
+            time.sleep(ABORT_WAIT)
 
 
 class SliceSink(DataSource):
