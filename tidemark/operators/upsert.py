@@ -7,9 +7,10 @@
 * Keys compare null-safe (``<=>``): a NULL key part matches a NULL key part,
   so such rows are not inserted again on every run.
 * Only the source's key columns take part in the join.  They are broadcast
-  when their size is known to be below a bound; otherwise Spark plans a
-  shuffle join (and AQE may still switch at run time).  The target is never
-  shuffled when the source keys are broadcast.
+  when their size is known to be below a bound, and joined by a shuffled merge
+  join when it is known to be above; with unknown rows Spark chooses (and AQE
+  may still switch at run time).  The target is never shuffled when the source
+  keys are broadcast.
 * Duplicate source keys are an error, or are resolved by ``dedupe_latest``,
   which keeps the latest row per key with a partial (map-side) group limit,
   so a hot key never lands whole in one task.
