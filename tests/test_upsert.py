@@ -118,7 +118,7 @@ def test_known_small_source_broadcasts_keys_and_never_shuffles_target(spark, tmp
 def test_broadcast_bound_counts_what_a_hashed_row_takes(spark):
     df = spark.createDataFrame([(1, "199501")], "id long, part string")
     assert fits_broadcast(df, 100_000)
-    # A million such rows took 180 MB on the driver and on every executor.
+    # A million such rows take about 145 MB on the driver and on every executor.
     assert not fits_broadcast(df, 1_000_000)
 
 

@@ -35,7 +35,7 @@ DEFAULT_BROADCAST_LIMIT = 32 * 1024 * 1024
 _FIXED_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
                 "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
 # A hashed row on top of its values: hash table slots, row headers, and the copy of
-# the key with its null flags (measured: 180 bytes a row of a long and a 6-byte text).
+# the key with its null flags (measured: 145 bytes a row of a long and a 6-byte text).
 ROW_OVERHEAD = 128
 
 
