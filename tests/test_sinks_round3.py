@@ -3,6 +3,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.sinks.compact import compact_bins, finish, first_fit_decreasing
@@ -125,6 +126,40 @@ def test_abort_outlasts_tasks_that_still_write(tmp_root, monkeypatch):
     assert Busy.left == 0 and not glob.glob(f"{folder}*")
 
 
+def test_a_task_that_starts_after_the_abort_stages_nothing(tmp_root):
+    import pyarrow as pa
+
+    batch = pa.record_batch([pa.array([1, 2]), pa.array([0, 1])], names=["id", "slice"])
+    w = SliceWriter(tmp_root, "r", "slice")
+    w.write(iter([batch]))
+    w.abort([])
+    with pytest.raises(OSError):
+        w.write(iter([batch]))
+    assert not glob.glob(f"{tmp_root}/{STAGED}/**/*.parquet", recursive=True)
+
+
+def test_a_failed_abort_leaves_nothing(spark, tmp_root, monkeypatch):
+    def broken(self, messages):
+        raise RuntimeError("abort failed")
+
+    kept = SliceWriter.abort
+    monkeypatch.setattr(SliceWriter, "abort", broken)
+    save = DataFrameWriter.save
+
+    def then_mend(self, *args, **kwargs):
+        try:
+            return save(self, *args, **kwargs)
+        finally:
+            monkeypatch.setattr(SliceWriter, "abort", kept)
+
+    monkeypatch.setattr(DataFrameWriter, "save", then_mend)
+    bad = numbered(spark).withColumn("slice", F.when(F.col("id") != 477, F.col("slice"))).repartition(3)
+    with pytest.raises(Exception, match="no slice"):
+        publish_slices(bad, tmp_root, "r1", "slice")
+    assert manifest(tmp_root, "r1") is None
+    assert not glob.glob(f"{tmp_root}/{STAGED}/**/*.parquet", recursive=True)
+
+
 def test_a_task_that_ran_twice_counts_once(spark, tmp_root):
     import pyarrow as pa
 

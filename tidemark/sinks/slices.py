@@ -8,8 +8,9 @@ tasks that succeeded.  ``abort`` deletes what was staged.  So a failed task
 leaves nothing, a task that ran twice counts once, and a rerun under the same
 ``run`` replaces its own manifest with one of the same rows.
 
-Options: ``path``, ``run`` (name of the publication) and ``slice`` (name of
-the slice column, a whole number).  Files go through Arrow's file systems, so
+Options: ``path``, ``run`` (name of the publication), ``slice`` (name of the
+slice column, a whole number) and ``attempt`` (name of the staged folder, made
+up where not given).  Files go through Arrow's file systems, so
 ``path`` may be any location that Arrow, the driver and all executors reach.
 """
 
@@ -47,9 +48,12 @@ class Staged(WriterCommitMessage):
 
 
 class SliceWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, run: str, column: str):
+    def __init__(self, path: str, run: str, column: str, attempt: str | None = None):
         self.path, self.run, self.column = path.rstrip("/"), run, column
-        self.attempt = uuid.uuid4().hex[:12]
+        self.attempt = attempt or uuid.uuid4().hex[:12]
+        # Only the driver makes the folder: a task that starts after an abort has none to write to.
+        fs, root = _store(self.path)
+        fs.create_dir(f"{root}/{self._folder()}", recursive=True)
 
     def _folder(self) -> str:
         return f"{STAGED}/{self.run}/{self.attempt}"
@@ -57,7 +61,6 @@ class SliceWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
         """Stage a task's rows; a file of each slice stays open until the task ends."""
         fs, root = _store(self.path)
-        fs.create_dir(f"{root}/{self._folder()}", recursive=True)
         task, open_files, rows = uuid.uuid4().hex[:12], {}, {}
         for batch in iterator:
             numbers = batch.column(self.column)
@@ -111,7 +114,7 @@ class SliceSink(DataSource):
         raise ValueError(f"{NAME} is a sink; read with read_slices()")
 
     def writer(self, schema: StructType, overwrite: bool) -> SliceWriter:
-        return SliceWriter(self.options["path"], self.options["run"], self.options["slice"])
+        return SliceWriter(self.options["path"], self.options["run"], self.options["slice"], self.options.get("attempt"))
 
 
 def publish_slices(df: DataFrame, path: str, run: str, slice_col: str) -> None:
@@ -119,7 +122,14 @@ def publish_slices(df: DataFrame, path: str, run: str, slice_col: str) -> None:
     spark = df.sparkSession
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(SliceSink)
-    df.write.format(NAME).mode("append").option("path", path).option("run", run).option("slice", slice_col).save()
+    attempt = uuid.uuid4().hex[:12]
+    out = df.write.format(NAME).mode("append").option("path", path).option("run", run).option("slice", slice_col)
+    try:
+        out.option("attempt", attempt).save()
+    except Exception:
+        # Spark's own abort may fail, or end before its last task.
+        SliceWriter(path, run, slice_col, attempt).abort([])
+        raise
 
 
 def manifest(path: str, run: str) -> dict | None:
