@@ -141,3 +141,11 @@ def test_rare_ngrams_count_in_a_large_corpus(spark):
     for k in range(0, len(texts), 10):
         s = ["", *texts[k].split(), ""]
         assert out[k] == pytest.approx(sum(math.log10(p(tuple(s[max(0, i - 2):i]), s[i])) for i in range(1, len(s))), rel=0.005)
+
+
+def test_texts_are_shuffled_once(spark, make_docs):
+    out = lm.lm_scores(make_docs([(k, f"a b{k}", "s") for k in range(20)]))
+    assert len(out.collect()) == 20
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Both steps over whole chunks read one shuffle of them.
+    assert "ReusedExchange" in plan

@@ -25,6 +25,8 @@ Steps, each over the whole corpus:
    shards follows from the number of tokens, which bounds a shard's trie.
 5. Each chunk's texts meet both answers and are summed.
 
+Steps 3 and 5 read the chunks from one shuffle.
+
 A frequent word or n-gram costs one entry a chunk, so no key grows with its
 occurrences.
 
@@ -245,36 +247,30 @@ class Chunk:
         return seq, place, np.repeat(~held, np.concatenate([t[2] for t in self.texts]) + 2)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
-    """Rows sorted by chunk -> chunks."""
-    now, chunk = None, Chunk()
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-            if row["chunk"] != now:
-                if chunk.texts:
-                    yield now, chunk
-                now, chunk = row["chunk"], Chunk()
-            chunk.add(row)
-    if chunk.texts:
-        yield now, chunk
+def _chunk(rows: pa.Table, answers: pa.Table | None = None) -> Chunk:
+    """The rows of one chunk."""
+    chunk = Chunk()
+    for table in (rows, answers):
+        for batch in table.to_batches() if table is not None else ():
+            for i in range(batch.num_rows):
+                chunk.add({c: batch.column(c)[i].as_py() for c in batch.schema.names})
+    return chunk
 
 
 def _gram_rows(order: int, shards: int):
-    """Rows sorted by chunk -> its n-grams, one row a shard and n."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for now, chunk in _chunks(batches):
-            for n, g in chunk_grams(*chunk.sequence(), order, shards):
-                rows = []
-                for s in range(shards):
-                    own = g.of_shard(s)
-                    if len(own):
-                        step = np.diff(g.context[own], prepend=np.uint64(0))
-                        rows.append((now, s, n, planes(step), planes(g.word[own]), planes(g.count[own])))
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
-                                      names=["chunk", "shard", "n", "contexts", "words", "counts"])
-                del g, rows
+    """A chunk's rows -> its n-grams, one row a shard and n."""
+    kinds = {"chunk": pa.int64(), "shard": pa.int32(), "n": pa.int32(), "contexts": pa.binary(), "words": pa.binary(), "counts": pa.binary()}
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        chunk, out = _chunk(rows), []
+        for n, g in chunk_grams(*chunk.sequence(), order, shards) if chunk.texts else ():
+            for s in range(shards):
+                own = g.of_shard(s)
+                if len(own):
+                    step = np.diff(g.context[own], prepend=np.uint64(0))
+                    out.append((key[0].as_py(), s, n, planes(step), planes(g.word[own]), planes(g.count[own])))
+            del g
+        return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds.values())], names=list(kinds))
     return run
 
 
@@ -383,27 +379,21 @@ def chunk_scores(chunk: Chunk, order: int, shards: int, tokens: int, distinct: i
 
 
 def _sum_up(order: int, shards: int, tokens: int, distinct: int, ends: int):
-    """Rows sorted by chunk -> scores."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A chunk's rows and the answers about its n-grams -> scores."""
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         base_all = math.log10(tokens + 0.5 * (distinct + 1))
-        id_type = None
-
-        def watched() -> Iterator[pa.RecordBatch]:
-            nonlocal id_type
-            for batch in batches:
-                id_type = batch.schema.field("ids").type.value_type
-                yield batch
-
-        for _, chunk in _chunks(watched()):
-            counts = chunk.split(chunk.count)
-            sizes = np.array([len(c) for c in counts], np.int64)
-            known = np.array([int((c > 0).sum()) for c in counts], np.int64) + (ends > 0)
-            base = np.array([float(np.log10(c + 0.5).sum()) for c in counts]) + math.log10(ends + 0.5) - (sizes + 1) * base_all
-            yield pa.record_batch(
-                [pa.array([x for t in chunk.texts for x in t[0]], id_type), pa.array([x for t in chunk.texts for x in t[1]], pa.bool_()),
-                 pa.array(sizes + 1), pa.array(known), pa.array(np.full(len(sizes), tokens, np.int64)), pa.array(base),
-                 pa.array(chunk_scores(chunk, order, shards, tokens, distinct, ends))],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        id_type = rows.schema.field("ids").type.value_type
+        chunk = _chunk(rows, answers)
+        counts = chunk.split(chunk.count)
+        sizes = np.array([len(c) for c in counts], np.int64)
+        known = np.array([int((c > 0).sum()) for c in counts], np.int64) + (ends > 0)
+        base = np.array([float(np.log10(c + 0.5).sum()) for c in counts]) + math.log10(ends + 0.5) - (sizes + 1) * base_all
+        score = chunk_scores(chunk, order, shards, tokens, distinct, ends) if chunk.texts else np.zeros(0)
+        return pa.table(
+            [pa.array([x for t in chunk.texts for x in t[0]], id_type), pa.array([x for t in chunk.texts for x in t[1]], pa.bool_()),
+             pa.array(sizes + 1), pa.array(known, pa.int64()), pa.array(np.full(len(sizes), tokens, np.int64)), pa.array(base, pa.float64()),
+             pa.array(score, pa.float64())],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
@@ -432,11 +422,11 @@ def lm_scores(docs: DataFrame, held_out: Column | None = None, order: int = ORDE
         raise ValueError(f"{size} words do not fit {WORD_BITS - 1} bits")
     both = answers.where("chunk >= 0").drop("tokens", "known", "size").unionByName(texts, allowMissingColumns=True)
     gram_shards = max(shards, -(-(scored or 0) // SHARD_TOKENS))
-    grams = (both.repartition("chunk").sortWithinPartitions("chunk", "kind")
-             .mapInArrow(_gram_rows(order, gram_shards), "chunk long, shard int, n int, contexts binary, words binary, counts binary"))
+    # The last step reads the chunks from the same shuffle.
+    grams = both.groupBy("chunk").applyInArrow(_gram_rows(order, gram_shards), "chunk long, shard int, n int, contexts binary, words binary, counts binary")
     grams = grams.repartition("shard") if gram_shards == shards else grams.repartition(gram_shards, "shard")
     gram_answers = (grams.sortWithinPartitions("shard", "n")
                     .mapInArrow(_solve_grams, "chunk long, shard int, n int, own binary, weight binary").withColumn("kind", F.lit(2)))
-    return (both.unionByName(gram_answers, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
-            .mapInArrow(_sum_up(order, gram_shards, tokens, distinct, ends), f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, "
-                                                                          "train_tokens long, base_score double, score double"))
+    return (both.groupBy("chunk").cogroup(gram_answers.groupBy("chunk"))
+            .applyInArrow(_sum_up(order, gram_shards, tokens, distinct, ends), f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, "
+                                                                            "train_tokens long, base_score double, score double"))
