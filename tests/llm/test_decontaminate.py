@@ -76,3 +76,26 @@ def test_recall_of_long_items_at_the_allowed_edits():
             docs.append(" ".join([*pad[:30], *(w for i, w in enumerate(words) if i not in gone), *pad[30:]]))
         found = Items(items, LeakConfig()).search(docs)
         assert sum(any(x["item_id"] == k for x in found[k]) for k in range(n)) >= 0.98 * n
+
+
+def test_many_texts_are_searched_in_bounded_parts(monkeypatch):
+    import random
+
+    from tidemark.llm import decontaminate as dec
+
+    rng = random.Random(3)
+    items = [(k, " ".join(f"w{rng.randint(0, 400)}" for _ in range(30))) for k in range(5)]
+    texts = [None, "", *(f"a b {items[k % 5][1]} c {k}" if k % 3 == 0 else f"plain text {k}" for k in range(60)), "x" * 5000]
+    found = dec.Items(items, dec.LeakConfig())
+    want, sizes, search = found.search(texts), [], dec.Items.search
+
+    def watched(self, part):
+        sizes.append((len(part), sum(len(t or "") for t in part)))
+        return search(self, part)
+
+    monkeypatch.setattr(dec, "SEARCH_CHARS", 600)
+    monkeypatch.setattr(dec, "EMBED_WINDOWS", 3)
+    monkeypatch.setattr(dec.Items, "search", watched)
+    assert list(found.search_all(texts)) == want and sum(map(bool, want)) == 20
+    assert sum(n for n, _ in sizes) == len(texts) and all(size <= 600 or n == 1 for n, size in sizes)
+    assert list(found.search_all([])) == []

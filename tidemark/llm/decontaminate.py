@@ -45,6 +45,9 @@ from tidemark.llm.common import columns_named, map_arrow, mix64, widened
 
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 32 << 20
+#: Characters of the texts that are searched at once, and their windows embedded at once.
+SEARCH_CHARS = 4 << 20
+EMBED_WINDOWS = 1 << 16
 EDGES = ".,;:!?\"'()[]{}<>|*&%#$…«»“”-_"
 LEAK = "struct<item_id:{item},start:int,n_words:int,distance:int>"
 
@@ -171,7 +174,7 @@ class Items:
         flat = np.zeros(int(edge[-1]), np.int64)
         for a, d in zip(edge, docs, strict=False):
             flat[a:a + len(d)] = d
-        windows: dict[int, set[int]] = {}
+        windows: dict[int, list[np.ndarray]] = {}
         for n, codes, places in self.grams:
             if len(flat) < n:
                 continue
@@ -182,29 +185,41 @@ class Items:
             code = gram_codes(flat, n)[at]
             hit = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
             same = codes[hit] == code
-            for p, h in zip(at[same].tolist(), hit[same].tolist(), strict=True):
-                for width, q in places[h]:
-                    windows.setdefault(width, set()).add(p - q)
+            at, hit = at[same], hit[same]
+            del ok, code, same
+            order = np.argsort(hit, kind="stable")
+            at, hit = at[order], hit[order]
+            edges = np.flatnonzero(np.diff(hit, prepend=-1, append=-1)).tolist() if len(hit) else []
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                for width, q in places[hit[lo]]:
+                    windows.setdefault(width, []).append(at[lo:hi] - q)
         margin = max(windows, default=0)
         padded = np.concatenate([np.zeros(margin, np.int64), flat, np.zeros(margin, np.int64)])
         pairs: set[tuple[int, int]] = set()
         out: list[list[dict]] = [[] for _ in texts]
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for width, starts in windows.items():
-            # A margin in front keeps windows that start before the first text.
-            start = np.array(sorted(starts), np.int64)
-            for t, table in enumerate(self.keys[width]):
-                keys = embed_keys(padded, start + margin, width, self.bits_of[t], t, self.cfg.bits)
-                known = np.fromiter(table, np.uint64, len(table))
-                for row in np.flatnonzero(np.isin(keys, known)).tolist():
-                    for k in table[int(keys[row])]:
-                        pairs.add((int(start[row]), k))
+            start = np.unique(np.concatenate(starts))
+            starts.clear()
+            known = [np.fromiter(table, np.uint64, len(table)) for table in self.keys[width]]
+            for own in np.split(start, range(EMBED_WINDOWS, len(start), EMBED_WINDOWS)):
+                for t, table in enumerate(self.keys[width]):
+                    # A margin in front keeps windows that start before the first text.
+                    keys = embed_keys(padded, own + margin, width, self.bits_of[t], t, self.cfg.bits)
+                    for row in np.flatnonzero(np.isin(keys, known[t])).tolist():
+                        for k in table[int(keys[row])]:
+                            pairs.add((int(own[row]), k))
         for start_at, k in pairs:
             self._verify(start_at, k, flat, edge, best)
         for (doc, k), (distance, begin, n) in sorted(best.items()):
             out[doc].append({"item_id": self.items[k][0], "start": begin, "n_words": n, "distance": distance})
         return out
 
+    def search_all(self, texts: list[str | None]) -> Iterator[list[dict]]:
+        """The leaks of each text, however many there are: arrays over the words hold a bounded part at once."""
+        for lo, hi in slices([len(t or "") for t in texts], SEARCH_CHARS):
+            yield from self.search(texts[lo:hi])
+
     def _verify(self, start: int, k: int, flat: np.ndarray, edge: np.ndarray, best: dict) -> None:
         _, words, edits = self.items[k]
         # The document that holds the middle of the window.
@@ -224,6 +239,18 @@ class Items:
                 best[d, k] = (distance, a + end - size - int(edge[d]), size)
 
 
+def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of neighbours whose sizes add up to ``most`` at the most, or of one."""
+    lo = total = 0
+    for k, size in enumerate(sizes):
+        if k > lo and total + size > most:
+            yield lo, k
+            lo, total = k, 0
+        total += size
+    if sizes:
+        yield lo, len(sizes)
+
+
 def gram_codes(ids: np.ndarray, n: int) -> np.ndarray:
     """64-bit code of every run of n ids."""
     h = np.zeros(max(0, len(ids) - n + 1), np.uint64)
@@ -254,7 +281,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cfg: LeakConfig = LeakConf
             for batch in batches:
                 texts = batch.column("text").to_pylist()
                 leaks = batch.column("leaks").to_pylist()
-                for k, found in enumerate(items.search(texts)):
+                for k, found in enumerate(items.search_all(texts)):
                     leaks[k] = [*(leaks[k] or []), *found]
                 yield pa.record_batch([*(batch.column(c) for c in names[:-1]), pa.array(leaks, batch.schema.field("leaks").type)], names=names)
 
