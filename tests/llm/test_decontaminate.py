@@ -99,3 +99,37 @@ def test_many_texts_are_searched_in_bounded_parts(monkeypatch):
     assert list(found.search_all(texts)) == want and sum(map(bool, want)) == 20
     assert sum(n for n, _ in sizes) == len(texts) and all(size <= 600 or n == 1 for n, size in sizes)
     assert list(found.search_all([])) == []
+
+
+def test_windows_with_too_few_pairs_of_items_are_not_embedded(monkeypatch):
+    from tidemark.llm import decontaminate as dec
+
+    rng = random.Random(9)
+    bench = [(k, " ".join(f"w{rng.randint(0, 40)}" for _ in range(rng.randint(10, 70)))) for k in range(12)]
+    search, embedded, embed = dec.Items(bench, LeakConfig()), [], dec.embed_keys
+
+    def watched(flat, start, *rest):
+        embedded.append(len(start))
+        return embed(flat, start, *rest)
+
+    monkeypatch.setattr(dec, "embed_keys", watched)
+    # Runs of three words of each item, far from all of it.
+    words = [x.split() for _, x in bench]
+    assert search.search([" ".join(f"other{k} {' '.join(x[3:6])} more{k}" for k, x in enumerate(words))] * 50) == [[]] * 50
+    assert not embedded
+    # The most edits that are allowed, spread so that each breaks two pairs.
+    for k, x in enumerate(words):
+        edits = len(x) // 5
+        changed = ["other" if i % 4 == 2 and i // 4 < edits else w for i, w in enumerate(x)]
+        assert changed.count("other") == min(edits, (len(x) + 1) // 4)
+        embedded.clear()
+        search.search([" ".join(["before", *changed, "after"])])
+        assert sum(embedded)
+
+
+def test_words_are_the_plain_words():
+    rng = random.Random(4)
+    search = Items([(1, "Alpha, beta gamma! «delta» x-y")], LeakConfig())
+    for _ in range(200):
+        text = " ".join(rng.choice(["ALPHA", "beta", "--", "gamma", "(Delta)", "X-Y", "\u00a0", "İ", "other", "'", ""]) for _ in range(rng.randint(0, 12)))
+        assert search.ids(text).tolist() == [search.vocabulary.get(w, 0) for w in plain_words(text)]

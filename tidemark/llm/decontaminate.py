@@ -8,7 +8,10 @@ lower-cased and without marks at their edges.
    ``(W - t) // (t + 1)`` words or more with the item, so every leak has an
    item-sized window that starts where such a run of ``gram`` words puts the
    item's first word.  Windows of all items' lengths are taken at these places
-   (this only picks where to look, and loses no leak).
+   (this only picks where to look, and loses no leak).  As each edit breaks two
+   pairs of neighbours at most, ``W - 1 - 2 t`` of an item's pairs stay whole in
+   a leak; windows that hold fewer pairs of the items of their length, widened
+   as in step 4, are passed over, for none of them would be verified.
 2. Embedding.  The CGK walk reads a window for 3 W steps; at each step a random
    bit of the step and the current word decides whether to move on.  Edit
    distance becomes Hamming distance of the words read.
@@ -35,6 +38,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +50,7 @@ from tidemark.llm.common import columns_named, map_arrow, mix64, widened
 
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 32 << 20
-#: Characters of the texts that are searched at once, and their windows embedded at once.
+#: Characters of the texts that are searched at once, and windows, each once a table, embedded at once.
 SEARCH_CHARS = 4 << 20
 EMBED_WINDOWS = 1 << 16
 EDGES = ".,;:!?\"'()[]{}<>|*&%#$…«»“”-_"
@@ -80,27 +85,38 @@ def walk_bits(words: int, table: int) -> np.ndarray:
     return mix64(np.arange(words + 1, dtype=np.uint64), 100 + table)
 
 
-def embed_keys(flat: np.ndarray, start: np.ndarray, width: int, bits_of: np.ndarray, table: int, bits: int) -> np.ndarray:
-    """Key in one table of the windows flat[start : start + width].
+@lru_cache(maxsize=1 << 14)
+def sampled_steps(width: int, table: int, bits: int) -> frozenset[int]:
+    steps = 3 * width
+    rng = np.random.default_rng(1_000_003 * width + table)
+    return frozenset(rng.choice(steps, size=min(bits, steps), replace=False).tolist())
+
+
+def embed_keys(flat: np.ndarray, start: np.ndarray, width: int, bits_of: np.ndarray, bits: int) -> np.ndarray:
+    """Keys of the windows flat[start : start + width], a row for each table, hence for each row of ``bits_of``.
 
     At step j the walk moves on if bit j (mod 64) of the word's random bits,
     turned by the round, is set.  The sampled steps depend on the table and the
     width only, so windows and items of one width are treated alike.
     """
-    steps = 3 * width
-    rng = np.random.default_rng(1_000_003 * width + table)
-    sampled = set(rng.choice(steps, size=min(bits, steps), replace=False).tolist())
-    at, end = start.copy(), start + width
-    key = np.full(len(start), np.uint64(table + 1), np.uint64)
-    for step in range(max(sampled) + 1):
+    tables, words = bits_of.shape
+    where: dict[int, list[int]] = {}
+    for t in range(tables):
+        for step in sampled_steps(width, t, bits):
+            where.setdefault(step, []).append(t)
+    at, end = np.tile(start, (tables, 1)), start + width
+    row = np.arange(tables)[:, None] * words
+    random_of = bits_of.ravel()
+    key = np.repeat(np.arange(1, tables + 1, dtype=np.uint64)[:, None], len(start), axis=1)
+    for step in range(max(where, default=-1) + 1):
         inside = at < end
-        here = np.where(inside, flat[np.minimum(at, len(flat) - 1)], len(bits_of) - 1)
-        random = bits_of[here]
-        if step in sampled:
-            key = mix64(key ^ mix64(np.where(inside, here, -1).view(np.uint64), 4), 5)
+        here = np.where(inside, flat[np.minimum(at, len(flat) - 1)], words - 1)
+        if step in where:
+            own = where[step]
+            key[own] = mix64(key[own] ^ mix64(np.where(inside[own], here[own], -1).view(np.uint64), 4), 5)
         # Past bit 63 the bits are read in another order: j, then 5 j + 1.
         bit = step if step < 64 else (5 * step + 1) % 64
-        at += ((random >> np.uint64(bit)) & np.uint64(1)).astype(np.int64) & inside
+        at += ((random_of[row + here] >> np.uint64(bit)) & np.uint64(1)).astype(np.int64) & inside
     return key
 
 
@@ -141,6 +157,7 @@ class Items:
             words = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in plain_words(text or "")]
             if words:
                 self.items.append((item_id, words, int(cfg.max_edits * len(words))))
+        self.id_of = {**self.vocabulary, "": -1}
         self.grams: list[tuple[int, np.ndarray, list[list[tuple[int, int]]]]] = []
         found: dict[int, dict[int, list[tuple[int, int]]]] = {}
         self.by_length: dict[int, list[int]] = {}
@@ -150,25 +167,42 @@ class Items:
             for q, c in enumerate(codes.tolist()):
                 found.setdefault(n, {}).setdefault(c, []).append((len(words), q))
             self.by_length.setdefault(len(words), []).append(k)
+        pairs = {width: np.concatenate([gram_codes(np.array(self.items[k][1], np.int64), 2) for k in own]) for width, own in self.by_length.items()}
+        self.pairs = np.unique(np.concatenate([*pairs.values(), np.zeros(0, np.uint64)]))
+        self.pairs_of = {width: np.searchsorted(self.pairs, np.unique(own)) for width, own in pairs.items()}
         for n, table in found.items():
             codes = sorted(table)
             self.grams.append((n, np.array(codes, np.uint64), [sorted(set(table[c])) for c in codes]))
         self.keys: dict[int, list[dict[int, list[int]]]] = {}
-        self.bits_of = [walk_bits(len(self.vocabulary) + 1, t) for t in range(max(map(cfg.tables_of, self.by_length), default=0))]
+        self.known: dict[int, np.ndarray] = {}
+        tables = max(map(cfg.tables_of, self.by_length), default=0)
+        self.bits_of = np.array([walk_bits(len(self.vocabulary) + 1, t) for t in range(tables)])
         for width, own in self.by_length.items():
             flat = np.concatenate([np.array(self.items[k][1], np.int64) for k in own])
             start = np.arange(len(own)) * width
-            self.keys[width] = []
-            for t in range(cfg.tables_of(width)):
-                table: dict[int, list[int]] = {}
-                for k, key in zip(own, embed_keys(flat, start, width, self.bits_of[t], t, cfg.bits).tolist(), strict=True):
-                    table.setdefault(key, []).append(k)
-                self.keys[width].append(table)
+            self.keys[width] = [{} for _ in range(cfg.tables_of(width))]
+            for lo, found_keys in self._embedded(flat, start, width):
+                for table, keys in zip(self.keys[width], found_keys.tolist(), strict=True):
+                    for k, key in zip(own[lo:], keys, strict=False):
+                        table.setdefault(key, []).append(k)
+            self.known[width] = np.unique(np.array([key for table in self.keys[width] for key in table], np.uint64))
+
+    def _embedded(self, flat: np.ndarray, start: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Keys of the windows in bounded parts, with the first window's place."""
+        tables = self.cfg.tables_of(width)
+        step = max(1, EMBED_WINDOWS // tables)
+        for lo in range(0, len(start), step):
+            yield lo, embed_keys(flat, start[lo:lo + step], width, self.bits_of[:tables], self.cfg.bits)
+
+    def ids(self, text: str) -> np.ndarray:
+        """Ids of ``plain_words(text)``, 0 for a word that no item has."""
+        spelled = text.lower().split()
+        ids = np.fromiter(map(self.id_of.get, map(str.strip, spelled, repeat(EDGES)), repeat(0)), np.int64, len(spelled))
+        return ids[ids >= 0]
 
     def search(self, texts: list[str | None]) -> list[list[dict]]:
         """The leaks of each text."""
-        get = self.vocabulary.get
-        docs = [np.array([get(w, 0) for w in plain_words(t)], np.int64) if t else np.zeros(0, np.int64) for t in texts]
+        docs = [self.ids(t or "") for t in texts]
         # All texts in a row, with a gap that no window bridges a match over.
         edge = np.concatenate(([0], np.cumsum([len(d) + 1 for d in docs])))
         flat = np.zeros(int(edge[-1]), np.int64)
@@ -178,21 +212,14 @@ class Items:
         for n, codes, places in self.grams:
             if len(flat) < n:
                 continue
-            ok = np.ones(len(flat) - n + 1, bool)
-            for k in range(n):
-                ok &= flat[k:len(flat) - n + 1 + k] > 0
-            at = np.flatnonzero(ok)
-            code = gram_codes(flat, n)[at]
-            hit = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            same = codes[hit] == code
-            at, hit = at[same], hit[same]
-            del ok, code, same
+            at, hit = known_grams(flat, n, codes)
             order = np.argsort(hit, kind="stable")
             at, hit = at[order], hit[order]
             edges = np.flatnonzero(np.diff(hit, prepend=-1, append=-1)).tolist() if len(hit) else []
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 for width, q in places[hit[lo]]:
                     windows.setdefault(width, []).append(at[lo:hi] - q)
+        pair_at, pair = known_grams(flat, 2, self.pairs)
         margin = max(windows, default=0)
         padded = np.concatenate([np.zeros(margin, np.int64), flat, np.zeros(margin, np.int64)])
         pairs: set[tuple[int, int]] = set()
@@ -201,14 +228,17 @@ class Items:
         for width, starts in windows.items():
             start = np.unique(np.concatenate(starts))
             starts.clear()
-            known = [np.fromiter(table, np.uint64, len(table)) for table in self.keys[width]]
-            for own in np.split(start, range(EMBED_WINDOWS, len(start), EMBED_WINDOWS)):
-                for t, table in enumerate(self.keys[width]):
-                    # A margin in front keeps windows that start before the first text.
-                    keys = embed_keys(padded, own + margin, width, self.bits_of[t], t, self.cfg.bits)
-                    for row in np.flatnonzero(np.isin(keys, known[t])).tolist():
-                        for k in table[int(keys[row])]:
-                            pairs.add((int(own[row]), k))
+            edits = int(self.cfg.max_edits * width)
+            own_pair = np.zeros(len(self.pairs), bool)
+            own_pair[self.pairs_of[width]] = True
+            shared = pair_at[own_pair[pair]]
+            held = np.searchsorted(shared, start + width + edits - 1) - np.searchsorted(shared, start - edits)
+            start = start[held >= width - 1 - 2 * edits]
+            # A margin in front keeps windows that start before the first text.
+            for lo, keys in self._embedded(padded, start + margin, width):
+                for t, row in np.argwhere(np.isin(keys, self.known[width])).tolist():
+                    for k in self.keys[width][t].get(int(keys[t, row]), ()):
+                        pairs.add((int(start[lo + row]), k))
         for start_at, k in pairs:
             self._verify(start_at, k, flat, edge, best)
         for (doc, k), (distance, begin, n) in sorted(best.items()):
@@ -231,6 +261,8 @@ class Items:
             if b - a < len(words) - edits:
                 continue
             text = flat[a:b].tolist()
+            if len(set(words).difference(text)) > edits:
+                continue  # each edit loses one word at most
             distance, end = best_match(words, text)
             if distance > edits:
                 continue
@@ -253,13 +285,33 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 def gram_codes(ids: np.ndarray, n: int) -> np.ndarray:
     """64-bit code of every run of n ids."""
-    h = np.zeros(max(0, len(ids) - n + 1), np.uint64)
+    return _codes_at(mix64(ids.view(np.uint64), 21), np.arange(max(0, len(ids) - n + 1)), n)
+
+
+def _codes_at(mixed: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    h = np.zeros(len(at), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(n):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + mix64(ids[k:len(ids) - n + 1 + k].view(np.uint64), 21)
+            h = h * np.uint64(0x9E3779B97F4A7C15) + mixed[at + k]
     return h
 
 
+def known_grams(flat: np.ndarray, n: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in ``flat`` runs of n known words stand that are among the sorted codes, and which."""
+    runs = len(flat) - n + 1
+    if runs <= 0 or not len(codes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    word = flat > 0
+    ok = word[:runs].copy()
+    for k in range(1, n):
+        ok &= word[k:runs + k]
+    at = np.flatnonzero(ok)
+    code = _codes_at(mix64(flat.view(np.uint64), 21), at, n)
+    hit = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+    same = codes[hit] == code
+    return at[same], hit[same]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, cfg: LeakConfig = LeakConfig()) -> DataFrame:
     """``docs`` with ``leaks``: item, first word, words and distance of each leak."""
     spark = docs.sparkSession
