@@ -72,3 +72,27 @@ def test_block_links_and_packing():
 
 def test_empty_table(make_docs):
     assert nd.near_duplicates(make_docs([])).count() == 0
+
+
+def test_a_worker_keeps_no_freed_memory_after_a_task():
+    import re
+
+
+    from tidemark.llm.common import giving_back
+
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"Pss_Anon:\s+(\d+)", f.read()).group(1)) / 1024
+
+    kept, taken = [], []
+
+    def run(batches):
+        for b in batches:
+            parts = [np.full(2000, b, np.uint64) for _ in range(16_000)]
+            kept.extend(parts[::100])  # so that the heap has holes only
+            taken.append(held())
+            yield b
+
+    before = held()
+    assert list(giving_back(run)(iter([1, 2]))) == [1, 2]
+    assert max(taken) - before > 200 and held() - before < 60

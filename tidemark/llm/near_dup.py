@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop_written, join_small, lower_ascii, materialise, mix64, shingle_hashes, text_bytes, word_hashes, written
+from tidemark.llm.common import drop_written, giving_back, join_small, lower_ascii, materialise, mix64, shingle_hashes, text_bytes, word_hashes, written
 from tidemark.llm.components import connected_components
 
 HALF = 3
@@ -137,7 +137,7 @@ def verify(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """(u, v, ok): whether each pair's full sets reach the threshold."""
     with_v = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
     both = with_v.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u")
-    return both.select("u", "v", "su", "sv").mapInArrow(_verify(per_cent), "u long, v long, ok boolean")
+    return both.select("u", "v", "su", "sv").mapInArrow(giving_back(_verify(per_cent)), "u long, v long, ok boolean")
 
 
 def block_links(ids: list[int], roots: list[int], sets: list[np.ndarray], left: int, per_cent: int) -> list[tuple[int, int]]:
@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, per_cent: int = 80, k: int = 5) -> DataFram
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("thash"))
     signed = materialise(rows.mapInArrow(
-        _signatures(k, m), f"doc_id {id_type}, thash long, node long, n_shingles long, first array<long>, second array<long>"),
+        giving_back(_signatures(k, m)), f"doc_id {id_type}, thash long, node long, n_shingles long, first array<long>, second array<long>"),
         "near-signatures")
     nodes = signed.where("node is not null")
     # One row per node: the signature is the same for all of its documents.
@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame, per_cent: int = 80, k: int = 5) -> DataFram
     chosen = reps.join(paired, "node", "left_semi").select("node", F.col("rep.doc_id").alias("id"), F.col("rep.thash").alias("th"), "n_shingles")
     chosen = materialise(chosen, "near-chosen")
     texts = join_small(rows, chosen.select("node", "id", "th"), (F.col("thash") == F.col("th")) & F.col("doc_id").eqNullSafe(F.col("id")), "inner")
-    sets = texts.select("node", "text").mapInArrow(_sets(k), "node long, shingles binary").dropDuplicates(["node"])
+    sets = texts.select("node", "text").mapInArrow(giving_back(_sets(k)), "node long, shingles binary").dropDuplicates(["node"])
     sets = materialise(sets, "near-sets")
     checked = materialise(verify(stars, sets, per_cent), "near-checked")
     drop_written(spark, stars_at)
