@@ -46,3 +46,22 @@ def test_equal_to_union_find(spark, k):
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
     assert connected_components(spark.createDataFrame([(3, 3)], "u long, v long")).count() == 0
+
+
+def test_few_edges_settle_in_fewer_rounds(spark, monkeypatch):
+    from tidemark.llm import components
+
+    assert [components.partitions_for(e, 200) for e in (0, 1, components.DEALT * 3, 10**12)] == [2, 2, 3, 200] and components.partitions_for(9, 1) == 1
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    order = list(range(400))
+    random.Random(8).shuffle(order)
+    edges, rounds, real = list(zip(order, order[1:], strict=False)), [], components.written
+    monkeypatch.setattr(components, "written", lambda *x: rounds.append(1) or real(*x))
+    took = []
+    for dealt in (1, 1 << 17):
+        monkeypatch.setattr(components, "DEALT", dealt)
+        rounds.clear()
+        got = connected_components(spark.createDataFrame(edges, "u long, v long"))
+        assert dict(tuple(r) for r in got.collect()) == dict.fromkeys(order, 0)
+        took.append(len(rounds))
+    assert took[1] < took[0]
